@@ -71,7 +71,8 @@ def lookup_join(
     if estimated_bytes(lookup) <= broadcast_limit(fact.sparkSession):
         return fact.join(F.broadcast(lookup), on, how)
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    salted_lookup = lookup.withColumn("_salt", F.explode(every_salt))
     return salted_fact.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
 
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("user_features", "search_history")
+MODULES = ("user_features", "search_history", "search_quality", "misspellings")
 
 
 def load():
