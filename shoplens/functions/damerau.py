@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _codes(texts: list[str], width: int, filler: int) -> np.ndarray:
@@ -42,7 +43,7 @@ def batch_distances(left: list[str], right: list[str]) -> np.ndarray:
     return table[rows, len_a, len_b]
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _distance(left: pd.Series, right: pd.Series) -> pd.Series:
     known = left.notna() & right.notna()
     out = pd.Series([None] * len(left), index=left.index, dtype="Int32")

@@ -71,7 +71,7 @@ def query_and_word_tables(df: DataFrame, query: str = "search_term", freq: str =
     """First clean of a period's queries: query-level and word-level frequency tables."""
     queries = clean_queries(df, query, freq)
     words = (
-        queries.select(F.explode(F.array_distinct(normal_tokens(F.col("query")))).alias("word"), "freq")
+        queries.select(F.explode_outer(F.array_distinct(normal_tokens(F.col("query")))).alias("word"), "freq").filter(F.col("word").isNotNull())
         .groupBy("word")
         .agg(F.sum("freq").alias("freq"), F.count(F.lit(1)).alias("queries"))
     )
@@ -81,7 +81,7 @@ def query_and_word_tables(df: DataFrame, query: str = "search_term", freq: str =
 def word_query_pairs(queries: DataFrame, query: str = "query", freq: str = "freq") -> DataFrame:
     """Word to query, one row per pair: a common word's queries never gather in one row."""
     tokens = normal_tokens(F.col(query))
-    return queries.select(F.explode(F.array_distinct(tokens)).alias("word"), query, freq)
+    return queries.select(F.explode_outer(F.array_distinct(tokens)).alias("word"), query, freq).filter(F.col("word").isNotNull())
 
 
 def numeric_brands(brands: DataFrame, brand: str = "brandname") -> DataFrame:
@@ -133,7 +133,7 @@ def external_variants(sheet: DataFrame) -> DataFrame:
 
 def external_vocabulary(sheet: DataFrame) -> DataFrame:
     rows = sheet.filter(F.col("variant").isin(*VOCABULARY_VARIANTS))
-    return rows.withColumn("synonym", F.explode(F.split("synonyms", r"\|"))).select(
+    return rows.withColumn("synonym", F.explode_outer(F.split("synonyms", r"\|"))).filter(F.col("synonym").isNotNull()).select(
         F.lower("keyword").alias("externalword"),
         F.lower("synonym").alias("rightword"),
         F.lit(None).cast("float").alias("score"),

@@ -135,7 +135,7 @@ def history_affinity(
     placed = lookup_join(per_sku, catalogue.select("sku", attribute), ["sku"]).filter(F.col(attribute).isNotNull())
     if by_token:
         key = "token"
-        placed = placed.withColumn(key, F.explode(F.array_distinct("query_normalised")))
+        placed = placed.withColumn(key, F.explode_outer(F.array_distinct("query_normalised"))).filter(F.col(key).isNotNull())
     else:
         key = "search_term"
     clicks = placed.groupBy(key, attribute).agg(F.sum("clicks").alias("clicks"))

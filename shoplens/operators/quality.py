@@ -12,7 +12,7 @@ from shoplens.operators.scale import exact_percentiles, lookup_join, top_n_per_g
 
 def explode_products(results: DataFrame, list_col: str = "products") -> DataFrame:
     """One row per result of a query: id and score."""
-    item = results.select("query", F.explode(list_col).alias("product"))
+    item = results.select("query", F.explode_outer(list_col).alias("product")).filter(F.col("product").isNotNull())
     return item.select("query", F.col("product.colorGroup_string").alias("id"), F.col("product.score").alias("score"))
 
 
@@ -228,7 +228,7 @@ def entity_performance(interactions: DataFrame, catalogue: DataFrame, intents: D
 def filter_product_counts(filters: DataFrame, catalogue: DataFrame, attribute: str, product: str = "sku") -> DataFrame:
     """Distinct catalogue products allowed by a query's filter values (list column ``values``)."""
     per_value = catalogue.select(attribute, product).distinct().groupBy(attribute).agg(F.count(F.lit(1)).alias("n"))
-    wanted = filters.select("query", F.explode(F.array_distinct("values")).alias(attribute))
+    wanted = filters.select("query", F.explode_outer(F.array_distinct("values")).alias(attribute)).filter(F.col(attribute).isNotNull())
     # a product has one attribute value, so counts of distinct values add up
     return lookup_join(wanted, per_value, [attribute]).groupBy("query").agg(F.sum("n").alias("products"))
 
@@ -298,7 +298,7 @@ def wrong_tokens(queries: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame,
 
     ``queries``: query, tokens, freq. ``vocabulary``: token.
     """
-    exploded = queries.select("query", "freq", F.explode(F.array_distinct("tokens")).alias("token"))
+    exploded = queries.select("query", "freq", F.explode_outer(F.array_distinct("tokens")).alias("token")).filter(F.col("token").isNotNull())
     totals = exploded.groupBy("token").agg(F.sum("freq").alias("freq"))
     unknown = totals.join(vocabulary.select("token").distinct(), "token", "left_anti")
     known = vocabulary.select("token").distinct().withColumn("_known", F.lit(True))

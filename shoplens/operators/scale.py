@@ -59,6 +59,15 @@ def broadcast_limit(spark: SparkSession) -> int:
         return int(number) * units.get(text[len(number):], 1)
 
 
+def spread(df: DataFrame, bytes_per_task: int = 4 << 20, most: int = 50_000) -> DataFrame:
+    """Round-robin rows over enough tasks for a step that multiplies its input many times.
+
+    Small tables would otherwise be coalesced into one task by their input bytes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(most, max(2 * cores, estimated_bytes(df) // bytes_per_task)))
+
+
 def lookup_join(
     fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32
 ) -> DataFrame:

@@ -50,7 +50,10 @@ def union_common_columns(
 def merge_phrase_keys(phrases: DataFrame, lists: Sequence[str], numbers: Sequence[str], key: str = "phrase_key") -> DataFrame:
     """One row per phrase key: distinct list items, largest numbers. List items are a bounded domain
     (categories, entities); open lists belong in long form."""
-    tagged = F.concat(*[F.transform(c, lambda v, c=c: F.struct(F.lit(c).alias("list"), v.alias("item"))) for c in lists])
+    def tag(name: str):
+        return F.transform(name, lambda v: F.struct(F.lit(name).alias("list"), v.alias("item")))
+
+    tagged = F.concat(*[tag(c) for c in lists])
     items = phrases.withColumns({c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in lists}).select(
         key, *numbers, F.explode_outer(tagged).alias("_i")
     )

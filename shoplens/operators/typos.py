@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.text import seeded_int, seeded_unit
+from shoplens.operators.scale import spread
 
 # Keyboard neighbours in the order they are tried.
 KEY_NEIGHBOURS = {
@@ -308,7 +309,11 @@ def variants(df: DataFrame, rule: Rule, label: str, query: str = "query") -> Dat
     """query, mistake, mistake_type: the distinct variants of one rule."""
     text = F.col(query)
     found = F.array_distinct(rule(text))
-    return df.select(text.alias("query"), F.explode(found).alias("mistake")).withColumn("mistake_type", F.lit(label))
+    return df.select(text.alias("query"), F.explode_outer(found).alias("mistake")).filter(F.col("mistake").isNotNull()).withColumn("mistake_type", F.lit(label))
+
+
+def _with_rank(made: Column, rank: int) -> Column:
+    return F.transform(made, lambda v: F.struct(v.alias("mistake"), F.lit(rank).alias("rank")))
 
 
 def with_all_variants(
@@ -316,20 +321,21 @@ def with_all_variants(
 ) -> DataFrame:
     """Add the array of (mistake, rank) of all rules, one entry per mistake with its lowest rank.
 
-    Everything happens inside the row: equal variants meet after an array sort, so no shuffle.
+    Equal variants meet inside the row after an array sort, so the many variants are never shuffled;
+    the few queries are, once, to spread the work.
     """
     w = F.col(query)
     ranked = [F.array(F.struct(w.alias("mistake"), F.lit(LABEL_RANKS["rightword"]).alias("rank")))]
     for label, rule in (rules or RULES).items():
         made = F.filter(rule(w), lambda v: (v != w) & ~v.startswith("-") & ~v.endswith("-"))
-        rank = F.lit(LABEL_RANKS[label])
-        ranked.append(F.transform(made, lambda v, r=rank: F.struct(v.alias("mistake"), r.alias("rank"))))
-    kept = F.filter(
-        F.col("_sorted"), lambda x, i: (i == 0) | (x["mistake"] != F.try_element_at(F.col("_sorted"), F.greatest(i, F.lit(1)))["mistake"])
-    )
+        ranked.append(_with_rank(made, LABEL_RANKS[label]))
     # the original never appears when it starts or ends with a hyphen
     whole = F.filter(F.concat(*ranked), lambda x: ~x["mistake"].startswith("-") & ~x["mistake"].endswith("-"))
-    return df.withColumn("_sorted", F.array_sort(whole)).withColumn(out, kept).drop("_sorted")
+    # each entry beside the one before it: the first of equal mistakes has the lowest rank
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform("_sorted", lambda x: x["mistake"]))
+    paired = F.zip_with("_sorted", before, lambda x, last: F.when(x.isNotNull() & ~x["mistake"].eqNullSafe(last), x))
+    kept = F.filter(paired, lambda x: x.isNotNull())
+    return spread(df).withColumn("_sorted", F.array_sort(whole)).withColumn(out, kept).drop("_sorted")
 
 
 def _label(rank: Column) -> Column:
@@ -340,7 +346,7 @@ def _label(rank: Column) -> Column:
 def all_variants(df: DataFrame, query: str = "query", rules: dict[str, Rule] | None = None) -> DataFrame:
     """query, mistake, mistake_type over all rules, the original included as rightword."""
     rows = with_all_variants(df.select(F.col(query).alias("query")), "query", rules)
-    item = rows.select("query", F.explode("variants").alias("v"))
+    item = rows.select("query", F.explode_outer("variants").alias("v")).filter(F.col("v").isNotNull())
     return item.select("query", F.col("v.mistake").alias("mistake"), _label(F.col("v.rank")).alias("mistake_type"))
 
 

@@ -20,13 +20,13 @@ from shoplens.operators.scale import lookup_join, top_n_per_group
 def attribute_words(catalogue: DataFrame, attributes: Sequence[str], product: str = "sku", category: str = "category") -> DataFrame:
     """(word, product, category, attribute) rows of all attribute values."""
     pairs = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in attributes])
-    values = catalogue.select(product, F.col(category).alias("category"), F.explode(pairs).alias("a"))
+    values = catalogue.select(product, F.col(category).alias("category"), F.explode_outer(pairs).alias("a")).filter(F.col("a").isNotNull())
     return values.select(
-        F.explode(F.array_distinct(normal_tokens(F.col("a.value")))).alias("word"),
+        F.explode_outer(F.array_distinct(normal_tokens(F.col("a.value")))).alias("word"),
         F.col(product).alias("product"),
         "category",
         F.col("a.attribute").alias("attribute"),
-    )
+    ).filter(F.col("word").isNotNull())
 
 
 def right_words(
@@ -67,7 +67,7 @@ def keep_words(df: DataFrame, keep: DataFrame | None, *drop: DataFrame, word: st
 
 def single_brand_tokens(products: DataFrame, name: str = "name", brand: str = "brandname") -> DataFrame:
     """Tokens of product names used by exactly one brand."""
-    tokens = products.select(F.explode(F.array_distinct(normal_tokens(F.col(name)))).alias("token"), brand)
+    tokens = products.select(F.explode_outer(F.array_distinct(normal_tokens(F.col(name)))).alias("token"), brand).filter(F.col("token").isNotNull())
     return (
         tokens.groupBy("token")
         .agg(F.countDistinct(brand).alias("brands"), F.min(brand).alias(brand), F.count(F.lit(1)).alias("products"))
@@ -79,7 +79,7 @@ def single_brand_tokens(products: DataFrame, name: str = "name", brand: str = "b
 def phrase_metadata(catalogue: DataFrame, attributes: Sequence[str], product: str = "sku") -> DataFrame:
     """Per attribute value: distinct products and tokens."""
     pairs = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("phrase")) for a in attributes])
-    rows = catalogue.select(product, F.explode(pairs).alias("a")).select(product, "a.*").filter(F.col("phrase").isNotNull())
+    rows = catalogue.select(product, F.explode_outer(pairs).alias("a")).filter(F.col("a").isNotNull()).select(product, "a.*").filter(F.col("phrase").isNotNull())
     counts = rows.groupBy("attribute", "phrase").agg(F.countDistinct(product).alias("products"))
     return counts.withColumn("tokens", F.size(normal_tokens(F.col("phrase"))))
 
@@ -101,7 +101,7 @@ def derived_phrases(
     products: DataFrame, words: DataFrame, name: str = "name", category: str = "category", percentile: float = 0.9973
 ) -> DataFrame:
     """Neighbouring pairs of right words in names, with their categories up to a cumulative share."""
-    pairs = products.select(F.explode(F.array_distinct(ngrams(normal_tokens(F.col(name)), 2))).alias("phrase"), category)
+    pairs = products.select(F.explode_outer(F.array_distinct(ngrams(normal_tokens(F.col(name)), 2))).alias("phrase"), category).filter(F.col("phrase").isNotNull())
     counts = pairs.groupBy("phrase", category).agg(F.count(F.lit(1)).alias("products"))
     split = counts.withColumns({"_a": F.element_at(F.split("phrase", " "), 1), "_b": F.element_at(F.split("phrase", " "), 2)})
     known = words.select("word").distinct()
@@ -149,7 +149,7 @@ def brand_families(brands: DataFrame, brand: str = "brandname", min_count: int =
 
 def colour_synonyms(sheet: DataFrame, words: DataFrame) -> DataFrame:
     """(colour, synonym) rows whose synonym is a right word. ``sheet``: keyword, synonyms (pipe list)."""
-    rows = sheet.select(F.lower("keyword").alias("colour"), F.explode(F.split(F.lower("synonyms"), r"\|")).alias("word"))
+    rows = sheet.select(F.lower("keyword").alias("colour"), F.explode_outer(F.split(F.lower("synonyms"), r"\|")).alias("word")).filter(F.col("word").isNotNull())
     return rows.distinct().join(words.select("word").distinct(), "word", "left_semi").withColumnRenamed("word", "synonym")
 
 
@@ -171,7 +171,7 @@ def split_words(
         ),
     )
     distinct = words.select(F.col(word).alias("joined")).distinct()
-    halves = distinct.select("joined", F.explode(halves).alias("h")).select("joined", "h.left", "h.right")
+    halves = distinct.select("joined", F.explode_outer(halves).alias("h")).filter(F.col("h").isNotNull()).select("joined", "h.left", "h.right")
     return lookup_join(
         lookup_join(halves, parts.withColumnRenamed("word", "left"), ["left"]),
         parts.withColumnRenamed("word", "right"),
@@ -182,7 +182,7 @@ def split_words(
 def right_queries(queries: DataFrame, words: DataFrame, min_freq: int = 5) -> DataFrame:
     """Queries of enough frequency whose tokens are all right words. ``queries``: query, tokens, freq."""
     frequent = queries.filter((F.col("freq") >= min_freq) & (F.size("tokens") > 0))
-    tokens = frequent.select("query", "freq", F.explode(F.array_distinct("tokens")).alias("word"))
+    tokens = frequent.select("query", "freq", F.explode_outer(F.array_distinct("tokens")).alias("word")).filter(F.col("word").isNotNull())
     known = words.select("word").distinct().withColumn("_known", F.lit(True))
     judged = lookup_join(tokens, known, ["word"], "left")
     return (
@@ -217,7 +217,7 @@ def external_by_kind(variants: DataFrame, words: DataFrame) -> DataFrame:
     token known; a wrong word of several tokens with a single right word is a synonym.
     """
     rows = variants.select("wrongword", "rightword").distinct()
-    tokens = rows.select("rightword").distinct().withColumn("word", F.explode(F.array_distinct(normal_tokens(F.col("rightword")))))
+    tokens = rows.select("rightword").distinct().withColumn("word", F.explode_outer(F.array_distinct(normal_tokens(F.col("rightword"))))).filter(F.col("word").isNotNull())
     known = words.select("word").distinct().withColumn("_known", F.lit(True))
     good = (
         lookup_join(tokens, known, ["word"], "left")
@@ -251,16 +251,16 @@ def phonetic_variants(words: DataFrame, threshold: float = 0.85, chunk: int = 51
         "code",
         F.col("n").alias("long_n"),
         budget.alias("budget"),
-        F.explode(
+        F.explode_outer(
             F.transform(
                 F.sequence(F.lit(0), pieces - 1),
                 lambda j: F.struct(start(j).alias("at"), F.substring(F.col("word"), start(j), length(j)).alias("text")),
             )
         ).alias("piece"),
-    )
+    ).filter(F.col("piece").isNotNull())
     # side B: every word, as the shorter one, for each admissible longer length and shift
     widths = F.sequence(F.col("n"), F.floor(F.col("n") / threshold + 1e-9).cast("int"))
-    shorter = w.filter(F.col("n") > 0).select(F.col("word").alias("shorter"), "code", "n", F.explode(widths).alias("long_n"))
+    shorter = w.filter(F.col("n") > 0).select(F.col("word").alias("shorter"), "code", "n", F.explode_outer(widths).alias("long_n")).filter(F.col("long_n").isNotNull())
     budget_b = F.floor((1 - threshold) * F.col("long_n") + 1e-9).cast("int")
     pieces_b = F.least(budget_b + 1, F.col("long_n"))
     size_b = F.floor(F.col("long_n") / pieces_b).cast("int")
@@ -277,7 +277,7 @@ def phonetic_variants(words: DataFrame, threshold: float = 0.85, chunk: int = 51
             ),
         )
     )
-    probes = shorter.select("shorter", "code", "long_n", F.explode(F.array_distinct(places)).alias("piece")).filter(
+    probes = shorter.select("shorter", "code", "long_n", F.explode_outer(F.array_distinct(places)).alias("piece")).filter(F.col("piece").isNotNull()).filter(
         F.length("piece.text") > 0
     )
     candidates = longer.join(probes, ["code", "long_n", "piece"]).filter(
@@ -363,7 +363,7 @@ def phrase_variants(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
     tokens = normal_tokens(F.col(phrase))
     forms = F.array(*[F.array_join(tokens, sep) for sep in ("", "-", " ")])
     rows = phrases.select(phrase).distinct().filter(F.size(tokens) > 1)
-    return rows.select(F.array_join(tokens, " ").alias("phrase_key"), F.explode(forms).alias("variant")).distinct()
+    return rows.select(F.array_join(tokens, " ").alias("phrase_key"), F.explode_outer(forms).alias("variant")).filter(F.col("variant").isNotNull()).distinct()
 
 
 def clean_phrases(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
@@ -389,7 +389,7 @@ def plural_phrases(phrases: DataFrame, plurals: DataFrame, phrase: str = "phrase
             F.transform(done, lambda head: F.transform(part["choices"], lambda c: F.trim(F.concat_ws(" ", head, c))))
         ),
     )
-    return ordered.select("phrase", F.explode(F.array_distinct(built)).alias("plural_phrase")).filter(
+    return ordered.select("phrase", F.explode_outer(F.array_distinct(built)).alias("plural_phrase")).filter(F.col("plural_phrase").isNotNull()).filter(
         F.col("plural_phrase") != F.array_join(normal_tokens(F.col("phrase")), " ")
     )
 
@@ -401,7 +401,7 @@ def brand_chunks(brands: DataFrame, brand: str = "brandname") -> DataFrame:
     heads = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.struct(F.lit("prefix").alias("kind"), F.array_join(F.slice(tokens, 1, i), " ").alias("chunk")))
     initials = F.array_join(F.transform(tokens, lambda t: F.substring(t, 1, 1)), "")
     both = F.concat(heads, F.array(F.struct(F.lit("acronym").alias("kind"), initials.alias("chunk"))))
-    rows = brands.select(brand).distinct().filter(n > 1).select(brand, F.explode(both).alias("c")).select(brand, "c.*")
+    rows = brands.select(brand).distinct().filter(n > 1).select(brand, F.explode_outer(both).alias("c")).filter(F.col("c").isNotNull()).select(brand, "c.*")
     return (
         rows.groupBy("kind", "chunk")
         .agg(F.countDistinct(brand).alias("brands"), F.min(brand).alias(brand))
@@ -413,7 +413,7 @@ def brand_chunks(brands: DataFrame, brand: str = "brandname") -> DataFrame:
 def longest_phrase(queries: DataFrame, phrases: DataFrame, max_tokens: int = 4, key: str = "query", tokens: str = "tokens") -> DataFrame:
     """The longest known phrase inside each query; equal lengths by text. Queries without any are left out."""
     grams = F.flatten(F.array(*[ngrams(F.col(tokens), n) for n in range(1, max_tokens + 1)]))
-    rows = queries.select(key, F.explode(F.array_distinct(grams)).alias("phrase"))
+    rows = queries.select(key, F.explode_outer(F.array_distinct(grams)).alias("phrase")).filter(F.col("phrase").isNotNull())
     found = lookup_join(rows, phrases.select("phrase").distinct(), ["phrase"])
     length = F.size(F.split("phrase", " "))
     best = F.min_by("phrase", F.struct((-length).alias("l"), "phrase"))
@@ -426,7 +426,7 @@ def identify_intent(queries: DataFrame, lookups: dict[str, DataFrame], key: str
     Each lookup has token and value. Values stay in long form, one row each.
     """
     grams = F.flatten(F.array(*[ngrams(F.col(tokens), n) for n in range(1, max_tokens + 1)]))
-    rows = queries.select(key, F.explode(F.array_distinct(grams)).alias("token"))
+    rows = queries.select(key, F.explode_outer(F.array_distinct(grams)).alias("token")).filter(F.col("token").isNotNull())
     united = reduce(
         lambda a, b: a.unionByName(b),
         [table.select("token", F.lit(kind).alias("kind"), F.col("value").cast("string").alias("value")) for kind, table in lookups.items()],

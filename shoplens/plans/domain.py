@@ -114,7 +114,7 @@ history AS (SELECT *, {tokens_sql('search_term')} AS query_normalised FROM histo
 
 def searches(spark: SparkSession, folder: str) -> DataFrame:
     """Every sentence of every document as one search."""
-    text = table(spark, folder, "documents").select(F.explode(F.split("text", SENTENCE)).alias("search_term"))
+    text = table(spark, folder, "documents").select(F.explode_outer(F.split("text", SENTENCE)).alias("search_term")).filter(F.col("search_term").isNotNull())
     return text.withColumn("total_searches", F.lit(1).cast("bigint"))
 
 
@@ -124,7 +124,7 @@ SEARCHES = r"""searches AS (
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct words of all conversation texts."""
-    text = table(spark, folder, "conversations").select(F.explode(normal_tokens(F.col("text"))).alias("word"))
+    text = table(spark, folder, "conversations").select(F.explode_outer(normal_tokens(F.col("text"))).alias("word")).filter(F.col("word").isNotNull())
     return text.distinct()
 
 
@@ -133,7 +133,7 @@ WORDS = f"words AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS word FROM co
 
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Words of conversations with the number of texts holding them."""
-    text = table(spark, folder, "conversations").select(F.explode(F.array_distinct(normal_tokens(F.col("text")))).alias("word"))
+    text = table(spark, folder, "conversations").select(F.explode_outer(F.array_distinct(normal_tokens(F.col("text")))).alias("word")).filter(F.col("word").isNotNull())
     return text.groupBy("word").agg(F.count(F.lit(1)).alias("products"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shoplens.functions.damerau import damerau_similarity
 from shoplens.operators import quality as qu
 from shoplens.operators import typos as ty
-from shoplens.plans.domain import NAMED_QUERIES, WORDS, named_queries, table, tokens_sql, words
+from shoplens.plans.domain import NAMED_QUERIES, WORDS, named_queries, table, words
 from shoplens.plans.registry import flat, query
 
 
@@ -46,7 +46,7 @@ RULE_SQL = {
     "plural_extend": "SELECT w, w || unnest(['s', 'es']) AS m FROM base",
     "vowel_dilemma_p_extend1": replaced("ix_s", "vowel") + " WHERE substr(w, 1, i - 1) || value || substr(w, i + size) <> w",
     "vowel_dilemma_p_extend2": replaced("ix_es", "vowel") + " WHERE substr(w, 1, i - 1) || value || substr(w, i + size) <> w",
-    "vow_dil_single_missing": replaced("ix_cut", "vowel"),
+    "vow_dil_single_missing": replaced("ix_cut", "vowel") + " WHERE substr(w, 1, i - 1) || value || substr(w, i + size) <> o",
     "apostropheS": "SELECT w, w || '''s' AS m FROM base",
     "adjacent_swap": "SELECT o AS w, substr(w, 1, i - 2) || w[i] || w[i - 1] || substr(w, i + 1) AS m FROM ix WHERE i >= 2",
     "neighbours_swap": "SELECT o AS w, substr(w, 1, i - 2) || w[i + 1] || w[i] || w[i - 1] || substr(w, i + 2) AS m FROM ix WHERE i >= 2 AND i < n AND n >= 5",
@@ -54,9 +54,9 @@ RULE_SQL = {
     "double_press_same_key": "SELECT o AS w, substr(w, 1, i) || w[i] || substr(w, i + 1) AS m FROM ix",
     "slangwise_wrong_usage": f"{replaced('ix', 'slang1')} UNION ALL {replaced('ix', 'slang2')} UNION ALL {replaced('ix', 'slang3')}",
     "ies_ending": "SELECT w, substr(w, 1, length(w) - 2) || 'ies' AS m FROM base WHERE w LIKE '%is'",
-    "wrong_letter_doubled": """SELECT a.o AS w, CASE WHEN b.i < a.i THEN substr(a.w, 1, b.i) || a.w[b.i] || substr(a.w, b.i + 1, a.i - b.i - 1) || substr(a.w, a.i + 1)
+    "wrong_letter_doubled": """SELECT * FROM (SELECT a.o AS w, CASE WHEN b.i < a.i THEN substr(a.w, 1, b.i) || a.w[b.i] || substr(a.w, b.i + 1, a.i - b.i - 1) || substr(a.w, a.i + 1)
       ELSE substr(a.w, 1, a.i - 1) || substr(a.w, a.i + 1, b.i - a.i - 1) || a.w[b.i] || a.w[b.i] || substr(a.w, b.i + 1) END AS m
-      FROM ix a JOIN ix b ON a.o = b.o AND a.i <> b.i WHERE a.i < a.n AND a.w[a.i] = a.w[a.i + 1]""",
+      FROM ix a JOIN ix b ON a.o = b.o AND a.i <> b.i WHERE a.i < a.n AND a.w[a.i] = a.w[a.i + 1]) WHERE m <> w""",
     "extra_letters": """SELECT o AS w, substr(w, 1, i - 1) || value || substr(w, i) AS m FROM ix JOIN keyed ON w[i] = key
       UNION ALL SELECT o AS w, substr(w, 1, i) || value || substr(w, i + 1) AS m FROM ix JOIN keyed ON w[i] = key""",
 }
@@ -265,7 +265,8 @@ def _(spark, d):
     return original.join(fixed, "mistake_queries")
 
 
-NEIGHBOUR_SQL = f"""t AS (SELECT {tokens_sql('text')} AS tokens FROM conversations),
+NEIGHBOUR_SQL = """t AS (SELECT list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS tokens
+  FROM conversations),
 adj AS (SELECT DISTINCT a AS wrongword, b AS rightword FROM (SELECT unnest(tokens[:-2]) AS a, unnest(tokens[2:]) AS b FROM t WHERE len(tokens) > 1))"""
 
 
@@ -275,9 +276,9 @@ adj AS (SELECT DISTINCT a AS wrongword, b AS rightword FROM (SELECT unnest(token
     round(1.0::DOUBLE - damerau_levenshtein(wrongword, rightword) / greatest(length(wrongword), length(rightword)), 6) AS levenshtein_score FROM adj""",
 )
 def _(spark, d):
-    from shoplens.functions.text import normal_tokens
     from shoplens.operators.vocabulary import ngrams
 
-    pairs = table(spark, d, "conversations").select(F.explode(ngrams(normal_tokens(F.col("text")), 2)).alias("p")).distinct()
+    letters = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    pairs = table(spark, d, "conversations").select(F.explode_outer(ngrams(F.split(letters, " "), 2)).alias("p")).filter(F.col("p").isNotNull()).distinct()
     sides = pairs.select(F.split("p", " ")[0].alias("wrongword"), F.split("p", " ")[1].alias("rightword"))
     return flat(sides.withColumn("levenshtein_score", damerau_similarity(F.col("wrongword"), F.col("rightword"))))

@@ -309,7 +309,7 @@ def _(spark, d):
 def _(spark, d):
     from shoplens.functions.text import normal_tokens
 
-    corpus = table(spark, d, "documents").filter(F.col("lang") == "en").select(F.explode(normal_tokens(F.col("text"))).alias("word"))
+    corpus = table(spark, d, "documents").filter(F.col("lang") == "en").select(F.explode_outer(normal_tokens(F.col("text"))).alias("word")).filter(F.col("word").isNotNull())
     return flat(qu.word_coverage(word_counts(spark, d).withColumnRenamed("products", "freq"), corpus))
 
 
@@ -380,8 +380,8 @@ def _(spark, d):
     from shoplens.functions.text import normal_tokens
 
     p = products(spark, d)
-    det = p.filter("size <= 25").select(F.explode(normal_tokens(F.col("name"))).alias("token"), "category")
-    his = p.filter("size > 10").select(F.explode(normal_tokens(F.concat_ws(" ", "name", "brandname"))).alias("token"), "category")
+    det = p.filter("size <= 25").select(F.explode_outer(normal_tokens(F.col("name"))).alias("token"), "category").filter(F.col("token").isNotNull())
+    his = p.filter("size > 10").select(F.explode_outer(normal_tokens(F.concat_ws(" ", "name", "brandname"))).alias("token"), "category").filter(F.col("token").isNotNull())
     return flat(qu.token_category_performance(det, his))
 
 
@@ -479,7 +479,7 @@ t AS (SELECT conv_id, turn, unnest(list_distinct({tokens_sql('text')})) AS token
 def wrong(spark, d):
     from shoplens.functions.text import normal_tokens
 
-    vocabulary = table(spark, d, "documents").select(F.explode(normal_tokens(F.col("text"))).alias("token"))
+    vocabulary = table(spark, d, "documents").select(F.explode_outer(normal_tokens(F.col("text"))).alias("token")).filter(F.col("token").isNotNull())
     queries = table(spark, d, "conversations").select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query"),
         normal_tokens(F.col("text")).alias("tokens"),
@@ -642,7 +642,7 @@ def ranked_brands(spark, d):
     """Result brands of a brand query: those of the next three parts."""
     p = table(spark, d, "part")
     name = F.lower(F.regexp_replace("p_brand", "#", " # "))
-    probes = p.select(name.alias("query"), "p_partkey", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("rank"))
+    probes = p.select(name.alias("query"), "p_partkey", F.explode_outer(F.sequence(F.lit(1), F.lit(3))).alias("rank")).filter(F.col("rank").isNotNull())
     results = p.select(F.col("p_partkey").alias("hit"), F.col("p_brand").alias("brandname"))
     return probes.join(results, F.col("p_partkey") + F.col("rank") == F.col("hit")).select("query", "rank", "brandname")
 
