@@ -259,13 +259,13 @@ def _nearest_distinct(rows: DataFrame, probes: DataFrame | None, k: int, pivots:
 
 
 def similar_to_one(rows: DataFrame, probe: DataFrame, k: int, id_col: str = "user_id", vector: str = "features") -> DataFrame:
-    """The k rows most like one probe row of another id. The single probe vector is a scalar subquery."""
-    vec = probe.select(vector).limit(1)
-    who = probe.select(id_col).limit(1)
-    others = rows.filter(F.col(id_col) != who.scalar())
+    """The k rows most like one probe row of another id. The right side is that one row."""
+    one = probe.select(F.col(id_col).alias("_probe_id"), F.col(vector).alias("_probe")).limit(1)
     return (
-        others.withColumn("cosine_sim", cosine(F.col(vector), vec.scalar()))
+        rows.join(F.broadcast(one), F.col(id_col) != F.col("_probe_id"))
+        .withColumn("cosine_sim", cosine(F.col(vector), F.col("_probe")))
         .filter(F.col("cosine_sim").isNotNull())
+        .drop("_probe_id", "_probe")
         .orderBy(F.desc("cosine_sim"), id_col)
         .limit(k)
     )
@@ -301,6 +301,7 @@ def recommend_attributes(
 
     ``scores``: user_id, attribute, score. ``users``: user_id, features (one row per user).
     """
+    users, scores = materialise(users.select("user_id", "features"), "users"), materialise(scores.select("user_id", attribute, "score"), "scores")
     near = nearest_neighbours(users, None, neighbours, "user_id", "features").select(
         F.col("probe").alias("target"), F.col("base").alias("user_id")
     )

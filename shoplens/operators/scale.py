@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+UNKNOWN_BYTES = 1 << 44
 POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -59,13 +60,16 @@ def broadcast_limit(spark: SparkSession) -> int:
         return int(number) * units.get(text[len(number):], 1)
 
 
-def spread(df: DataFrame, bytes_per_task: int = 4 << 20, most: int = 50_000) -> DataFrame:
+def spread(df: DataFrame, bytes_per_task: int = 4 << 20, most: int = 20_000) -> DataFrame:
     """Round-robin rows over enough tasks for a step that multiplies its input many times.
 
-    Small tables would otherwise be coalesced into one task by their input bytes.
+    Small tables would otherwise be coalesced into one task by their input bytes. Estimates of joined
+    or external rows can be far too large; those beyond UNKNOWN_BYTES fall back to the session's counts.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(most, max(2 * cores, estimated_bytes(df) // bytes_per_task)))
+    spark = df.sparkSession
+    least = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = estimated_bytes(df)
+    return df.repartition(least if size > UNKNOWN_BYTES else min(most, max(least, size // bytes_per_task)))
 
 
 def lookup_join(

@@ -307,9 +307,11 @@ RULES: dict[str, Rule] = {
 
 def variants(df: DataFrame, rule: Rule, label: str, query: str = "query") -> DataFrame:
     """query, mistake, mistake_type: the distinct variants of one rule."""
-    text = F.col(query)
-    found = F.array_distinct(rule(text))
-    return df.select(text.alias("query"), F.explode_outer(found).alias("mistake")).filter(F.col("mistake").isNotNull()).withColumn("mistake_type", F.lit(label))
+    rows = df.select(F.col(query).alias("_text"))
+    text = F.col("_text")
+    # outer explode: for an inner one the optimizer adds a filter that computes the array a second time
+    found = F.explode_outer(F.array_distinct(rule(text))).alias("mistake")
+    return rows.select(text.alias("query"), found).filter(F.col("mistake").isNotNull()).withColumn("mistake_type", F.lit(label))
 
 
 def _with_rank(made: Column, rank: int) -> Column:
@@ -361,7 +363,8 @@ def pick_one(df: DataFrame, query: str = "query", seed: int = 7, rules: dict[str
 
 def space_break(df: DataFrame, tokens: str = "query", seed: int = 7) -> DataFrame:
     """A space inside one seeded word of the token list, before a seeded letter."""
-    words, joined = F.col(tokens), F.array_join(tokens, " ")
+    rows = df.select(F.col(tokens).alias("_words"))
+    words, joined = F.col("_words"), F.array_join("_words", " ")
     word = seeded_int("word", seed, F.greatest(F.size(words), F.lit(1)), joined)
     target = F.try_element_at(words, word + 1)
     place = seeded_int("letter", seed, F.greatest(F.length(target), F.lit(1)), joined)
@@ -370,7 +373,7 @@ def space_break(df: DataFrame, tokens: str = "query", seed: int = 7) -> DataFram
         split = F.concat(_head(t, place), F.lit(" "), _tail(t, place + 1))
         return F.when((i == word) & (F.length(t) > 0), split).otherwise(t)
 
-    return df.select(joined.alias("query"), F.array_join(F.transform(words, broken), " ").alias("bad_queries"))
+    return rows.select(joined.alias("query"), F.array_join(F.transform(words, broken), " ").alias("bad_queries"))
 
 
 # Fixed values of the single-pass generator.

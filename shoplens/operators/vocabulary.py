@@ -231,7 +231,7 @@ def external_by_kind(variants: DataFrame, words: DataFrame) -> DataFrame:
     return rows.join(good, "rightword", "left_semi").withColumn("kind", kind)
 
 
-def phonetic_variants(words: DataFrame, threshold: float = 0.85, chunk: int = 512) -> DataFrame:
+def phonetic_variants(words: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Word pairs with one sound code and edit similarity of at least ``threshold``.
 
     With longer length L, distance d <= (1 - t) L, so the pair shares at least one of K pieces cut at

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("user_features", "search_history", "search_quality", "misspellings")
+MODULES = ("user_features", "search_history", "search_quality", "misspellings", "tables_and_files", "similarity", "vocabulary")
 
 
 def load():

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.operators.scale import materialise
+
 BAD_RECORD = "_corrupt_record"
 
 # File-name marks of landed files, first match wins; upper case only.
@@ -28,12 +30,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def parse_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows, unreadable lines) of a CSV with a header line."""
+    """(good rows, unreadable lines) of a CSV with a header line. The text is parsed once, into a table."""
     wide = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
     rows = (
         spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
         .schema(wide).csv(path)
     )
+    rows = materialise(rows, "parsed")
     good = rows.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
     return good, rows.filter(F.col(BAD_RECORD).isNotNull()).select(BAD_RECORD)
 
