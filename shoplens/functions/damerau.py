@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.operators.scale import spread
+
 
 def _codes(texts: list[str], width: int, filler: int) -> np.ndarray:
     out = np.full((len(texts), width), filler, dtype=np.int32)
@@ -22,25 +24,27 @@ def batch_distances(left: list[str], right: list[str]) -> np.ndarray:
     len_a = np.array([len(x) for x in left], dtype=np.int64)
     len_b = np.array([len(x) for x in right], dtype=np.int64)
     wide_a, wide_b = int(len_a.max(initial=0)), int(len_b.max(initial=0))
-    a, b = _codes(left, wide_a, -1), _codes(right, wide_b, -2)
-    rows = np.arange(n)
-    table = np.zeros((n, wide_a + 1, wide_b + 1), dtype=np.int32)
-    table[:, :, 0] = np.arange(wide_a + 1)
-    table[:, 0, :] = np.arange(wide_b + 1)
-    last_row = np.zeros((n, wide_b + 1), dtype=np.int64)  # last i with a[i] = b[j], per j
+    # cells lie along the last axis, so every operation below runs over contiguous memory
+    a, b = np.ascontiguousarray(_codes(left, wide_a, -1).T), np.ascontiguousarray(_codes(right, wide_b, -2).T)
+    table = np.zeros((wide_a + 1, wide_b + 1, n), dtype=np.int32)
+    table[:, 0] = np.arange(wide_a + 1)[:, None]
+    table[0, :] = np.arange(wide_b + 1)[:, None]
+    last_row = np.zeros((wide_b + 1, n), dtype=np.int32)  # last i with a[i] = b[j], per j
     for i in range(1, wide_a + 1):
-        last_col = np.zeros(n, dtype=np.int64)  # last j with b[j] = a[i]
+        last_col = np.zeros(n, dtype=np.int32)  # last j with b[j] = a[i]
         for j in range(1, wide_b + 1):
-            equal = a[:, i - 1] == b[:, j - 1]
-            best = np.minimum(table[:, i - 1, j], table[:, i, j - 1]) + 1
-            best = np.minimum(best, table[:, i - 1, j - 1] + np.where(equal, 0, 1))
-            i1, j1 = last_row[:, j], last_col
-            swap = (i1 > 0) & (j1 > 0)
-            cost = table[rows, np.maximum(i1 - 1, 0), np.maximum(j1 - 1, 0)] + (i - i1 - 1) + 1 + (j - j1 - 1)
-            table[:, i, j] = np.where(swap, np.minimum(best, cost), best)
-            last_col = np.where(equal, j, last_col)
-            last_row[:, j] = np.where(equal, i, last_row[:, j])
-    return table[rows, len_a, len_b]
+            equal = a[i - 1] == b[j - 1]
+            best = np.minimum(table[i - 1, j], table[i, j - 1]) + 1
+            best = np.minimum(best, table[i - 1, j - 1] + ~equal)
+            swap = np.flatnonzero((last_row[j] > 0) & (last_col > 0))
+            if swap.size:
+                i1, j1 = last_row[j, swap], last_col[swap]
+                cost = table[i1 - 1, j1 - 1, swap] + (i - i1 - 1) + 1 + (j - j1 - 1)
+                best[swap] = np.minimum(best[swap], cost)
+            table[i, j] = best
+            last_col[equal] = j
+            last_row[j, equal] = i
+    return table[len_a, len_b, np.arange(n)]
 
 
 @F.pandas_udf(T.IntegerType())
@@ -51,8 +55,8 @@ def _distance(left: pd.Series, right: pd.Series) -> pd.Series:
         a, b = left[known].tolist(), right[known].tolist()
         order = sorted(range(len(a)), key=lambda i: max(len(a[i]), len(b[i])))
         values = np.zeros(len(a), dtype=np.int32)
-        for start in range(0, len(order), 2048):  # similar lengths share a table
-            part = order[start : start + 2048]
+        for start in range(0, len(order), 1024):  # similar lengths share a table
+            part = order[start : start + 1024]
             values[part] = batch_distances([a[i] for i in part], [b[i] for i in part])
         out[known] = values
     return out
@@ -62,3 +66,10 @@ def damerau_similarity(left: Column, right: Column) -> Column:
     """1 - distance / longer length; 1 for two empty texts."""
     longest = F.greatest(F.length(left), F.length(right))
     return F.when(longest == 0, F.lit(1.0)).otherwise(1.0 - _distance(left, right) / longest)
+
+
+def similarity_scores(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add a similarity column per named pair of text columns, e.g. levenshtein_score from
+    (wrongword, rightword). Rows spread first: pairs are small and would share few tasks."""
+    scores = {name: damerau_similarity(F.col(a), F.col(b)) for name, (a, b) in pairs.items()}
+    return spread(df).withColumns(scores)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.arrays import clean_list
-from shoplens.functions.text import FLOAT_PATTERN, clean_query, normal_tokens, straight_quotes
-from shoplens.operators.scale import global_positions, lookup_join
+from shoplens.functions.text import FLOAT_PATTERN, clean_query, normal_tokens, seeded_int, straight_quotes
+from shoplens.operators.scale import global_positions, lookup_join, once
 
 # The variant names of the synonyms sheet, by extract.
 EXTERNAL_VARIANTS = ("SPELL VARIANT", "STEM VARIANT", "BRAND EXPANSION")
@@ -27,7 +27,7 @@ def clean_queries(df: DataFrame, query: str = "search_term", freq: str = "total_
     """The full cleaning chain with frequencies summed per cleaned query, without order or limit."""
     q = F.col(query)
     return (
-        df.withColumn(query, clean_query(q))
+        once(df, query, clean_query(q))
         .filter(~q.rlike(r"(.)\1{3,}"))
         .withColumn(query, straight_quotes(q))
         .filter(q.rlike(".*[a-z0-9].*"))
@@ -180,7 +180,7 @@ def sample_queries(
 
     The share is taken by a hash of the text, so the result does not depend on partitioning.
     """
-    picked = F.pmod(F.xxhash64(F.col(query), F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000)
+    picked = seeded_int("sample", seed, F.lit(1_000_000), F.col(query)) < int(fraction * 1_000_000)
     return df.filter((F.length(query) <= max_length) & picked).orderBy(query).limit(limit)
 
 

@@ -60,6 +60,16 @@ def broadcast_limit(spark: SparkSession) -> int:
         return int(number) * units.get(text[len(number):], 1)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Set a column whose costly value later filters read several times.
+
+    Filters move below a projection and take the whole expression along, once per use. They do not
+    move below a generator, so a one-element outer explode has the value computed a single time.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
+
+
 def spread(df: DataFrame, bytes_per_task: int = 4 << 20, most: int = 20_000) -> DataFrame:
     """Round-robin rows over enough tasks for a step that multiplies its input many times.
 
@@ -72,17 +82,26 @@ def spread(df: DataFrame, bytes_per_task: int = 4 << 20, most: int = 20_000) ->
     return df.repartition(least if size > UNKNOWN_BYTES else min(most, max(least, size // bytes_per_task)))
 
 
+def spread_small(df: DataFrame, below: int = 1 << 30) -> DataFrame:
+    """Spread the rows of a small table, which is often a single file split, before costly row work.
+
+    A table of ``below`` bytes or more has splits enough and stays as it is.
+    """
+    return spread(df) if estimated_bytes(df) < below else df
+
+
 def lookup_join(
     fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32
 ) -> DataFrame:
     """Join rows with hot keys to a table holding few rows per key.
 
-    A lookup whose estimated size is below the session's broadcast limit is broadcast. A larger one
-    is replicated over ``salts`` values, so that the rows of a hot key spread over that many tasks.
+    A lookup whose estimated size is below the session's broadcast limit is left to Spark, which
+    broadcasts it under the same check. A larger one is replicated over ``salts`` values, so that the
+    rows of a hot key spread over that many tasks.
     """
     on = list(on)
     if estimated_bytes(lookup) <= broadcast_limit(fact.sparkSession):
-        return fact.join(F.broadcast(lookup), on, how)
+        return fact.join(lookup, on, how)
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     salted_lookup = lookup.withColumn("_salt", F.explode(every_salt))

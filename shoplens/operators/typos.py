@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.text import seeded_int, seeded_unit
+from shoplens.operators.cleaning import sample_queries
 from shoplens.operators.scale import spread
 
 # Keyboard neighbours in the order they are tried.
@@ -99,14 +100,14 @@ def single_missing(w: Column) -> Column:
 
 
 def two_missing(w: Column) -> Column:
-    letters = F.filter(_span(1, F.length(w)), lambda i: ~_at(w, i).rlike("^[0-9]$"))
+    def digit(i: Column) -> Column:
+        return _at(w, i).between("0", "9")
 
     def second(i: Column) -> Column:
-        later = F.filter(letters, lambda j: j > i)
-        return F.transform(
-            later, lambda j: F.concat(_head(w, i - 1), F.substring(w, i + 1, j - i - 1), _tail(w, j + 1))
-        )
+        later = F.filter(_span(i + 1, F.length(w)), lambda j: ~digit(j))
+        return F.transform(later, lambda j: F.concat(_head(w, i - 1), F.substring(w, i + 1, j - i - 1), _tail(w, j + 1)))
 
+    letters = F.filter(_span(1, F.length(w)), lambda i: ~digit(i))
     return F.when(F.length(w) > 4, F.flatten(F.transform(letters, second))).otherwise(_none())
 
 
@@ -361,6 +362,17 @@ def pick_one(df: DataFrame, query: str = "query", seed: int = 7, rules: dict[str
     )
 
 
+def spell_test_set(
+    df: DataFrame, query: str = "query", max_length: int = 25, fraction: float = 0.5, limit: int = 2000, seed: int = 7
+) -> DataFrame:
+    """A misspelling test set: sampled short queries with one variant each.
+
+    Length filter and sampling only look at the query, so they go first: variants of texts that
+    would be dropped afterwards are never made.
+    """
+    return pick_one(sample_queries(df, query, max_length, fraction, limit, seed), query, seed)
+
+
 def space_break(df: DataFrame, tokens: str = "query", seed: int = 7) -> DataFrame:
     """A space inside one seeded word of the token list, before a seeded letter."""
     rows = df.select(F.col(tokens).alias("_words"))

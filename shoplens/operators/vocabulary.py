@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.text import normal_tokens
 from shoplens.operators.history import share_until
-from shoplens.operators.scale import lookup_join, top_n_per_group
+from shoplens.operators.scale import lookup_join, spread, top_n_per_group
 
 
 def attribute_words(catalogue: DataFrame, attributes: Sequence[str], product: str = "sku", category: str = "category") -> DataFrame:
@@ -91,10 +91,15 @@ def phrases_from_attributes(
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Runs of ``n`` neighbouring tokens as text, in order."""
-    last = F.size(tokens) - (n - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    """Runs of ``n`` neighbouring tokens as text, in order.
+
+    Built by zipping shifted arrays: a lambda over positions would compute ``tokens`` once per position.
+    """
+    grams = tokens
+    for shift in range(2, n + 1):
+        ahead = F.slice(tokens, shift, F.greatest(F.size(tokens), F.lit(1)))
+        grams = F.zip_with(grams, ahead, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(grams, lambda g: g.isNotNull()) if n > 1 else grams
 
 
 def derived_phrases(
@@ -239,7 +244,7 @@ def phonetic_variants(words: DataFrame, threshold: float = 0.85) -> DataFrame:
     number, piece text at its shifted place): every qualifying pair is found, without pairing all
     words of a code.
     """
-    w = words.select(F.col("word")).distinct().withColumn("code", F.soundex("word")).withColumn("n", F.length("word"))
+    w = spread(words.select("word").distinct()).withColumn("code", F.soundex("word")).withColumn("n", F.length("word"))
     # side A: the longer word of a pair, cut into K pieces
     budget = F.floor((1 - threshold) * F.col("n") + 1e-9).cast("int")
     pieces = F.least(budget + 1, F.col("n"))

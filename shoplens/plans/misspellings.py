@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shoplens.functions.damerau import damerau_similarity
+from shoplens.functions.damerau import similarity_scores
 from shoplens.operators import quality as qu
 from shoplens.operators import typos as ty
 from shoplens.plans.domain import NAMED_QUERIES, WORDS, named_queries, table, words
@@ -189,6 +189,11 @@ def _(spark, d):
     return ty.pick_one(named_queries(spark, d).select("query"), rules=DETERMINISTIC)
 
 
+@query("typo_test_set")
+def _(spark, d):
+    return ty.spell_test_set(named_queries(spark, d).select("query"))
+
+
 @query(
     "voc_spell_variants",
     f"{ALL_SQL} SELECT m AS wrongword, count(*) AS rightwords, min(w) AS first FROM v WHERE r > 1 GROUP BY m HAVING count(*) > 1",
@@ -281,4 +286,4 @@ def _(spark, d):
     letters = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
     pairs = table(spark, d, "conversations").select(F.explode_outer(ngrams(F.split(letters, " "), 2)).alias("p")).filter(F.col("p").isNotNull()).distinct()
     sides = pairs.select(F.split("p", " ")[0].alias("wrongword"), F.split("p", " ")[1].alias("rightword"))
-    return flat(sides.withColumn("levenshtein_score", damerau_similarity(F.col("wrongword"), F.col("rightword"))))
+    return flat(similarity_scores(sides, {"levenshtein_score": ("wrongword", "rightword")}))

@@ -276,7 +276,11 @@ def _(spark, d):
     return rows.select(F.array_join("query_normalised", " ").alias("query"), "option_code", "impressions", "clicks")
 
 
-@query("sample_limit")
+@query(
+    "sample_limit",
+    f"""WITH {NAMED_QUERIES} SELECT query FROM named_queries WHERE length(query) <= 25
+    AND ('0x' || substr(md5(query || '|sample|7'), 1, 8))::BIGINT % 1000000 < 500000 ORDER BY query LIMIT 2000""",
+)
 def _(spark, d):
     return cl.sample_queries(named_queries(spark, d).select("query"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shoplens.functions.damerau import damerau_similarity
+from shoplens.functions.damerau import similarity_scores
 from shoplens.functions.text import normal_tokens
 from shoplens.operators import recommend as re
 from shoplens.operators import vocabulary as vo
@@ -254,8 +254,8 @@ FINAL_SQL = f"""{W2R_SQL}, fs AS (SELECT wrongword, rightword, round(0.25 * lev
 
 
 def scored_pairs(spark, d):
-    lev = damerau_similarity(F.col("wrongword"), F.col("rightword"))
-    rows = w2r_history(spark, d).withColumn("levenshtein_score", lev).withColumn("phonetic_score", F.col("levenshtein_score"))
+    rows = similarity_scores(w2r_history(spark, d), {"levenshtein_score": ("wrongword", "rightword")})
+    rows = rows.withColumn("phonetic_score", F.col("levenshtein_score"))
     return vo.final_scores(rows).select("wrongword", "rightword", F.round("final_score", 6).alias("final_score"))
 
 
