@@ -164,6 +164,8 @@ def _rounded_pair_units(counts: DataFrame, unit: int, keys: Sequence[str]) -> Da
     """
     half = unit // 2
     is_cart = F.col("is_cart")
+    # a million carts against a million purchases already pass 64 bits
+    big = lambda c: F.col(c).cast("decimal(19,0)")
     parts = counts.select(
         *keys,
         "is_cart",
@@ -181,8 +183,8 @@ def _rounded_pair_units(counts: DataFrame, unit: int, keys: Sequence[str]) -> Da
     )
     whole = totals.select(
         *keys,
-        (F.col("carts") * F.col("buys")).alias("pairs"),
-        (F.col("carts") * F.col("buy_whole") - F.col("buys") * F.col("cart_whole")).alias("units"),
+        (big("carts") * big("buys")).alias("pairs"),
+        (big("carts") * big("buy_whole") - big("buys") * big("cart_whole")).alias("units"),
     )
 
     residues = parts.groupBy(*keys, "is_cart", "rest").agg(F.sum("n").alias("n"))
@@ -204,7 +206,7 @@ def _rounded_pair_units(counts: DataFrame, unit: int, keys: Sequence[str]) -> Da
     carry = (
         by_mark.withColumn("passed", F.sum("opened").over(upto))
         .groupBy(*keys)
-        .agg(F.sum(F.col("bought") * F.col("passed")).alias("passed"))
+        .agg(F.sum(big("bought") * big("passed")).alias("passed"))
     )
 
     # negative exact halves: c > p and c = p + half (mod unit)
@@ -220,7 +222,7 @@ def _rounded_pair_units(counts: DataFrame, unit: int, keys: Sequence[str]) -> Da
     halves = (
         in_class.withColumn("bought_before", F.coalesce(F.sum("buy_n").over(earlier), F.lit(0)))
         .groupBy(*keys)
-        .agg(F.sum(F.col("cart_n") * F.col("bought_before")).alias("halves"))
+        .agg(F.sum(big("cart_n") * big("bought_before")).alias("halves"))
     )
     return (
         whole.join(carry, list(keys))
@@ -234,7 +236,7 @@ def cart_purchase_lags(df: DataFrame) -> DataFrame:
     """All cart x purchase pairs per (user, product), summed: pairs, hour and day hundredths, seconds.
 
     A pair's lag in hours or days is rounded to two places before it is summed, purchases before the
-    cart give negative lags. Sums are exact integers; the pairs themselves are never produced.
+    cart give negative lags. Sums are exact whole numbers (decimals); the pairs themselves are never produced.
     """
     keys = ["user_id", "product_id"]
     secs = F.unix_timestamp(F.col("timestamp").cast("timestamp"))
@@ -255,8 +257,8 @@ def cart_to_checkout(df: DataFrame) -> DataFrame:
     )
     return sums.select(
         "user_id",
-        (F.col("h") / (F.col("n") * 100)).alias("avg_cart_to_checkout_hours"),
-        (F.col("d") / (F.col("n") * 100)).alias("avg_cart_to_checkout_days"),
+        (F.col("h").cast("double") / (F.col("n").cast("double") * 100)).alias("avg_cart_to_checkout_hours"),
+        (F.col("d").cast("double") / (F.col("n").cast("double") * 100)).alias("avg_cart_to_checkout_days"),
     )
 
 

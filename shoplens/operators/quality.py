@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.operators.scale import exact_percentiles, lookup_join, top_n_per_group
 
@@ -64,9 +65,7 @@ def zero_results(df: DataFrame, response: str = "response") -> DataFrame:
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
-    from pyspark.sql.types import NumericType
-
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
 def min_max_scale(
@@ -87,15 +86,15 @@ def min_max_scale(
     return df.withColumns(scaled)
 
 
-def describe(df: DataFrame, column: str) -> DataFrame:
+def _moments(column: str) -> list[Column]:
     c = F.col(column)
-    return df.agg(
-        F.count(c).alias("count"),
-        F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("stddev"),
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-    )
+    return [
+        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"), F.max(c).alias("max"),
+    ]
+
+
+def describe(df: DataFrame, column: str) -> DataFrame:
+    return df.agg(*_moments(column))
 
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -103,16 +102,9 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def describe_by_category(df: DataFrame, category: str = "category", value: str = "similarity") -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per category and for "All"."""
-    rows = df.filter(F.col(category).isNotNull()).select(F.col(category).cast("string").alias("category"), F.col(value).alias("_value"))
-    everything = df.select(F.lit("All").alias("category"), F.col(value).alias("_value"))
-    both = rows.unionByName(everything)
-    moments = both.groupBy("category").agg(
-        F.count("_value").alias("count"),
-        F.avg("_value").alias("mean"),
-        F.stddev_samp("_value").alias("std"),
-        F.min("_value").alias("min"),
-        F.max("_value").alias("max"),
-    )
+    groups = F.array_compact(F.array(F.col(category).cast("string"), F.lit("All")))
+    both = df.select(F.col(value).alias("_value"), F.explode_outer(groups).alias("_group")).withColumnRenamed("_group", "category")
+    moments = both.groupBy("category").agg(*_moments("_value")).withColumnRenamed("stddev", "std")
     quartiles = exact_percentiles(both, ["category"], "_value", QUARTILES, ["p25", "p50", "p75"])
     return moments.join(quartiles, "category", "left")
 
@@ -317,9 +309,7 @@ def spell_distance(pairs: DataFrame, more_than: int = 4) -> tuple[DataFrame, Dat
             "correction_distance": F.levenshtein("query", "corrected"),
         }
     ).filter(F.col("correction_distance") > more_than)
-    summary = describe(rows, "correction_distance").join(
-        F.broadcast(rows.agg(F.avg("mistake_distance").alias("avg_mistake_distance")))
-    )
+    summary = rows.agg(*_moments("correction_distance"), F.avg("mistake_distance").alias("avg_mistake_distance"))
     return rows, summary
 
 

@@ -161,7 +161,8 @@ lags AS (SELECT user_id, product_id, p - c AS secs FROM carts JOIN buys USING (u
     FROM lags GROUP BY user_id, product_id""",
 )
 def _(spark, d):
-    return fe.cart_purchase_lags(interactions(spark, d)).select("user_id", "product_id", "pairs", "hour_hundredths", "day_hundredths")
+    sums = [F.col(c).cast("bigint").alias(c) for c in ("pairs", "hour_hundredths", "day_hundredths")]
+    return fe.cart_purchase_lags(interactions(spark, d)).select("user_id", "product_id", *sums)
 
 
 @query(
