@@ -36,6 +36,24 @@ def places(name: str, source: str, text: str = "w") -> str:
     return f"{name} AS (SELECT w AS o, {text} AS w, unnest(range(1, length({text}) + 1)) AS i, length({text}) AS n FROM {source})"
 
 
+def hash_sql(slot: str, seed: int, bound: str, *parts: str) -> str:
+    text = " || '|' || ".join([*parts, f"'{slot}'", f"'{seed}'"])
+    return f"((('0x' || substr(md5({text}), 1, 8))::BIGINT) % ({bound}))"
+
+
+# skipped letters before slip k, then positions of the slips over 100 copies of the key letters
+BUTTER_SQL = f"""ordered(key, value, pos) AS (VALUES {", ".join(f"('{k}', '{c}', {i})" for k, v in KEYS.items() for i, c in enumerate(v))}),
+kp AS (SELECT w, list_filter(range(1, length(w) + 1), lambda i: regexp_matches(w[i], '[a-z]')) AS places FROM base),
+sk AS (SELECT w, places, k, 1 + CAST(floor(ln(1.0::DOUBLE - {hash_sql('skip', 7, '1000000', 'w', 'CAST(k AS VARCHAR)')} / 1000000.0::DOUBLE) / ln(0.8::DOUBLE)) AS INTEGER) AS step
+  FROM kp, (SELECT unnest(range(0, 5)) AS k) WHERE len(places) > 0),
+ps AS (SELECT w, places, k, -1 + CAST(sum(step) OVER (PARTITION BY w ORDER BY k) AS BIGINT) AS t FROM sk),
+sl AS (SELECT w, k, t // len(places) AS copy, places[t % len(places) + 1] AS place FROM ps WHERE t // len(places) < 100),
+ltr AS (SELECT w, copy, place, opts[{hash_sql('key', 7, 'length(opts)', 'w', 'CAST(k AS VARCHAR)')} + 1] AS x FROM (
+  SELECT sl.*, (SELECT string_agg(value, '' ORDER BY pos) FROM ordered WHERE key = w[place]) AS opts FROM sl)),
+made AS (SELECT w, copy, array_to_string(list_transform(range(1, length(w) + 1), lambda i: coalesce(letters[i], w[i])), '') AS m FROM (
+  SELECT w, copy, map_from_entries(list((place, x))) AS letters FROM ltr GROUP BY w, copy))"""
+
+
 # every rule over the CTE base(w): rows (w, m); variants equal to the word and repeats go at the end
 RULE_SQL = {
     "single_missing_letter": "SELECT o AS w, substr(w, 1, i - 1) || substr(w, i + 1) AS m FROM ix WHERE n > 2 AND NOT regexp_matches(w[i], '[0-9]')",
@@ -50,6 +68,7 @@ RULE_SQL = {
     "apostropheS": "SELECT w, w || '''s' AS m FROM base",
     "adjacent_swap": "SELECT o AS w, substr(w, 1, i - 2) || w[i] || w[i - 1] || substr(w, i + 1) AS m FROM ix WHERE i >= 2",
     "neighbours_swap": "SELECT o AS w, substr(w, 1, i - 2) || w[i + 1] || w[i] || w[i - 1] || substr(w, i + 2) AS m FROM ix WHERE i >= 2 AND i < n AND n >= 5",
+    "butter_fingers": "SELECT w, m FROM made",
     "butter_fingers_compulsory": replaced("ix", "first3"),
     "double_press_same_key": "SELECT o AS w, substr(w, 1, i) || w[i] || substr(w, i + 1) AS m FROM ix",
     "slangwise_wrong_usage": f"{replaced('ix', 'slang1')} UNION ALL {replaced('ix', 'slang2')} UNION ALL {replaced('ix', 'slang3')}",
@@ -64,7 +83,7 @@ SHARED_SQL = ", ".join(
     [
         TABLES_SQL, places("ix", "base"), places("ix_s", "base", "(w || 's')"), places("ix_es", "base", "(w || 'es')"),
         "cut AS (SELECT o, substr(w, 1, i - 1) || substr(w, i + 1) AS w FROM ix WHERE NOT regexp_matches(w[i], '[0-9]'))",
-        "ix_cut AS (SELECT o, w, unnest(range(1, length(w) + 1)) AS i, length(w) AS n FROM cut)",
+        "ix_cut AS (SELECT o, w, unnest(range(1, length(w) + 1)) AS i, length(w) AS n FROM cut)", BUTTER_SQL,
     ]
 )
 WORD_BASE = f"{WORDS}, base AS (SELECT word AS w FROM words)"
@@ -134,24 +153,6 @@ def _(spark, d):
     return ty.variants(words(spark, d), ty.remove_consecutive, "remove_consecutive_letters", "word")
 
 
-def hash_sql(slot: str, seed: int, bound: str, *parts: str) -> str:
-    text = " || '|' || ".join([*parts, f"'{slot}'", f"'{seed}'"])
-    return f"((('0x' || substr(md5({text}), 1, 8))::BIGINT) % ({bound}))"
-
-
-# skipped letters before slip k, then positions of the slips over 100 copies of the key letters
-BUTTER_SQL = f"""ordered(key, value, pos) AS (VALUES {", ".join(f"('{k}', '{c}', {i})" for k, v in KEYS.items() for i, c in enumerate(v))}),
-kp AS (SELECT w, list_filter(range(1, length(w) + 1), lambda i: regexp_matches(w[i], '[a-z]')) AS places FROM base),
-sk AS (SELECT w, places, k, 1 + CAST(floor(ln(1.0::DOUBLE - {hash_sql('skip', 7, '1000000', 'w', 'CAST(k AS VARCHAR)')} / 1000000.0::DOUBLE) / ln(0.8::DOUBLE)) AS INTEGER) AS step
-  FROM kp, (SELECT unnest(range(0, 5)) AS k) WHERE len(places) > 0),
-ps AS (SELECT w, places, k, -1 + CAST(sum(step) OVER (PARTITION BY w ORDER BY k) AS BIGINT) AS t FROM sk),
-sl AS (SELECT w, k, t // len(places) AS copy, places[t % len(places) + 1] AS place FROM ps WHERE t // len(places) < 100),
-ltr AS (SELECT w, copy, place, opts[{hash_sql('key', 7, 'length(opts)', 'w', 'CAST(k AS VARCHAR)')} + 1] AS x FROM (
-  SELECT sl.*, (SELECT string_agg(value, '' ORDER BY pos) FROM ordered WHERE key = w[place]) AS opts FROM sl)),
-made AS (SELECT w, copy, array_to_string(list_transform(range(1, length(w) + 1), lambda i: coalesce(letters[i], w[i])), '') AS m FROM (
-  SELECT w, copy, map_from_entries(list((place, x))) AS letters FROM ltr GROUP BY w, copy))"""
-
-
 @query(
     "typo_butter_fingers",
     f"WITH {WORD_BASE}, {BUTTER_SQL} SELECT DISTINCT w AS query, m AS mistake, 'butter_fingers' AS mistake_type FROM made WHERE m <> w",
@@ -161,7 +162,6 @@ def _(spark, d):
 
 
 QUERY_BASE = f"{NAMED_QUERIES}, base AS (SELECT query AS w FROM named_queries)"
-DETERMINISTIC = {k: v for k, v in ty.RULES.items() if k != "butter_fingers"}
 ALL_SQL = (
     f"WITH {QUERY_BASE}, {SHARED_SQL}, u AS ("
     + " UNION ALL ".join(f"SELECT w, m, {ty.LABEL_RANKS[label]} AS r FROM ({sql})" for label, sql in RULE_SQL.items())
@@ -176,7 +176,7 @@ LABEL_CASE = "CASE r " + " ".join(f"WHEN {r} THEN '{n}'" for n, r in ty.LABEL_RA
     f"{ALL_SQL} SELECT w AS query, {LABEL_CASE} AS mistake_type, count(*) AS variants, min(m) AS first, max(m) AS last FROM v GROUP BY 1, 2",
 )
 def _(spark, d):
-    rows = ty.all_variants(named_queries(spark, d).select("query"), rules=DETERMINISTIC)
+    rows = ty.all_variants(named_queries(spark, d).select("query"))
     return rows.groupBy("query", "mistake_type").agg(F.count(F.lit(1)).alias("variants"), F.min("mistake").alias("first"), F.max("mistake").alias("last"))
 
 
@@ -186,10 +186,15 @@ def _(spark, d):
     SELECT w AS query, m AS mistake_queries, {LABEL_CASE} AS mistake_type FROM o WHERE i = {hash_sql('pick', 7, 'c', 'w')}""",
 )
 def _(spark, d):
-    return ty.pick_one(named_queries(spark, d).select("query"), rules=DETERMINISTIC)
+    return ty.pick_one(named_queries(spark, d).select("query"))
 
 
-@query("typo_test_set")
+@query(
+    "typo_test_set",
+    f"""{ALL_SQL}, o AS (SELECT w, m, r, row_number() OVER (PARTITION BY w ORDER BY m) - 1 AS i, count(*) OVER (PARTITION BY w) AS c FROM v)
+    SELECT w AS query, m AS mistake_queries, {LABEL_CASE} AS mistake_type FROM o WHERE i = {hash_sql('pick', 7, 'c', 'w')}
+    AND length(w) <= 25 AND {hash_sql('sample', 7, '1000000', 'w')} < 500000 ORDER BY w LIMIT 2000""",
+)
 def _(spark, d):
     return ty.spell_test_set(named_queries(spark, d).select("query"))
 
@@ -199,7 +204,7 @@ def _(spark, d):
     f"{ALL_SQL} SELECT m AS wrongword, count(*) AS rightwords, min(w) AS first FROM v WHERE r > 1 GROUP BY m HAVING count(*) > 1",
 )
 def _(spark, d):
-    rows = ty.all_variants(named_queries(spark, d).select("query"), rules=DETERMINISTIC).filter("mistake_type <> 'rightword'")
+    rows = ty.all_variants(named_queries(spark, d).select("query")).filter("mistake_type <> 'rightword'")
     return rows.groupBy(F.col("mistake").alias("wrongword")).agg(F.count(F.lit(1)).alias("rightwords"), F.min("query").alias("first")).filter("rightwords > 1")
 
 
@@ -228,7 +233,7 @@ def _(spark, d):
     SELECT w AS query, m AS mistake_queries, levenshtein(w, m) AS edit_distance, {LABEL_CASE} AS mistake_type FROM o WHERE i = {hash_sql('pick', 7, 'c', 'w')}""",
 )
 def _(spark, d):
-    return flat(ty.with_edit_distance(ty.pick_one(named_queries(spark, d).select("query"), rules=DETERMINISTIC), "query", "mistake_queries"))
+    return flat(ty.with_edit_distance(ty.pick_one(named_queries(spark, d).select("query")), "query", "mistake_queries"))
 
 
 def corrected(spark, d):

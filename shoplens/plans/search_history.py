@@ -463,8 +463,9 @@ def _(spark, d):
     CAST(sum(clicks) AS BIGINT) AS clicks FROM history WHERE len(query_normalised) <= 3 GROUP BY 1, 2""",
 )
 def _(spark, d):
-    rows = history(spark, d).select("query_normalised", "sku", "freq", "clicks", F.year("date").alias("y"))
-    months = [rows.filter(F.col("y") % 3 == i).drop("y") for i in range(3)]
+    rows = history(spark, d).select("query_normalised", "sku", "freq", "clicks", F.year("date").alias("year"))
+    spans = (F.col("year") <= 1996, F.col("year").between(1997, 1998), F.col("year") >= 1999)
+    months = [rows.filter(span).drop("year") for span in spans]
     return flat(hi.combine_months(months))
 
 

@@ -300,7 +300,7 @@ def _(spark, d):
 
 @query(
     "agg_word_coverage",
-    f"""WITH {WORD_COUNTS}, corpus AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS word FROM documents WHERE lang = 'en'),
+    f"""WITH {WORD_COUNTS}, corpus AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS word FROM documents),
     j AS (SELECT products AS freq, c.word IS NOT NULL AS known FROM word_counts LEFT JOIN corpus c USING (word))
     SELECT count(*) AS words, count(*) FILTER (WHERE known) AS covered_words, CAST(sum(freq) AS BIGINT) AS freq,
     CAST(sum(freq) FILTER (WHERE known) AS BIGINT) AS covered_freq, round(count(*) FILTER (WHERE known) / count(*), 6) AS word_coverage,
@@ -309,7 +309,7 @@ def _(spark, d):
 def _(spark, d):
     from shoplens.functions.text import normal_tokens
 
-    corpus = table(spark, d, "documents").filter(F.col("lang") == "en").select(F.explode_outer(normal_tokens(F.col("text"))).alias("word")).filter(F.col("word").isNotNull())
+    corpus = table(spark, d, "documents").select(F.explode_outer(normal_tokens(F.col("text"))).alias("word")).filter(F.col("word").isNotNull())
     return flat(qu.word_coverage(word_counts(spark, d).withColumnRenamed("products", "freq"), corpus))
 
 
