@@ -295,6 +295,41 @@ def brand_affinity(df: DataFrame, catalogue: DataFrame, as_of: Column) -> DataFr
     return affinity_scores(df, catalogue, as_of).select("user_id", pair.alias("brand_affinity"))
 
 
+def value_and_category_features(df: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """LTOV, TNR, avg_discount and the category counts of each user from one pass over the interactions.
+
+    Equal to joining lifetime_order_value, returns_count, average_discount and category_sets, each of
+    which reads the table for itself; users none of them would list are left out.
+    """
+    used = ["user_id", "product_id", "product_sku_id", "interaction_type", "booked_rev", "interaction_count"]
+    items = catalogue.withColumnRenamed("itemid", "product_id").withColumn("_item", F.lit(True))
+    rows = lookup_join(df.select(*used), items, ["product_id"], "left")
+    valid = F.col("user_id").isNotNull() & F.col("product_id").isNotNull() & F.col("product_sku_id").isNotNull()
+    kind, revenue, mrp = F.col("interaction_type"), F.col("booked_rev"), F.col("mrp")
+    returned = valid & (kind == "return")
+    valued = returned | (valid & (kind == "new_purchase"))
+    placed = F.col("_item").isNotNull()
+    counted = placed & (F.col("interaction_count") != 0)
+    off = (1.0 - F.try_divide(revenue.cast("double"), mrp.cast("double"))) * 100
+    times = lambda condition: F.count(F.when(condition, 1))
+    sets = [
+        F.when(times(counted) > 0, F.size(F.collect_set(F.when(counted, F.col(c))))).alias(name)
+        for c, name in (("l1code", "num_l1codes"), ("l2code", "num_l2codes"), ("brickname", "num_bricks"))
+    ]
+    return (
+        rows.groupBy("user_id")
+        .agg(
+            F.sum(F.when(valued, F.when(returned, -revenue).otherwise(revenue))).alias("LTOV"),
+            F.nullif(times(returned), F.lit(0)).alias("TNR"),
+            F.avg(F.when(valid & placed & mrp.isNotNull() & revenue.isNotNull() & (mrp != 0), off)).alias("avg_discount"),
+            *sets,
+            times(valued | (valid & placed) | counted).alias("_listed"),
+        )
+        .filter("_listed > 0")
+        .drop("_listed")
+    )
+
+
 def union_features(tables: Sequence[DataFrame], key: str = "user_id") -> DataFrame:
     """One row per user over all feature tables; each table has one row per user."""
     return reduce(lambda left, right: left.join(right, key, "full"), tables)

@@ -214,15 +214,12 @@ def user_features(spark, d):
     rows, items = interactions(spark, d), catalogue(spark, d)
     return fe.union_features(
         [
-            fe.lifetime_order_value(rows),
+            fe.value_and_category_features(rows, items),
             fe.total_returned_value(rows),
-            fe.returns_count(rows),
             fe.orders_per_week(rows),
             fe.average_interval(rows).drop("avg_interval_secs"),
-            fe.average_discount(rows, items),
             fe.average_bag(rows, items),
             fe.cart_to_checkout(rows),
-            fe.category_sets(rows, items).select("user_id", "num_l1codes", "num_l2codes", "num_bricks"),
         ]
     )
 

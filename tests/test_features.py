@@ -83,6 +83,19 @@ def test_affinity_uses_weights_and_decay(spark, interactions, catalogue):
     assert got[("d", "puma")] == pytest.approx(30 + 10 * 2.718281828 ** (0.05 * 8), abs=0.01)
 
 
+def test_one_pass_equals_the_separate_features(interactions, catalogue):
+    separate = fe.union_features(
+        [
+            fe.lifetime_order_value(interactions),
+            fe.returns_count(interactions),
+            fe.average_discount(interactions, catalogue),
+            fe.category_sets(interactions, catalogue).select("user_id", "num_l1codes", "num_l2codes", "num_bricks"),
+        ]
+    )
+    together = fe.value_and_category_features(interactions, catalogue)
+    assert sorted(map(str, together.select(*separate.columns).collect())) == sorted(map(str, separate.collect()))
+
+
 def half_away(secs, per):
     units = abs(secs) * 100
     rounded = (units + per // 2) // per
