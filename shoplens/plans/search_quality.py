@@ -253,9 +253,9 @@ def _(spark, d):
     SELECT 'query' AS level, count(DISTINCT query) AS n, count(*) FILTER (WHERE status = 'hit') AS hits, count(*) FILTER (WHERE status = 'miss') AS misses,
       count(*) FILTER (WHERE status = 'extra') AS extras FROM filled
     UNION ALL SELECT 'empty', count(*), 0, 0, 0 FROM s WHERE len(truth_category) + len(truth_brand) + len(category) + len(brand) = 0
-    UNION ALL SELECT 'query_vertical', count(*), sum(len(list_intersect(truth_category, category))),
-      sum(len(list_filter(truth_category, lambda x: NOT list_contains(category, x)))),
-      sum(len(list_filter(category, lambda x: NOT list_contains(truth_category, x)))) FROM filled""",
+    UNION ALL SELECT 'query_vertical', count(*), CAST(sum(len(list_intersect(truth_category, category))) AS BIGINT),
+      CAST(sum(len(list_filter(truth_category, lambda x: NOT list_contains(category, x)))) AS BIGINT),
+      CAST(sum(len(list_filter(category, lambda x: NOT list_contains(truth_category, x)))) AS BIGINT) FROM filled""",
 )
 def _(spark, d):
     from shoplens.operators.cleaning import split_all_empty
