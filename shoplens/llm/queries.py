@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, preference, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, preference, quality, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -29,6 +29,26 @@ def query(name: str, sql: str | None = None):
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
+@query("op1_quality")
+def quality_scores(spark, folder):
+    """Learns from four of five folds of the labelled documents, scores all."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = fold(F.col("doc_id"), 5) == 0
+    model = quality.fit(docs, labels.filter(~held).select("doc_id", F.col("quality").alias("label")))
+    found = quality.classify(docs, model)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op3_language_id")
+def languages(spark, folder):
+    """Learns from three of four folds, predicts for all rows."""
+    docs = table(spark, folder, "documents")
+    held = fold(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.filter(~held).select("doc_id", "text", "lang"))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "rejected")
+
+
 @query("op6_preference_format")
 def preference_format(spark, folder):
     return preference.format_pairs(preference.preference_pairs(table(spark, folder, "conversations")))
