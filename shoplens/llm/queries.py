@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, preference, quality, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, preference, quality, sentencepiece_trie, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -49,6 +49,16 @@ def languages(spark, folder):
     return found.select("doc_id", held.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "rejected")
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op4_sentencepiece")
+def piece_ids(spark, folder, model=PIECE_MODEL):
+    """Ids of every text, and whether decoding them gives the text back."""
+    docs = table(spark, folder, "documents")
+    return sentencepiece_trie.round_trip(docs, model)
+
+
 @query("op6_preference_format")
 def preference_format(spark, folder):
     return preference.format_pairs(preference.preference_pairs(table(spark, folder, "conversations")))

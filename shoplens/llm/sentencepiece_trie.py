@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding by forward passes over a trie of marked words.
 
-A text is cut before each run of marks (the blank's stand-in), where no piece of the model crosses. The distinct marked
+A text is cut before each run of marks (the blank's stand-in) and around line ends, where no piece of the model crosses. The distinct marked
 words of a task are sorted, which makes them a trie in depth-first order: a word takes over the forward states of the
 prefix it shares with the word before and extends them character by character. The state of a prefix is the last piece of
 its best segmentation and that segmentation's score.
@@ -13,6 +13,7 @@ merge result.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.words import pieces
 
 MARK = "▁"
-KEPT_WORDS = 200_000
+KEPT_WORDS = 300_000
 
 
 class Pieces:
@@ -42,9 +43,19 @@ class Pieces:
         self.first = self.processor.bos_id()
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a mark behind another character: texts can't be cut at marks")
+        alone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.ids))  # in no piece: a cut on both sides is exact
+        self.words = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|[{alone}]" if alone else "")).findall
+        probe = "  a  B\n\tc\u00a0\u00e9e\u0301\ufb01\u2460 "
+        self.plain = self.processor.normalize(probe) == MARK + probe.replace(" ", MARK)
         self.apart = lru_cache(1 << 20)(self._apart)
         self.whole = lru_cache(1 << 18)(self._whole)
 
+    def marked(self, text: str) -> str:
+        """The text as the model sees it: blanks as marks and one more in front; other models normalise further."""
+        if not text:
+            return ""
+        return MARK + text.replace(" ", MARK) if self.plain else self.processor.normalize(text)
+
     def merged(self, text: str) -> list[str]:
         """Pieces left when the best-scored neighbours merge until none can; the leftmost of equal ones first."""
         parts = list(text)
@@ -100,47 +111,56 @@ class Trie:
         return out[::-1]
 
 
-def marked_words(text: str) -> list[str]:
-    """Cut before each run of marks; line ends, which no piece holds, are words of their own."""
-    words, start = [], 0
-    n = len(text)
-    cut = text.find(MARK, 1)
-    while cut > 0:
-        if text[cut - 1] != MARK:
-            words.append(text[start:cut])
-            start = cut
-        cut = text.find(MARK, cut + 1)
-    if start < n:
-        words.append(text[start:])
-    return words
-
-
 @lru_cache(2)
 def _loaded(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _encoder(path: str):
+    """Function from texts to lists of ids, for use inside a task."""
+    model, recent, older = _loaded(path), {}, {}
+
+    def encoded(texts: list[str | None]) -> list[list[int] | None]:
+        nonlocal recent, older
+        parts = [model.words(model.marked(t or "")) for t in texts]
+        if len(recent) > KEPT_WORDS:
+            recent, older = {}, recent
+        trie = Trie(model)
+        for word in sorted(set().union(*parts).difference(recent)):
+            recent[word] = older[word] if word in older else trie.encode(word)
+        return [None if t is None else [i for w in p for i in recent[w]] for t, p in zip(texts, parts, strict=True)]
+
+    return encoded
+
+
+def _decoder(path: str):
+    """Function from lists of ids to texts, for use inside a task."""
+    model = _loaded(path)
+    spelled = [b""] * model.processor.vocab_size()
+    for piece, i in model.ids.items():
+        spelled[i] = piece.replace(MARK, " ").encode()
+    for b, i in enumerate(model.bytes):
+        spelled[i] = bytes([b])
+
+    def decoded(rows: list[list[int] | None]) -> list[str | None]:
+        joined = [None if r is None else b"".join([spelled[i] for i in r]) for r in rows]
+        return [None if t is None else t.decode("utf-8", "replace").removeprefix(" ") for t in joined]
+
+    return decoded
+
+
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of each row's text by the model file at ``path`` (present on every executor): doc_id, ids.
 
     Ids are those of the SentencePiece library for the same model, without begin and end marks. A null text gives null, an
-    empty one no ids. Repeated rows are encoded alike; other columns are not read. Each task keeps up to ``KEPT_WORDS``
-    encoded words between its batches, which changes no result.
+    empty one no ids. Repeated rows are encoded alike; other columns are not read. Each task keeps its latest
+    ``KEPT_WORDS`` or so encoded words between batches, which changes no result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = _loaded(path), {}
+        encoded = _encoder(path)
         for batch in pieces(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            parts = [marked_words(model.processor.normalize(t)) if t else [] for t in texts]
-            fresh = sorted({w for p in parts for w in p}.difference(known))
-            if len(known) + len(fresh) > KEPT_WORDS:
-                known = {}
-                fresh = sorted({w for p in parts for w in p})
-            trie = Trie(model)
-            for word in fresh:
-                known[word] = trie.encode(word)
-            ids = [None if t is None else [i for w in p for i in known[w]] for t, p in zip(texts, parts, strict=True)]
+            ids = encoded(batch.column("text").to_pylist())
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -149,17 +169,30 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
 
 def decode(rows: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """Text of each row's ids: doc_id, text. Byte pieces join to characters, marks turn into blanks and the leading
-    blank that encoding adds goes. Null stays null, no ids give the empty text."""
+    blank that encoding adds goes. Null stays null, no ids give the empty text. A mark in the original text comes back as a
+    blank: the model does not tell them apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _loaded(path)
-        spelled = [b""] * model.processor.vocab_size()
-        for piece, i in model.ids.items():
-            spelled[i] = piece.replace(MARK, " ").encode()
-        for b, i in enumerate(model.bytes):
-            spelled[i] = bytes([b])
+        decoded = _decoder(path)
         for batch in batches:
-            texts = [None if r is None else b"".join([spelled[i] for i in r]).decode("utf-8", "replace").removeprefix(" ") for r in batch.column("ids").to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string())})
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": pa.array(decoded(batch.column("ids").to_pylist()), pa.string())})
 
     return rows.select(F.col(id).cast("long").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, "doc_id bigint, text string")
+
+
+def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Encode each row and decode its ids again: doc_id, ids, n_ids, same (the decoded text is the text).
+
+    Rows are treated as in ``encode`` and ``decode``; a null text has null ids, 0 of them, and same is true.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoded, decoded = _encoder(path), _decoder(path)
+        for batch in pieces(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            ids = encoded(texts)
+            same = [a == b for a, b in zip(texts, decoded(ids), strict=True)]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())), "n_ids": pa.array([len(r or ()) for r in ids], pa.int64()), "same": pa.array(same, pa.bool_())})
+
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, ids array<int>, n_ids bigint, same boolean")
