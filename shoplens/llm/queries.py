@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, preference, quality, sentencepiece_trie, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, preference, quality, sentencepiece_trie, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -59,6 +59,12 @@ def piece_ids(spark, folder, model=PIECE_MODEL):
     return sentencepiece_trie.round_trip(docs, model)
 
 
+@query("op5_lm_score")
+def text_likelihoods(spark, folder):
+    """Learns from six of seven folds, scores all rows."""
+    return lm_hmm.score_texts(table(spark, folder, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 @query("op6_preference_format")
 def preference_format(spark, folder):
     return preference.format_pairs(preference.preference_pairs(table(spark, folder, "conversations")))
