@@ -21,8 +21,8 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def with_heavy_keys(rows: DataFrame, lookup: DataFrame, key: str, size: str, total: int, share: int = 1000) -> DataFrame:
-    """Inner join of rows to one lookup row per key, where ``size`` holds the key's number of rows.
+def with_heavy_keys(rows: DataFrame, lookup: DataFrame, keys: list[str], size: str, total: int, share: int = 1000) -> DataFrame:
+    """Inner join of rows to one lookup row per key (columns ``keys``), where ``size`` holds the key's number of rows.
 
     Keys with more than 1/``share`` of all ``total`` rows number fewer than ``share``, whatever the input:
     these lookup rows are broadcast, and the rows of all other keys meet by a sort-merge join in which no
@@ -30,5 +30,5 @@ def with_heavy_keys(rows: DataFrame, lookup: DataFrame, key: str, size: str, tot
     """
     heavy = F.col(size) * share > F.lit(total)
     few = F.broadcast(lookup.filter(heavy))
-    light = rows.join(F.broadcast(lookup.filter(heavy).select(key)), key, "left_anti")
-    return rows.join(few, key).unionByName(light.hint("merge").join(lookup.filter(~heavy), key))
+    light = rows.join(F.broadcast(lookup.filter(heavy).select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(light.hint("merge").join(lookup.filter(~heavy), keys))

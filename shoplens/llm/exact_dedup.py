@@ -72,7 +72,7 @@ def deduplicate(docs: DataFrame, index: DigestIndex, batch: str, id: str = "doc_
     held = index.open(spark).withColumn("now", F.col("batch") == batch).drop("batch")
     lookup = groups.select("digest", "group_size", "first").hint("merge").join(held, "digest")
     total = rows.count()
-    joined = with_heavy_keys(rows, lookup, "digest", "group_size", total)
+    joined = with_heavy_keys(rows, lookup, ["digest"], "group_size", total)
     return joined.select(
         "doc_id",
         "keep_id",

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, preference, quality, sentencepiece_trie, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, preference, quality, sentencepiece_trie, substring_dedup, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -39,6 +39,11 @@ def quality_scores(spark, folder):
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+@query("op2_substring_dedup")
+def repeated_windows(spark, folder):
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 @query("op3_language_id")
 def languages(spark, folder):
     """Learns from three of four folds, predicts for all rows."""
