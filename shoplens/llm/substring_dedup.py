@@ -173,8 +173,19 @@ def remove_repeats(docs: DataFrame, size: int = 35, id: str = "doc_id", text: st
     total = int(scanned.agg(F.coalesce(F.sum(F.size("name")), F.lit(0))).first()[0])
     shared = with_heavy_keys(entries.drop("times"), counted.drop("n"), ["name"], "rows", total)
     ranges = shared.groupBy("doc_id", "version").agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))  # at most one a word of the text
+
+    # Texts with the same words throughout repeat as a whole: one of them stands for all, counted twice.
+    groups = scanned.filter(F.col("n_words") >= size).groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "version")).alias("first"))
+    wholes = scanned.select("doc_id", "version", "whole")
+    copies = with_heavy_keys(wholes, groups.filter("n > 1"), ["whole"], "n", wholes.count())
+    first = F.struct("doc_id", "version").eqNullSafe(F.col("first"))
+    copies = materialise(copies.select("doc_id", "version", first.alias("first")).distinct(), "copies")
+    same = ranges["doc_id"].eqNullSafe(copies["doc_id"]) & (ranges["version"] == copies["version"])
+    ranges = ranges.join(copies, same, "left").filter(F.coalesce("first", F.lit(True))).select(
+        ranges["doc_id"], ranges["version"], "ranges", F.when(F.col("first"), 2).otherwise(1).alias("weight")
+    )
     same = rows["doc_id"].eqNullSafe(ranges["doc_id"]) & (rows["version"] == ranges["version"])
-    texts = materialise(rows.join(ranges, same).select(rows["doc_id"], rows["version"], "text", "ranges"), "candidates")
+    texts = materialise(rows.join(ranges, same).select(rows["doc_id"], rows["version"], "text", "ranges", "weight"), "candidates")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -191,19 +202,21 @@ def remove_repeats(docs: DataFrame, size: int = 35, id: str = "doc_id", text: st
             name, check = Spans(words.names)(at, at + size), Spans(words.names, 1)(at, at + size)
             yield pa.record_batch(
                 {
-                    "doc_id": batch.column("doc_id"), "version": batch.column("version"), "name": _lists(name.astype(np.int64), bounds, pa.int64()),
+                    "doc_id": batch.column("doc_id"), "version": batch.column("version"), "weight": batch.column("weight"), "name": _lists(name.astype(np.int64), bounds, pa.int64()),
                     "check": _lists((check >> np.uint64(32)).astype(np.uint32).view(np.int32), bounds, pa.int32()),
                     "at": _lists(at - np.repeat(words.first[:-1], np.diff(bounds)), bounds, pa.int32()),
                 }
             )
 
-    spelled = texts.mapInArrow(spell, "doc_id bigint, version bigint, name array<bigint>, check array<int>, at array<int>")
-    windows = spelled.select("doc_id", "version", F.explode(F.arrays_zip("name", "check", "at")).alias("e")).select("doc_id", "version", "e.*")
-    repeated = materialise(windows.groupBy("name", "check").agg(F.count(F.lit(1)).alias("n")), "windows")
+    spelled = texts.mapInArrow(spell, "doc_id bigint, version bigint, weight int, name array<bigint>, check array<int>, at array<int>")
+    entry = F.explode(F.arrays_zip("name", "check", "at")).alias("e")
+    windows = spelled.select("weight", entry).select("weight", "e.name", "e.check")
+    repeated = materialise(windows.groupBy("name", "check").agg(F.sum("weight").alias("n")).filter("n > 1"), "windows")
     total = int(repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    met = with_heavy_keys(windows, repeated.filter("n > 1"), ["name", "check"], "n", total)
+    windows = spelled.filter("weight = 1").select("doc_id", "version", entry).select("doc_id", "version", "e.*")
+    met = with_heavy_keys(windows, repeated, ["name", "check"], "n", total)
     starts = met.groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts"))  # at most one a word of the text
-    own = texts.select("doc_id", "version", "text").dropDuplicates(["doc_id", "version"])
+    own = texts.filter("weight = 1").select("doc_id", "version", "text").dropDuplicates(["doc_id", "version"])
     same = own["doc_id"].eqNullSafe(starts["doc_id"]) & (own["version"] == starts["version"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +239,9 @@ def remove_repeats(docs: DataFrame, size: int = 35, id: str = "doc_id", text: st
             )
 
     removed = own.join(starts, same).select(own["doc_id"], own["version"], "text", "starts").mapInArrow(cut, "doc_id bigint, version bigint, n_removed bigint, kept string")
-    same = scanned["doc_id"].eqNullSafe(removed["doc_id"]) & (scanned["version"] == removed["version"])
-    return scanned.join(removed, same, "left").select(
-        scanned["doc_id"], "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept", "whole").alias("kept_sha256")
+    removed = removed.withColumn("copied", F.lit(False)).unionByName(
+        copies.select("doc_id", "version", F.lit(None).cast("bigint").alias("n_removed"), F.sha2(F.lit(""), 256).alias("kept"), F.lit(True).alias("copied"))
     )
+    same = scanned["doc_id"].eqNullSafe(removed["doc_id"]) & (scanned["version"] == removed["version"])
+    lost = F.when(F.col("copied"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
+    return scanned.join(removed, same, "left").select(scanned["doc_id"], "n_words", lost.alias("n_removed"), F.coalesce("kept", "whole").alias("kept_sha256"))
