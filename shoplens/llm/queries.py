@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, preference, quality, sentencepiece_trie, substring_dedup, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, substring_dedup, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -94,6 +94,11 @@ def exact_duplicates(spark, folder):
     return exact_dedup.deduplicate(table(spark, folder, "documents"), index, uuid.uuid4().hex)
 
 
+@query("op9_ngram_jaccard")
+def near_duplicate_components(spark, folder):
+    return ngram_jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op10_decontamination")
 def benchmark_leaks(spark, folder):
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
