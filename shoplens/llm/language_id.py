@@ -144,3 +144,18 @@ def identify(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "tex
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), has_letter(F.col(text)).alias("lettered"))
     return rows.mapInArrow(judge, "doc_id bigint, lang string, score double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text ``identify`` does not reject; one pass without a join."""
+    flag = next(n for n in (f"lettered_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            keep = np.asarray(batch.column(flag).to_numpy(zero_copy_only=False), dtype=bool)
+            if len(model.languages) and keep.any():
+                near = weighted(term_counts(batch.column(text)), model.idf) @ model.centroids.T
+                keep = keep & (near.max(1) >= model.least[model.owner[near.argmax(1)]])
+            yield batch.drop_columns([flag]).filter(pa.array(keep & bool(model.languages)))
+
+    return docs.withColumn(flag, has_letter(F.col(text))).mapInArrow(judge, docs.schema)
