@@ -12,9 +12,11 @@ FLOAT_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ENTITY_PIECES = r"(&#?[A-Za-z0-9]+;|[^&]+|&)"
 
 
-def _code_point(digits: Column, base: int) -> Column:
-    number = F.conv(digits, base, 16)
-    return F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
+def _character(digits: Column, base: int, piece: Column) -> Column:
+    """Character of a number reference; references beyond Unicode and to surrogates stay as they are."""
+    number = F.conv(digits, base, 10).cast("bigint")
+    character = F.decode(F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0")), "UTF-32")
+    return F.when((number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF), character).otherwise(piece)
 
 
 def unescape_html(text: Column) -> Column:
@@ -27,8 +29,8 @@ def unescape_html(text: Column) -> Column:
         body = F.substring(piece, 2, F.length(piece) - 2)
         return (
             F.when(~piece.rlike("^&.+;$"), piece)
-            .when(body.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), _code_point(F.substring(body, 3, 8), 16))
-            .when(body.rlike("^#[0-9]{1,7}$"), _code_point(F.substring(body, 2, 8), 10))
+            .when(body.rlike("^#[xX]0*[0-9A-Fa-f]{1,6}$"), _character(F.regexp_extract(body, "^#[xX]0*([0-9A-Fa-f]{1,6})$", 1), 16, piece))
+            .when(body.rlike("^#0*[0-9]{1,7}$"), _character(F.regexp_extract(body, "^#0*([0-9]{1,7})$", 1), 10, piece))
             .otherwise(F.coalesce(F.try_element_at(named, body), piece))
         )
 

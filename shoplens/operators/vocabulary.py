@@ -352,15 +352,19 @@ def replace_tokens(
 ) -> DataFrame:
     """Tokens found in the mapping (one row per ``old``) replaced, order kept.
 
-    ``key`` identifies a row. Frequent tokens spread by salt; a row's tokens regroup by key.
+    Each distinct token list is replaced once and given to all its rows, so rows of one ``key`` never mix. Rows without tokens
+    keep an empty text.
     """
-    placed = queries.select(key, F.posexplode(tokens).alias("_pos", old))
+    lists = queries.select(F.col(tokens).alias("_list")).filter(F.size("_list") > 0).distinct()
+    placed = lists.select("_list", F.posexplode("_list").alias("_pos", old))
     swapped = lookup_join(placed, mapping.select(old, new), [old], "left")
-    merged = swapped.groupBy(key).agg(
+    merged = swapped.groupBy("_list").agg(
         F.array_sort(F.collect_list(F.struct("_pos", F.coalesce(new, old).alias("_token")))).alias("_parts")
     )
     text = F.array_join(F.transform("_parts", lambda p: p["_token"]), " ")
-    return merged.select(key, text.alias("corrected"), (F.size("_parts")).alias("tokens"))
+    found = merged.select("_list", text.alias("corrected"), F.size("_parts").alias("tokens"))
+    rows = queries.select(key, F.col(tokens).alias("_list")).join(found, "_list", "left")
+    return rows.select(key, F.coalesce("corrected", F.lit("")).alias("corrected"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
 
 
 def phrase_variants(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
@@ -415,8 +419,14 @@ def brand_chunks(brands: DataFrame, brand: str = "brandname") -> DataFrame:
     )
 
 
-def longest_phrase(queries: DataFrame, phrases: DataFrame, max_tokens: int = 4, key: str = "query", tokens: str = "tokens") -> DataFrame:
+def _most_tokens(lookup: DataFrame, column: str) -> int:
+    """Tokens of the longest entry of a lookup."""
+    return max(1, lookup.agg(F.coalesce(F.max(F.size(F.split(column, " "))), F.lit(1))).first()[0])
+
+
+def longest_phrase(queries: DataFrame, phrases: DataFrame, key: str = "query", tokens: str = "tokens") -> DataFrame:
     """The longest known phrase inside each query; equal lengths by text. Queries without any are left out."""
+    max_tokens = _most_tokens(phrases, "phrase")
     grams = F.flatten(F.array(*[ngrams(F.col(tokens), n) for n in range(1, max_tokens + 1)]))
     rows = queries.select(key, F.explode_outer(F.array_distinct(grams)).alias("phrase")).filter(F.col("phrase").isNotNull())
     found = lookup_join(rows, phrases.select("phrase").distinct(), ["phrase"])
@@ -425,11 +435,12 @@ def longest_phrase(queries: DataFrame, phrases: DataFrame, max_tokens: int = 4,
     return found.groupBy(key).agg(best.alias("phrase"), F.max(length).alias("phrase_tokens"))
 
 
-def identify_intent(queries: DataFrame, lookups: dict[str, DataFrame], key: str = "query", tokens: str = "tokens", max_tokens: int = 2) -> DataFrame:
+def identify_intent(queries: DataFrame, lookups: dict[str, DataFrame], key: str = "query", tokens: str = "tokens") -> DataFrame:
     """(query, kind, value) rows: the lookup values of a query's tokens and short phrases.
 
     Each lookup has token and value. Values stay in long form, one row each.
     """
+    max_tokens = max((_most_tokens(table, "token") for table in lookups.values()), default=1)
     grams = F.flatten(F.array(*[ngrams(F.col(tokens), n) for n in range(1, max_tokens + 1)]))
     rows = queries.select(key, F.explode_outer(F.array_distinct(grams)).alias("token")).filter(F.col("token").isNotNull())
     united = reduce(

@@ -53,10 +53,10 @@ def _(spark, d):
 @query(
     "sort_ctr",
     f"""WITH {CTR_SQL} SELECT query, round(least(m, 1.0), 6) AS avg_ctr_query_level FROM (SELECT query, avg(ctr) AS m FROM joined
-    WHERE ctr IS NOT NULL GROUP BY query) ORDER BY m DESC, query LIMIT 100""",
+    WHERE ctr IS NOT NULL GROUP BY query) ORDER BY m DESC, query""",
 )
 def _(spark, d):
-    return flat(qu.query_ctr(joined_ctr(spark, d)).limit(100))
+    return flat(qu.query_ctr(joined_ctr(spark, d)))
 
 
 @query("agg_ctr_coverage", f"WITH {CTR_SQL} SELECT count(*) FILTER (WHERE ctr IS NULL) AS null_ctr, count(*) AS total FROM joined")

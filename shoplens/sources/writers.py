@@ -24,11 +24,8 @@ def _filesystem(spark: SparkSession, path: str):
     return jvm, target.getFileSystem(conf), conf
 
 
-def write_named_csv(df: DataFrame, folder: str, name: str, copy_to: str | None = None, max_rows: int = 5_000_000) -> str:
-    """One CSV file of a given name, for dictionaries. Larger tables are refused, not shortened."""
-    rows = df.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for one file; use write_csv")
+def write_named_csv(df: DataFrame, folder: str, name: str, copy_to: str | None = None) -> str:
+    """One CSV file of a given name, for dictionaries; one task writes it, row by row. Large tables belong to ``write_csv``."""
     spark = df.sparkSession
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
     jvm, fs, conf = _filesystem(spark, folder)

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.functions.text import unescape_html
+from shoplens.operators import vocabulary
 from shoplens.functions import arrays as ar
 from shoplens.functions import text as tx
 from shoplens.operators import cleaning as cl
@@ -125,9 +127,30 @@ def test_landed_files_are_listed(spark, tmp_path):
     assert [r.type for r in rows] == ["zsr"]
 
 
-def test_named_csv_refuses_large_tables(spark, tmp_path):
-    with pytest.raises(ValueError):
-        wr.write_named_csv(spark.range(10), str(tmp_path / "x"), "x.csv", max_rows=5)
+def test_named_csv_holds_all_rows(spark, tmp_path):
+    wr.write_named_csv(spark.range(10), str(tmp_path / "x"), "x.csv")
+    assert (tmp_path / "x" / "x.csv").read_text().split() == ["id", *map(str, range(10))]
+
+
+def test_number_references_outside_unicode_stay(spark):
+    texts = ["&#9999999;", "&#xD800;", "&#55296; a", "&#00000000065;", "&#x000000042;", "&#x10FFFF;", "&#1114112;"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(unescape_html(F.col("t"))).collect()]
+    assert got == ["&#9999999;", "&#xD800;", "&#55296; a", "A", "B", chr(0x10FFFF), "&#1114112;"]
+
+
+def test_replaced_rows_stay_apart(spark):
+    rows = spark.createDataFrame([(1, ["x"]), (1, ["z"]), (2, []), (3, None), (4, ["x", "z", "x"]), (4, ["x", "z", "x"])], "query int, tokens array<string>")
+    mapping = spark.createDataFrame([("x", "y")], "wrongword string, rightword string")
+    got = sorted((r.query, r.corrected, r.tokens) for r in vocabulary.replace_tokens(rows, mapping).collect())
+    assert got == [(1, "y", 1), (1, "z", 1), (2, "", 0), (3, "", 0), (4, "y z y", 3), (4, "y z y", 3)]
+
+
+def test_long_phrases_are_found(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", "c", "d", "e", "f"])], "query int, tokens array<string>")
+    phrases = spark.createDataFrame([("a b c d e",), ("b c",)], "phrase string")
+    assert [r.phrase for r in vocabulary.longest_phrase(rows, phrases).collect()] == ["a b c d e"]
+    values = spark.createDataFrame([("c d e", "kind")], "token string, value string")
+    assert [r.value for r in vocabulary.identify_intent(rows, {"category": values}).collect()] == ["kind"]
 
 
 def test_archive_rerun_changes_nothing(spark, tmp_path):
