@@ -40,6 +40,7 @@ class Pieces:
         self.scores = {p: self.processor.get_score(i) for p, i in self.ids.items()}
         self.bytes = [self.processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.longest = max(map(len, self.ids))
+        self.recent, self.older = {}, {}  # encoded words, kept while the worker process lives
         self.first = self.processor.bos_id()
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a mark behind another character: texts can't be cut at marks")
@@ -118,13 +119,13 @@ def _loaded(path: str) -> Pieces:
 
 def _encoder(path: str):
     """Function from texts to lists of ids, for use inside a task."""
-    model, recent, older = _loaded(path), {}, {}
+    model = _loaded(path)
 
     def encoded(texts: list[str | None]) -> list[list[int] | None]:
-        nonlocal recent, older
         parts = [model.words(model.marked(t or "")) for t in texts]
-        if len(recent) > KEPT_WORDS:
-            recent, older = {}, recent
+        if len(model.recent) > KEPT_WORDS:
+            model.recent, model.older = {}, model.recent
+        recent, older = model.recent, model.older
         trie = Trie(model)
         for word in sorted(set().union(*parts).difference(recent)):
             recent[word] = older[word] if word in older else trie.encode(word)
@@ -153,7 +154,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
     """Ids of each row's text by the model file at ``path`` (present on every executor): doc_id, ids.
 
     Ids are those of the SentencePiece library for the same model, without begin and end marks. A null text gives null, an
-    empty one no ids. Repeated rows are encoded alike; other columns are not read. Each task keeps its latest
+    empty one no ids. Repeated rows are encoded alike; other columns are not read. A worker keeps the latest
     ``KEPT_WORDS`` or so encoded words between batches, which changes no result.
     """
 
