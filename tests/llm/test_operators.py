@@ -84,6 +84,32 @@ def test_near_duplicates(docs, none):
     assert ngram_jaccard.near_duplicates(none).collect() == []
 
 
+@pytest.mark.parametrize(("rounds", "crowd", "rare"), [(0, 2, 1), (0, 3, 4), (2, 4, 2)])
+def test_crowds_lose_no_link(spark, monkeypatch, rounds, crowd, rare):
+    """Copies of one text with few to many edits out of few words: some link with each other only, not with a hub."""
+    for name, value in (("HUB_ROUNDS", rounds), ("CROWD", crowd), ("RARE", rare)):
+        monkeypatch.setattr(ngram_jaccard, name, value)
+    random = np.random.default_rng(rare)
+    base = [f"w{k}" for k in random.integers(0, 400, 90)]
+    rows = []
+    for i in range(60):
+        copy = list(base) if i % 3 else list(rows[i // 2]) if i else list(base)
+        for at in random.choice(90, random.integers(0, 7), replace=False):
+            copy[at] = f"v{random.integers(0, 3)}"
+        rows.append(copy[: 90 - random.integers(0, 12)] if i % 7 == 0 else copy)
+        rows[-1] += ["pad"] * (90 - len(rows[-1]))
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    assert 5 < len(set(group)) < 60
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in ngram_jaccard.near_duplicates(frame).collect()} == dict(enumerate(group))
+
+
 @pytest.mark.parametrize("share", [0.0, 0.5, 1.0])
 @pytest.mark.parametrize("n", [2, 3, 5, 9, 16, 23, 64, 130])
 def test_entries_are_shared(n, share):
