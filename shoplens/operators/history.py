@@ -158,7 +158,8 @@ def top_queries_by_length(
     sized = history.withColumn("length", F.size("query_normalised")).filter(F.col("length").isin(*lengths))
     freq = sized.groupBy("length", "search_term").agg(F.sum("freq").alias("freq"))
     top = top_n_per_group(freq, ["length"], [F.desc("freq"), F.asc("search_term")], n)
-    skus = sized.select("search_term", "sku").distinct()
+    wanted = top.select("search_term").distinct()  # before value sets are built
+    skus = sized.join(wanted, "search_term", "left_semi").select("search_term", "sku").distinct()
     values = lookup_join(skus, catalogue.select("sku", attribute), ["sku"]).groupBy("search_term").agg(
         F.array_sort(F.collect_set(attribute)).alias("values")
     )

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-UNKNOWN_BYTES = 1 << 44
 POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -49,8 +48,8 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+def _conf_bytes(spark: SparkSession, name: str) -> int:
+    raw = spark.conf.get(name)
     try:
         return int(raw)
     except ValueError:
@@ -60,6 +59,10 @@ def broadcast_limit(spark: SparkSession) -> int:
         return int(number) * units.get(text[len(number):], 1)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    return _conf_bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Set a column whose costly value later filters read several times.
 
@@ -70,24 +73,27 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
 
 
-def spread(df: DataFrame, bytes_per_task: int = 4 << 20, most: int = 20_000) -> DataFrame:
-    """Round-robin rows over enough tasks for a step that multiplies its input many times.
-
-    Small tables would otherwise be coalesced into one task by their input bytes. Estimates of joined
-    or external rows can be far too large; those beyond UNKNOWN_BYTES fall back to the session's counts.
-    """
+def _few_tasks(df: DataFrame) -> int:
+    """Tasks to deal a table over that has too few file splits to keep all cores busy; 0 where it has enough."""
     spark = df.sparkSession
     least = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    size = estimated_bytes(df)
-    return df.repartition(least if size > UNKNOWN_BYTES else min(most, max(least, size // bytes_per_task)))
+    return least if estimated_bytes(df) < least * _conf_bytes(spark, "spark.sql.files.maxPartitionBytes") else 0
 
 
-def spread_small(df: DataFrame, below: int = 1 << 30) -> DataFrame:
-    """Spread the rows of a small table, which is often a single file split, before costly row work.
+def spread(df: DataFrame) -> DataFrame:
+    """Even tasks for a step that multiplies its input many times.
 
-    A table of ``below`` bytes or more has splits enough and stays as it is.
+    Small tables, otherwise one task by their bytes, are dealt over all cores. Larger ones are rebalanced, in tasks
+    that adaptive execution cuts by the bytes it measures: their number has no upper bound and needs no estimate.
     """
-    return spread(df) if estimated_bytes(df) < below else df
+    tasks = _few_tasks(df)
+    return df.repartition(tasks) if tasks else df.hint("rebalance")
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread the rows of a table with fewer file splits than the cluster has work for; others stay as they are."""
+    tasks = _few_tasks(df)
+    return df.repartition(tasks) if tasks else df
 
 
 def lookup_join(

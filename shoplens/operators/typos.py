@@ -478,7 +478,9 @@ def single_pass(df: DataFrame, query: str = "query", seed: int = 7) -> DataFrame
         mistake = F.when(F.col("_kind") == i, made[kind]).otherwise(mistake)
     usable = w.isNotNull() & (n > 0)
     out = df.withColumn("_kind", kind_index).withColumn("_made", F.when(usable, F.coalesce(mistake, w)).otherwise(w))
-    same = F.array_distinct(F.split(w, r"\s+")) == F.array_distinct(F.split("_made", r"\s+"))
+    # blanks at the end make no word
+    distinct = lambda text: F.array_distinct(F.split(F.regexp_replace(text, r"\s+$", ""), r"\s+"))
+    same = distinct(w) == distinct(F.col("_made"))
     kinds = F.array(*map(F.lit, SINGLE_PASS_KINDS))
     unchanged = ~usable | same
     return out.withColumns(

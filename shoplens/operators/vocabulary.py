@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens.functions.damerau import similarity_scores
 from shoplens.functions.text import normal_tokens
 from shoplens.operators.history import share_until
 from shoplens.operators.scale import lookup_join, spread, top_n_per_group
@@ -333,6 +334,17 @@ def pair_history(
     )
 
 
+def sound_key(word: Column) -> Column:
+    """First letter and the later ones without vowels, h, w and y: how a word sounds, roughly. Definition is ours."""
+    return F.concat(F.substring(word, 1, 1), F.regexp_replace(F.substring(word, 2, 1 << 30), "[aeiouhwy]", ""))
+
+
+def pair_scores(pairs: DataFrame) -> DataFrame:
+    """Similarity of the two words of a pair, and of their sound keys: levenshtein_score, phonetic_score."""
+    keyed = pairs.withColumns({"_wrong": sound_key(F.col("wrongword")), "_right": sound_key(F.col("rightword"))})
+    return similarity_scores(keyed, {"levenshtein_score": ("wrongword", "rightword"), "phonetic_score": ("_wrong", "_right")}).drop("_wrong", "_right")
+
+
 def final_scores(pairs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """Weighted sum of the scores of a wrong-to-right pair; a missing score counts as 0."""
     weights = weights or {"levenshtein_score": 0.25, "phonetic_score": 0.25, "history_score": 0.5}

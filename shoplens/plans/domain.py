@@ -165,6 +165,14 @@ def named_queries(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("tokens", normal_tokens(F.col("query")))
 
 
+def similarity_sql(a: str, b: str) -> str:
+    return f"(1.0::DOUBLE - damerau_levenshtein({a}, {b}) / greatest(length({a}), length({b})))"
+
+
+def sound_sql(word: str) -> str:
+    return f"({word}[1] || regexp_replace({word}[2:], '[aeiouhwy]', '', 'g'))"
+
+
 NAMED_QUERIES = f"""named_queries AS (
   SELECT query, freq, {tokens_sql('query')} AS tokens
   FROM (SELECT lower(p_name || ' ' || p_brand) AS query, count(*) AS freq FROM part GROUP BY 1))"""

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shoplens.functions.damerau import similarity_scores
 from shoplens.operators import quality as qu
 from shoplens.operators import typos as ty
-from shoplens.plans.domain import NAMED_QUERIES, WORDS, named_queries, table, words
+from shoplens.operators.vocabulary import pair_scores
+from shoplens.plans.domain import NAMED_QUERIES, WORDS, named_queries, similarity_sql, sound_sql, table, words
 from shoplens.plans.registry import flat, query
 
 
@@ -224,7 +224,7 @@ def _(spark, d):
 
 @query("mistake_single_pass")
 def _(spark, d):
-    return ty.single_pass(words(spark, d).withColumnRenamed("word", "query"))
+    return ty.single_pass(named_queries(spark, d).select("query"))
 
 
 @query(
@@ -283,7 +283,8 @@ adj AS (SELECT DISTINCT a AS wrongword, b AS rightword FROM (SELECT unnest(token
 @query(
     "damerau_similarity",
     f"""WITH {NEIGHBOUR_SQL} SELECT wrongword, rightword,
-    round(1.0::DOUBLE - damerau_levenshtein(wrongword, rightword) / greatest(length(wrongword), length(rightword)), 6) AS levenshtein_score FROM adj""",
+    round({similarity_sql("wrongword", "rightword")}, 6) AS levenshtein_score, round({similarity_sql(sound_sql("wrongword"), sound_sql("rightword"))}, 6) AS phonetic_score
+    FROM adj""",
 )
 def _(spark, d):
     from shoplens.operators.vocabulary import ngrams
@@ -291,4 +292,4 @@ def _(spark, d):
     letters = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
     pairs = table(spark, d, "conversations").select(F.explode_outer(ngrams(F.split(letters, " "), 2)).alias("p")).filter(F.col("p").isNotNull()).distinct()
     sides = pairs.select(F.split("p", " ")[0].alias("wrongword"), F.split("p", " ")[1].alias("rightword"))
-    return flat(similarity_scores(sides, {"levenshtein_score": ("wrongword", "rightword")}))
+    return flat(pair_scores(sides).select("wrongword", "rightword", "levenshtein_score", "phonetic_score"))

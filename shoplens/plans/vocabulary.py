@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shoplens.functions.damerau import similarity_scores
 from shoplens.functions.text import normal_tokens
 from shoplens.operators import recommend as re
 from shoplens.operators import vocabulary as vo
 from shoplens.operators.history import history_affinity
 from shoplens.plans.domain import (
     HISTORY, NAMED_QUERIES, NAME_PAIRS, PRODUCTS, SHEET, TURN_QUERIES, WORD_COUNTS, history, name_pairs, named_queries, products,
-    synonyms_sheet, table, tokens_sql, turn_queries, vectors, word_counts,
+    similarity_sql, sound_sql, synonyms_sheet, table, tokens_sql, turn_queries, vectors, word_counts,
 )
 from shoplens.plans.registry import flat, query
 
@@ -249,13 +248,12 @@ def _(spark, d):
     return flat(w2r_history(spark, d))
 
 
-FINAL_SQL = f"""{W2R_SQL}, fs AS (SELECT wrongword, rightword, round(0.25 * lev + 0.25 * lev + 0.5 * hits / total, 6) AS final_score FROM (SELECT *,
-  1.0::DOUBLE - damerau_levenshtein(wrongword, rightword) / greatest(length(wrongword), length(rightword)) AS lev FROM w2r))"""
+FINAL_SQL = f"""{W2R_SQL}, fs AS (SELECT wrongword, rightword, round(0.25 * lev + 0.25 * sound + 0.5 * hits / total, 6) AS final_score FROM (SELECT *,
+  {similarity_sql('wrongword', 'rightword')} AS lev, {similarity_sql(sound_sql('wrongword'), sound_sql('rightword'))} AS sound FROM w2r))"""
 
 
 def scored_pairs(spark, d):
-    rows = similarity_scores(w2r_history(spark, d), {"levenshtein_score": ("wrongword", "rightword")})
-    rows = rows.withColumn("phonetic_score", F.col("levenshtein_score"))
+    rows = vo.pair_scores(w2r_history(spark, d))
     return vo.final_scores(rows).select("wrongword", "rightword", F.round("final_score", 6).alias("final_score"))
 
 

@@ -125,3 +125,32 @@ def test_damerau_distance(spark):
     df = spark.createDataFrame([*pairs, (None, "a")], "a string, b string")
     got = [r.s for r in df.select(damerau_similarity(F.col("a"), F.col("b")).alias("s")).collect()]
     assert got[0] == 0.5 and got[-1] is None
+
+
+def test_blank_lost_at_the_end_is_no_mistake(spark):
+    rows = spark.createDataFrame([(f"{a}{b} ",) for a in "abcdefghij" for b in ("xyz", "lmno", "pq rs")], ["query"])
+    found = ty.single_pass(rows).filter(F.rtrim("mistake") == F.rtrim("query")).collect()
+    assert found and {r.mistake_type for r in found} == {"no-mistake"}
+    lost = [s for seed in range(12) for s in ty.single_pass(rows, seed=seed).filter(F.length("mistake") < F.length("query")).collect() if s.mistake == s.query.rstrip()]
+    assert not lost
+
+
+def test_sound_score_differs_from_letter_score(spark):
+    from shoplens.operators.vocabulary import pair_scores
+
+    rows = spark.createDataFrame([("colour", "color"), ("cat", "dog"), ("a", "a")], ["wrongword", "rightword"])
+    got = {r.wrongword: (round(r.levenshtein_score, 4), round(r.phonetic_score, 4)) for r in pair_scores(rows).collect()}
+    assert got == {"colour": (0.8333, 1.0), "cat": (0.0, 0.0), "a": (1.0, 1.0)}
+
+
+def test_spread_keeps_rows_and_busy_cores(spark):
+    from shoplens.operators.scale import spread
+
+    small = spread(spark.range(1000))
+    assert small.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        large = spread(spark.range(1000))
+        assert large.count() == 1000 and "rebalance" in large._jdf.queryExecution().logical().toString().lower()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
