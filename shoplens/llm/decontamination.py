@@ -2,8 +2,8 @@
 
 Texts become word templates: digit runs, names and units turn into typed placeholders. Windows of template
 words are joined by hash to the benchmark's, so a question asked again with other numbers or names still
-meets its item. Each aligned match then has its slots checked: one item value must always stand for one
-document value, and back.
+meets its item. Each aligned match then has its changed slots checked: an item value that changes must always stand
+for one document value. Windows that keep their values need no check.
 """
 
 from __future__ import annotations
@@ -36,16 +36,17 @@ def _is_slot(word: Column) -> Column:
 
 
 def _windows(size: int, stride: int) -> Column:
-    """Array of (size, hash, at, slots) over the columns words, hashes, raw; slots is null without placeholders.
+    """Array of (size, hash, at, slots) over the columns words, hashes, raw.
 
-    The hash takes the window's word hashes in order; ``at`` counts words from 0.
+    The hash takes the window's word hashes in order; ``at`` counts words from 0. ``slots`` has the raw word of each
+    placeholder and null for each real word, and is null without placeholders.
     """
 
     def at(i: Column) -> Column:
         parts = [F.element_at("hashes", i + k) for k in range(1, size + 1)]
         span = F.slice("words", i + 1, F.lit(size))
         pairs = F.arrays_zip(span.alias("w"), F.slice("raw", i + 1, F.lit(size)).alias("v"))
-        slots = F.transform(F.filter(pairs, lambda p: _is_slot(p["w"])), lambda p: p["v"])
+        slots = F.transform(pairs, lambda p: F.when(_is_slot(p["w"]), p["v"]))
         return F.struct(
             F.lit(size).alias("size"), F.xxhash64(*parts).alias("hash"), i.alias("at"),
             F.when(F.col("slotted") & F.exists(span, _is_slot), slots).alias("slots"),
@@ -79,8 +80,10 @@ def contaminated(
     Windows are ``WINDOW`` template words, every one of an item against every ``STRIDE``-th of a document, so any
     passage of ``WINDOW + STRIDE - 1`` words meets. Windows with fewer than ``LITERALS`` real words do not count. Items
     too short for that are windows of their own, compared at every place. A document holds an item when aligned
-    windows cover at least ``ENOUGH`` words of it (for shorter items: what a whole copy is sure to cover) and the
-    slots are consistent: every item value stands for one document value and the other way round.
+    windows cover at least ``ENOUGH`` words of it (for shorter items: what a whole copy is sure to cover). Windows without
+    placeholders or with the item's own values always count. One with a changed value counts unless that item value stands
+    for several document values in the alignment; two item values may become one. In an alignment with such a conflict
+    nothing confirms the other changes, so their words are not counted as covered.
 
     The item windows are written first, so Spark broadcasts them only if their size on disk is under the session's limit
     and sorts and merges otherwise. Null and empty texts hold nothing; rows with a null id are reported under null;
@@ -115,18 +118,25 @@ def contaminated(
         "doc_id", F.col("w.size").alias("size"), F.col("w.hash").alias("hash"), F.col("w.at").alias("at"), F.col("w.slots").alias("slots")
     )
     met = seen.join(known, ["size", "hash"])
-    pairs = F.when(F.col("slots").isNotNull() & F.col("item_slots").isNotNull(), F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))
-    lined = met.withColumn("pairs", pairs).groupBy("doc_id", "item_id", "item_words", "needed", "size", (F.col("at") - F.col("item_at")).alias("offset")).agg(
-        F.countDistinct("at").alias("windows"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),  # bounded by the item's own words
+    place = F.col("item_at")
+    pairs = F.filter(
+        F.transform(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p, k: F.struct((place + k).alias("at"), p["i"].alias("i"), p["d"].alias("d"))),
+        lambda p: p["i"].isNotNull(),
     )
-    left, right = F.transform("pairs", lambda p: p["i"]), F.transform("pairs", lambda p: p["d"])
-    one_to_one = (F.size(F.array_distinct(left)) == F.size("pairs")) & (F.size(F.array_distinct(right)) == F.size("pairs"))
-    covered = F.least(F.col("item_words"), F.col("size") + STRIDE * (F.col("windows") - 1))
-    best = lined.filter(one_to_one).groupBy("doc_id", "item_id", "item_words", "needed").agg(
-        F.sum("windows").alias("windows"),
-        F.least(F.col("item_words"), F.sum(covered)).cast("long").alias("covered_words"),
-        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+    window = F.struct(place.alias("at"), F.col("size"), F.coalesce(pairs, F.array()).alias("pairs"))
+    lined = met.groupBy("doc_id", "item_id", "item_words", "needed", (F.col("at") - place).alias("offset")).agg(F.collect_set(window).alias("met"))  # at most the item's windows a text
+    value = lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d"))
+    lined = lined.withColumn("pairs", F.array_distinct(F.transform(F.flatten("met.pairs"), value)))
+    values = F.array_distinct("pairs.i")
+    torn = F.filter(values, lambda v: F.size(F.filter("pairs", lambda p: p["i"] == v)) > 1)
+    lined = lined.withColumn("torn", F.when(F.size(values) < F.size("pairs"), torn).otherwise(F.array()))
+    lined = lined.withColumn("met", F.filter("met", lambda w: ~F.exists(w["pairs"], lambda p: (p["i"] != p["d"]) & F.array_contains("torn", p["i"]))))
+    covered = F.array_distinct(F.flatten(F.transform("met", lambda w: F.sequence(w["at"], w["at"] + w["size"] - 1))))
+    changed = F.transform(F.filter(F.flatten("met.pairs"), lambda p: p["i"] != p["d"]), lambda p: p["at"])
+    best = lined.groupBy("doc_id", "item_id", "item_words", "needed").agg(
+        F.sum(F.size("met")).cast("long").alias("windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.size("torn") > 0, F.array_except(covered, changed)).otherwise(covered))))).cast("long").alias("covered_words"),
+        F.array_distinct(F.flatten(F.collect_set(F.transform(F.flatten("met.pairs"), value)))).alias("pairs"),
     )
     return best.filter(F.col("covered_words") >= F.col("needed")).select(
         "doc_id", "item_id", "windows", "covered_words", F.col("item_words").cast("long").alias("item_words"),

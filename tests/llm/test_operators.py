@@ -245,6 +245,22 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(docs, bench.limit(0)).collect() == [] == decontamination.contaminated(rows.limit(0), bench).collect()
 
 
+def leaks(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {(r.doc_id, r.item_id): r for r in decontamination.contaminated(rows, bench).collect()}
+
+
+NOUNS = "wenn wir morgen in das große Haus am alten Markt gehen und dort viele rote Blumen kaufen dann sehen wir vor dem Haus auch noch jene kleine Katze die immer so gern auf der Mauer liegt"
+
+
+def test_leaks_survive_a_conflict(spark):
+    pears = "she puts 3 apples and 4 pears into the old basket and then asks how many pieces of fruit are there"
+    got = leaks(spark, [NOUNS, pears], [NOUNS.replace("dem Haus", "dem Baum"), pears.replace("3", "6").replace("4", "6")])
+    assert set(got) == {(0, 0), (1, 1)}
+    assert got[0, 0].covered_words >= 20 and not got[1, 1].exact
+
+
 def test_preferences(spark):
     turns = [(1, 0, "user", "q"), (1, 1, "assistant", "good"), (2, 0, "user", "q"), (2, 1, "assistant", "bad"), (3, 1, "assistant", "good"), (3, 0, "user", "q"), (4, 0, "user", None), (5, 0, None, "q"), (None, 0, "user", "q"), (1, 0, "user", "q")]
     table = spark.createDataFrame([(*t, "x") for t in turns], "conv_id bigint, turn bigint, role string, text string, chosen string")
