@@ -2,12 +2,14 @@
 
 Texts become word templates: digit runs, names and units turn into typed placeholders. Windows of template
 words are joined by hash to the benchmark's, so a question asked again with other numbers or names still
-meets its item. Each aligned match then has its changed slots checked: an item value that changes must always stand
+meets its item; windows of raw words are joined too, so a verbatim copy meets it whatever it is made of. Each aligned match then has its changed slots checked: an item value that changes must always stand
 for one document value. Windows that keep their values need no check.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,15 @@ from shoplens.operators.scale import materialise
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 # Unit words that become a placeholder after a number.
 UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "l", "ml", "s", "min", "h", "hours", "minutes", "seconds", "days", "weeks", "years", "miles", "meters", "kilometers", "grams", "kilograms", "liters", "dollars", "euros", "cents", "percent", "degrees", "stunden", "tage", "jahre", "heures", "jours", "ans", "horas", "dias")
-WINDOW, STRIDE, ENOUGH, LITERALS = 8, 2, 12, 5
+WINDOW, ENOUGH, LITERALS, LEAST = 8, 12, 5, 3
+# Scripts without blanks between words: each letter is a word.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
+def _plain(text: Column) -> Column:
+    """Text without the placeholders' characters, its unspaced letters set apart; words of both kinds below then line up."""
+    text = F.translate(F.coalesce(text, F.lit("")), f"İ{NUMBER}{NAME}{UNIT}", "I   ")
+    return F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
 
 
 def _template(text: Column) -> Column:
@@ -31,45 +41,47 @@ def _values(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}0-9]+"), lambda w: w != "")
 
 
-def _is_slot(word: Column) -> Column:
-    return word.rlike(f"[{NUMBER}{NAME}{UNIT}]")
-
-
-def _windows(size: int, stride: int) -> Column:
-    """Array of (size, hash, at, slots) over the columns words, hashes, raw.
+def _worded(rows: DataFrame, key: str) -> DataFrame:
+    """Rows (key, plain, raw): digests of the template words and of the raw words of a text, place by place.
 
-    The hash takes the window's word hashes in order; ``at`` counts words from 0. ``slots`` has the raw word of each
-    placeholder and null for each real word, and is null without placeholders.
+    The costly arrays are set behind generators, which filters and projections do not move below.
     """
+    once = lambda value: F.explode(F.array(F.struct(value.alias("v"), F.lit(1).alias("one"))))
+    digests = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    rows = rows.select(key, once(_plain(F.col("text"))).alias("t")).select(key, F.col("t.v").alias("text"))
+    rows = rows.select(key, "text", once(_template(F.col("text"))).alias("t")).select(key, "text", F.col("t.v").alias("words"))
+    slotted = F.exists("words", lambda w: w.rlike(f"[{NUMBER}{NAME}{UNIT}]"))
+    both = F.struct(digests(F.col("words")).alias("plain"), F.when(slotted, digests(_values(F.col("text")))).alias("raw"))
+    rows = rows.select(key, once(both).alias("b"))
+    return rows.select(key, F.col("b.v.plain").alias("plain"), F.coalesce("b.v.raw", "b.v.plain").alias("raw"))
 
-    def at(i: Column) -> Column:
-        parts = [F.element_at("hashes", i + k) for k in range(1, size + 1)]
-        span = F.slice("words", i + 1, F.lit(size))
-        pairs = F.arrays_zip(span.alias("w"), F.slice("raw", i + 1, F.lit(size)).alias("v"))
-        slots = F.transform(pairs, lambda p: F.when(_is_slot(p["w"]), p["v"]))
-        return F.struct(
-            F.lit(size).alias("size"), F.xxhash64(*parts).alias("hash"), i.alias("at"),
-            F.when(F.col("slotted") & F.exists(span, _is_slot), slots).alias("slots"),
-        )
 
-    starts = F.sequence(F.lit(0), F.size("words") - size, F.lit(stride))
-    return F.when(F.size("words") >= size, F.transform(starts, at))
+def _windows(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Every window of ``size`` words of rows (keys, plain, raw): (keys, size, at, hash, raw_hash, literals, slots).
 
+    The hashes take the template's and the raw word digests in order; ``at`` counts words from 0. ``slots`` has the digest
+    of the raw word of each placeholder and null for each real word, and is null without placeholders.
+    """
+    shifted = [F.slice(c, k + 1, F.size(c) - size + 1).alias(f"{c}{k}") for c in ("plain", "raw") for k in range(size)]
+    out = rows.filter(F.size("plain") >= size).select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w"))
+    plain, raw = [F.col(f"w.plain{k}") for k in range(size)], [F.col(f"w.raw{k}") for k in range(size)]
+    slots = F.array(*[F.when(p != r, r) for p, r in zip(plain, raw, strict=True)])
+    literals = sum((F.when(p == r, 1).otherwise(0) for p, r in zip(plain, raw, strict=True)), F.lit(0))
+    out = out.select(*keys, F.lit(size).alias("size"), "at", F.xxhash64(*plain).alias("hash"), F.xxhash64(*raw).alias("raw_hash"), literals.alias("literals"), slots.alias("slots"))
+    return out.withColumn("slots", F.when(F.col("literals") < size, F.col("slots")))
 
-def _worded(rows: DataFrame, key: str) -> DataFrame:
-    """Rows with template words, their hashes and, where there are placeholders, the raw words.
 
-    The costly arrays are set behind a generator, which filters and projections do not move below.
+def _named(windows: DataFrame, by_template: Column) -> DataFrame:
+    """Windows under their template, where ``by_template`` holds, and under their raw words; once where these are the same.
+
+    A template with placeholders never equals raw words, so both share the column ``hash``. ``slots`` is null under raw words.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    one = F.explode(F.array(F.struct(_template(text).alias("words"), F.lit(1).alias("one"))))
-    rows = rows.select(key, "text", one.alias("t")).select(key, "text", F.col("t.words").alias("words"))
-    rows = rows.withColumn("slotted", F.exists("words", _is_slot))
-    rows = rows.withColumn("raw", F.when(F.col("slotted"), _values(text)))
-    more = F.struct(F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"), F.lit(1).alias("one"))
-    return rows.select(key, "words", "slotted", "raw", F.explode(F.array(more)).alias("h")).select(
-        key, "words", "slotted", "raw", F.col("h.hashes").alias("hashes")
-    )
+    slotted = F.col("slots").isNotNull()
+    empty = F.lit(None).cast("array<bigint>")
+    word = F.struct(F.col("raw_hash").alias("hash"), empty.alias("slots"))
+    shape = F.struct("hash", "slots")
+    names = F.when(slotted & by_template, F.array(shape, word)).otherwise(F.array(word))
+    return windows.select(*[c for c in windows.columns if c not in ("hash", "raw_hash", "literals", "slots")], F.explode(names).alias("named")).select("*", "named.hash", "named.slots").drop("named")
 
 
 def contaminated(
@@ -77,10 +89,10 @@ def contaminated(
 ) -> DataFrame:
     """Documents holding benchmark text, one row per (doc_id, item_id).
 
-    Windows are ``WINDOW`` template words, every one of an item against every ``STRIDE``-th of a document, so any
-    passage of ``WINDOW + STRIDE - 1`` words meets. Windows with fewer than ``LITERALS`` real words do not count. Items
-    too short for that are windows of their own, compared at every place. A document holds an item when aligned
-    windows cover at least ``ENOUGH`` words of it (for shorter items: what a whole copy is sure to cover). Windows without
+    Windows are ``WINDOW`` words, every one of an item against every one of a document, met by their lower-cased raw words
+    and, with at least ``LITERALS`` real words, by their template. Items of ``LEAST`` to ``WINDOW - 1`` words are windows of
+    their own; shorter ones are not looked for. In scripts without blanks a letter is a word. A document holds an item when aligned
+    windows cover at least ``ENOUGH`` words of it (for shorter items: all). Windows without
     placeholders or with the item's own values always count. One with a changed value counts unless that item value stands
     for several document values in the alignment; two item values may become one. In an alignment with such a conflict
     nothing confirms the other changes, so their words are not counted as covered.
@@ -92,32 +104,17 @@ def contaminated(
     Returns doc_id, item_id, windows, covered_words, item_words, slots (pairs of values seen), exact.
     """
     items = _worded(benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text")).dropDuplicates(["item_id", "text"]), "item_id")
-    shapes = materialise(items.withColumn("n", F.size("words")).filter("n > 0"), "items")
-    least = WINDOW + STRIDE - 1
-    short = sorted(r[0] for r in shapes.filter((F.col("n") < least) & (F.col("n") >= LITERALS)).select("n").distinct().collect())
-    fixed = _windows(WINDOW, 1)
-    own = None
-    for size in short:
-        own = F.when(F.col("n") == size, _windows(size, 1)) if own is None else own.when(F.col("n") == size, _windows(size, 1))
-    wanted = fixed if own is None else own.otherwise(fixed)
-    literal = F.size(F.filter("words", lambda w: ~_is_slot(w)))
-    sure = F.when(F.col("n") < least, F.col("n")).otherwise(WINDOW + STRIDE * F.floor((F.col("n") - (STRIDE - 1) - WINDOW) / STRIDE))
-    known = shapes.filter((F.col("n") >= least) | (literal >= LITERALS)).select(
-        "item_id", F.col("n").alias("item_words"), F.least(F.lit(ENOUGH), sure).alias("needed"), "words", F.explode(wanted).alias("w")
-    )
-    real = F.size(F.filter(F.slice("words", F.col("w.at") + 1, F.col("w.size")), lambda w: ~_is_slot(w)))
-    known = known.filter(real >= F.least(F.lit(LITERALS), F.col("w.size"))).select(
-        "item_id", "item_words", "needed", F.col("w.size").alias("size"), F.col("w.hash").alias("hash"), F.col("w.at").alias("item_at"), F.col("w.slots").alias("item_slots")
-    )
+    n = F.size("plain")
+    shapes = materialise(items.withColumn("item_words", n).withColumn("needed", F.least(F.lit(ENOUGH), n)).filter(n >= LEAST), "items")
+    sizes = sorted(r[0] for r in shapes.select(F.least(F.lit(WINDOW), "item_words")).distinct().collect()) or [WINDOW]
+    keys = ["item_id", "item_words", "needed"]
+    own = [_windows(shapes.filter(F.least(F.lit(WINDOW), "item_words") == k), keys, k) for k in sizes]
+    known = _named(reduce(DataFrame.unionByName, own), F.col("literals") >= LITERALS).withColumnsRenamed({"at": "item_at", "slots": "item_slots"})
     known = materialise(known, "item-windows")
     texts = _worded(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), "doc_id")
-    every = _windows(WINDOW, STRIDE)
-    for size in short:
-        every = F.concat(F.coalesce(every, F.array()), F.coalesce(_windows(size, 1), F.array()))
-    seen = texts.select("doc_id", F.explode(every).alias("w")).select(
-        "doc_id", F.col("w.size").alias("size"), F.col("w.hash").alias("hash"), F.col("w.at").alias("at"), F.col("w.slots").alias("slots")
-    )
-    met = seen.join(known, ["size", "hash"])
+    if len(sizes) > 1:
+        texts = materialise(texts, "texts")  # read once for each size
+    met = reduce(DataFrame.unionByName, [_named(_windows(texts, ["doc_id"], k), F.col("literals") >= LITERALS).join(known, ["size", "hash"]) for k in sizes])
     place = F.col("item_at")
     pairs = F.filter(
         F.transform(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p, k: F.struct((place + k).alias("at"), p["i"].alias("i"), p["d"].alias("d"))),

@@ -261,6 +261,16 @@ def test_leaks_survive_a_conflict(spark):
     assert got[0, 0].covered_words >= 20 and not got[1, 1].exact
 
 
+def test_leaks_poor_in_words(spark):
+    sums = "What is 12 + 34 * 56 - 78 + 90?"
+    add = "Add the numbers 3 and 4 and 5 and 6 and 7 and 8 and 9 and 10 and 11 and 12"
+    items = [sums, add, "Why cats purr", "水的化学式是什么", NOUNS.lower()]
+    passage = " ".join(NOUNS.lower().split()[6:18])
+    got = leaks(spark, items, ["so: " + sums, add, "tell me why cats purr at night", "请问水的化学式是什么呢", "odd " + passage + " end", "even so " + passage, None, "why cats"])
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 4)}
+    assert got[4, 4].covered_words == got[5, 4].covered_words == 12
+
+
 def test_preferences(spark):
     turns = [(1, 0, "user", "q"), (1, 1, "assistant", "good"), (2, 0, "user", "q"), (2, 1, "assistant", "bad"), (3, 1, "assistant", "good"), (3, 0, "user", "q"), (4, 0, "user", None), (5, 0, None, "q"), (None, 0, "user", "q"), (1, 0, "user", "q")]
     table = spark.createDataFrame([(*t, "x") for t in turns], "conv_id bigint, turn bigint, role string, text string, chosen string")
