@@ -18,6 +18,13 @@ from shoplens.operators.scale import materialise
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 # Unit words that become a placeholder after a number.
 UNITS = ("km", "m", "cm", "mm", "kg", "g", "mg", "l", "ml", "s", "min", "h", "hours", "minutes", "seconds", "days", "weeks", "years", "miles", "meters", "kilometers", "grams", "kilograms", "liters", "dollars", "euros", "cents", "percent", "degrees", "stunden", "tage", "jahre", "heures", "jours", "ans", "horas", "dias")
+# Words that begin sentences and are no names, though capitalised.
+OPENERS = (
+    "a", "after", "all", "also", "an", "and", "are", "as", "at", "because", "before", "both", "but", "by", "can", "could", "did", "do", "does", "each", "every", "find", "finally", "first", "for", "from", "give", "given", "has", "have", "he", "her", "his", "how", "however", "if", "in", "is", "it", "its", "later", "let", "many", "my", "next", "no", "not", "now", "of", "on", "one", "or", "our", "she", "should", "since", "so", "some", "suppose", "that", "the", "their", "then", "there", "these", "they", "this", "those", "to", "under", "until", "was", "we", "were", "what", "when", "where", "which", "while", "who", "whose", "why", "will", "with", "would", "yes", "you", "your",
+    "aber", "alle", "als", "am", "auch", "auf", "aus", "bei", "bis", "da", "dann", "das", "dem", "den", "der", "des", "die", "dies", "diese", "dieser", "dieses", "doch", "durch", "ein", "eine", "einem", "einen", "einer", "er", "es", "für", "gib", "hat", "ich", "ihr", "im", "ist", "jede", "jeder", "jedes", "kann", "mit", "nach", "nun", "nur", "oder", "ohne", "seit", "sie", "sind", "und", "unter", "viele", "vom", "von", "vor", "war", "warum", "was", "welche", "welcher", "welches", "wenn", "wer", "wie", "wieviel", "wieviele", "wir", "wo", "zu", "zum", "zur",
+    "au", "aux", "avec", "ce", "ces", "cette", "chaque", "combien", "comme", "comment", "dans", "de", "elle", "elles", "en", "est", "et", "il", "ils", "je", "la", "le", "les", "leur", "mais", "nous", "où", "par", "pour", "pourquoi", "quand", "que", "quel", "quelle", "quelles", "quels", "qui", "sa", "sans", "si", "son", "sur", "un", "une", "vous",
+    "al", "cada", "como", "con", "cuando", "cuál", "cuándo", "cuánta", "cuántas", "cuánto", "cuántos", "cómo", "del", "donde", "dónde", "el", "ella", "ellas", "ellos", "entonces", "entre", "esta", "este", "esto", "hay", "las", "lo", "los", "me", "más", "para", "pero", "por", "qué", "quién", "se", "sin", "sobre", "su", "también", "tiene", "una", "y", "ya", "yo",
+)
 WINDOW, ENOUGH, LITERALS, LEAST = 8, 12, 5, 3
 # Scripts without blanks between words: each letter is a word.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
@@ -25,14 +32,19 @@ UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 
 def _plain(text: Column) -> Column:
     """Text without the placeholders' characters, its unspaced letters set apart; words of both kinds below then line up."""
-    text = F.translate(F.coalesce(text, F.lit("")), f"İ{NUMBER}{NAME}{UNIT}", "I   ")
+    text = F.replace(F.translate(F.coalesce(text, F.lit("")), f"İ{NUMBER}{NAME}{UNIT}", "I   "), F.lit("ß"), F.lit("ss"))  # as in capitals
     return F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
 
 
 def _template(text: Column) -> Column:
-    """Template words of a text; as many as ``_values`` gives for it."""
+    """Template words of a text; as many as ``_values`` gives for it.
+
+    A name is a capital with lower-case letters, wherever it stands, unless it is one of ``OPENERS``. What stands around a
+    window thus does not change its template.
+    """
     text = F.regexp_replace(text, "[0-9]+", NUMBER)
-    text = F.regexp_replace(text, rf"(?<=[\p{{Ll}}{NUMBER},;] )\p{{Lu}}\p{{Ll}}+(?![\p{{L}}{NUMBER}])", NAME)
+    opener = "|".join(dict.fromkeys(w[0].upper() + w[1:] for w in OPENERS if len(w) > 1))
+    text = F.regexp_replace(text, rf"(?=\p{{Lu}})(?<![\p{{L}}{NUMBER}])(?!(?:{opener})(?!\p{{L}}))\p{{Lu}}\p{{Ll}}+(?![\p{{L}}{NUMBER}])", NAME)
     text = F.regexp_replace(text, rf"(?i)(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}{NUMBER}])", UNIT)
     return F.filter(F.split(F.lower(text), rf"[^\p{{L}}{NUMBER}{NAME}{UNIT}]+"), lambda w: w != "")
 

@@ -271,6 +271,13 @@ def test_leaks_poor_in_words(spark):
     assert got[4, 4].covered_words == got[5, 4].covered_words == 12
 
 
+def test_leaks_with_other_names_or_case(spark):
+    tom = "Tom has 3 apples. Tom buys 4 more. How many does Tom have?"
+    got = leaks(spark, [tom, NOUNS], [tom.replace("Tom", "Ann"), "So, " + tom.replace("Tom", "Ann").replace("3", "8"), NOUNS.lower(), NOUNS.upper(), tom.upper(), tom.replace("Tom", "Ann", 1).replace("Tom", "Bob", 1)])
+    assert {k: r.exact for k, r in got.items()} == {(0, 0): False, (1, 0): False, (2, 1): True, (3, 1): True, (4, 0): True}
+    assert got[2, 1].covered_words == got[3, 1].covered_words == 36
+
+
 def test_preferences(spark):
     turns = [(1, 0, "user", "q"), (1, 1, "assistant", "good"), (2, 0, "user", "q"), (2, 1, "assistant", "bad"), (3, 1, "assistant", "good"), (3, 0, "user", "q"), (4, 0, "user", None), (5, 0, None, "q"), (None, 0, "user", "q"), (1, 0, "user", "q")]
     table = spark.createDataFrame([(*t, "x") for t in turns], "conv_id bigint, turn bigint, role string, text string, chosen string")
