@@ -34,17 +34,25 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return stay.dropDuplicates(["doc_id", "row_digest"]).drop("row_digest")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number of their own, written so that it stays: ids may be null or stand for several texts."""
+    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row with the smallest id stays."""
-    found = ngram_jaccard.near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Of each group of near copies the row with the smallest id stays; null ids come last, one of equal ids stays."""
+    rows = numbered(docs)
+    found = ngram_jaccard.near_duplicates(rows, id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
+    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").drop("_row")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a benchmark item go."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaked_id"]), "left_anti")
+    rows = numbered(docs)
+    found = decontamination.contaminated(rows, table(spark, sf_dir, "benchmark"), id="_row").select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(found, "_row", "left_anti").drop("_row")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

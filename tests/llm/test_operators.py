@@ -314,6 +314,18 @@ def test_pipeline_rows(spark):
     assert {r.doc_id for r in got} == clean and all(r.same for r in got)
 
 
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = [" ".join(f"{k}{i}" for i in "bcdefghijklmnopqrstuvwxyz") for k in "abcdf"]
+    spark.createDataFrame([(1, texts[0])], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[0]), (7, texts[3])], "doc_id bigint, text string")
+    assert bag(corpus_pipeline.drop_benchmark_leaks(spark, rows, str(tmp_path)).collect()) == bag([(None, texts[1]), (7, texts[2]), (7, texts[3])])
+    rows = spark.createDataFrame([(None, texts[0]), (None, texts[0] + " end"), (None, texts[1]), (9, texts[2] + " end"), (8, texts[2]), (None, texts[2]), (8, texts[3])], "doc_id bigint, text string")
+    got = bag((r.doc_id, r.text.removesuffix(" end")) for r in corpus_pipeline.drop_near_copies(spark, rows, str(tmp_path)).collect())
+    assert got == bag([(None, texts[0]), (None, texts[1]), (8, texts[2]), (8, texts[3])])
+
+
 def test_folds_follow_crc32(spark):
     from pyspark.sql import functions as F
 
