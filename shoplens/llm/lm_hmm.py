@@ -26,7 +26,7 @@ SHARED_CLASSES = 256
 END = OWN_CLASS + SHARED_CLASSES
 CLASSES = END + 1
 BROADCAST_WORDS = 200_000
-START_TEXTS, START_TOKENS, START_ROUNDS, ROUNDS = 600, 5000, 15, 2
+ROUNDS = 17
 BATCH_TOKENS = 1 << 20
 PRIOR = 0.01
 
@@ -192,38 +192,37 @@ def maximised(counts: np.ndarray) -> Model:
 
 
 def train(codes: DataFrame) -> Model:
-    """Baum-Welch over rows (row, n_tokens, codes).
+    """Baum-Welch over rows with a column codes.
 
-    A start comes from ``START_ROUNDS`` rounds on at most ``START_TEXTS`` texts of at most ``START_TOKENS`` tokens, those with the
-    smallest digest of their row number. Then ``ROUNDS`` rounds count over all texts, one vector of counts a task,
-    summed entry by entry over the tasks.
+    The start takes the class counts of all texts times fixed random factors. Each round counts over all texts, one vector of
+    counts a task, summed entry by entry over the tasks. Their number is fixed at ``ROUNDS``.
     """
-    drawn = codes.filter(F.col("n_tokens") <= START_TOKENS).orderBy(F.xxhash64("row"), "row").limit(START_TEXTS).select("codes").toArrow()
-    sample = [s for _, part in _sequences(iter(drawn.to_batches())) for s in part]
-    random = np.random.default_rng(7)
     size = STATES + STATES * STATES + CLASSES * STATES + 1
-    share = sum((np.bincount(s, minlength=CLASSES) for s in sample), np.zeros(CLASSES))
-    first = np.zeros(size)
-    first[STATES : STATES + STATES * STATES] = (np.eye(STATES) * STATES * 9 + 1).ravel() * 100
-    first[STATES + STATES * STATES : -1] = (share[:, None] * random.gamma(1.0, 1.0, (CLASSES, STATES))).ravel()
-    model = maximised(first)
-    for _ in range(START_ROUNDS if sample else 0):
-        model = maximised(expected(model, sample))
 
-    for _ in range(ROUNDS):
-        shipped = codes.sparkSession.sparkContext.broadcast(model)
+    def summed(count, entries: int) -> np.ndarray:
+        """Sum over all tasks of a vector counted from sequences."""
 
-        def count(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size)
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(entries)
             for _, part in _sequences(batches):
-                total += expected(shipped.value, part)
+                total += count(part)
             at = np.flatnonzero(total)
             yield pa.record_batch({"at": pa.array(at), "n": pa.array(total[at])})
 
-        summed = codes.select("codes").mapInArrow(count, "at bigint, n double").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most ``size`` rows
-        total = np.zeros(size)
-        total[summed.column("at").to_numpy()] = summed.column("n").to_numpy()
-        model = maximised(total)
+        found = codes.select("codes").mapInArrow(task, "at bigint, n double").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most ``entries`` rows
+        total = np.zeros(entries)
+        total[found.column("at").to_numpy()] = found.column("n").to_numpy()
+        return total
+
+    share = summed(lambda part: np.bincount(np.concatenate(part), minlength=CLASSES), CLASSES)
+    random = np.random.default_rng(7)
+    first = np.zeros(size)
+    first[STATES : STATES + STATES * STATES] = (np.eye(STATES) * STATES * 9 + 1).ravel() * 100
+    first[STATES + STATES * STATES : -1] = (share[:, None] * random.gamma(1.0, 1.0, (CLASSES, STATES))).ravel()
+    model = maximised(first)
+    for _ in range(ROUNDS):
+        shipped = codes.sparkSession.sparkContext.broadcast(model)
+        model = maximised(summed(lambda part, shipped=shipped: expected(shipped.value, part), size))
     return model
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, substring_dedup, url_filter
 from shoplens.llm.queries import PIECE_MODEL, URL_RULES
@@ -159,6 +160,14 @@ def test_language_model(docs, none):
     assert lm_hmm.score_texts(none, held).collect() == []
 
 
+def test_states_part_on_long_texts_only(spark):
+    text = "the cat sat on a mat and " * 800
+    rows = spark.createDataFrame([(i, text) for i in range(2)], "doc_id bigint, text string").withColumn("held_out", F.lit(False)).withColumn("row", F.col("doc_id"))
+    vocab = lm_hmm.vocabulary(lm_hmm.word_counts(rows))
+    model = lm_hmm.train(lm_hmm.coded(rows, vocab))
+    assert np.abs(model.emit - model.emit[:, :1]).max() > 0.01
+
+
 def test_pieces(docs, none):
     from sentencepiece import SentencePieceProcessor
 
