@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, substring_dedup, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, substring_dedup, toxicity, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -102,3 +102,13 @@ def near_duplicate_components(spark, folder):
 @query("op10_decontamination")
 def benchmark_leaks(spark, folder):
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_toxicity")
+def toxicity_scores(spark, folder):
+    """Learns from four of five folds of the labelled documents, scores all."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, labels.filter(~held).select("doc_id", F.col("toxic").alias("label")))
+    found = toxicity.classify(docs, model)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
