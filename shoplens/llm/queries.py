@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, substring_dedup, toxicity, url_filter
+from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, structure_repair, substring_dedup, toxicity, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -112,3 +112,10 @@ def toxicity_scores(spark, folder):
     model = toxicity.fit(docs, labels.filter(~held).select("doc_id", F.col("toxic").alias("label")))
     found = toxicity.classify(docs, model)
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op12_structure_repair")
+def repaired_conversations(spark, folder):
+    """Damages the conversations by the digests of their turns and repairs them."""
+    turns = table(spark, folder, "conversations")
+    return structure_repair.repair_report(structure_repair.damage(turns), turns)
