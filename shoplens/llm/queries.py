@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, structure_repair, substring_dedup, toxicity, url_filter
+from shoplens.llm import collocations, decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, structure_repair, substring_dedup, toxicity, url_filter
 from shoplens.llm.columns import fold, table
 from shoplens.operators.scale import scratch_path
 
@@ -119,3 +119,34 @@ def repaired_conversations(spark, folder):
     """Damages the conversations by the digests of their turns and repairs them."""
     turns = table(spark, folder, "conversations")
     return structure_repair.repair_report(structure_repair.damage(turns), turns)
+
+
+@query(
+    "op13_collocations",
+    """
+    WITH p AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+      FROM documents
+    ),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+    n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+    g AS (SELECT lang, unnest(flatten([[array_to_string(ws[i:i + k - 1], ' ') FOR i IN range(1, len(ws) - k + 2)] FOR k IN range(1, 6)])) AS phrase FROM w),
+    f AS (SELECT lang, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY lang, phrase HAVING count(*) >= 100),
+    c AS (SELECT lang, phrase, ws, f AS a, unnest(range(1, len(ws))) AS k FROM f WHERE len(ws) > 1),
+    s AS (
+      SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f) AS score
+      FROM c JOIN n ON n.lang = c.lang
+      JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:c.k], ' ')
+      JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.k + 1:], ' ')
+    ),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    kept AS (
+      SELECT * FROM b WHERE NOT EXISTS (
+        SELECT 1 FROM f WHERE f.lang = b.lang AND len(f.phrase) > len(b.phrase) AND 100 * f.f >= 100 * b.a AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' '))
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM kept QUALIFY rank <= 2000
+    """,
+)
+def phrase_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))

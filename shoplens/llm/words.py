@@ -61,12 +61,12 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """Split at space, tab, line feed, vertical tab, form feed and carriage return."""
+def words_of(texts: pa.Array, lower: bool = False, breaks: np.ndarray = _BLANK) -> Words:
+    """Split at space, tab, line feed, vertical tab, form feed and carriage return, or at the bytes marked in ``breaks``."""
     data, bounds = text_bytes(texts)
     if lower:
         data = _LOWER[data]
-    solid = ~_BLANK[data]
+    solid = ~breaks[data]
     n = len(data)
     edge = np.zeros(n + 1, dtype=bool)
     edge[bounds] = True
