@@ -73,7 +73,7 @@ def strings(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def within(table: np.ndarray, digests: np.ndarray) -> np.ndarray:
-    place = digests >> np.uint64(64 - BITS)
+    place = digests >> np.uint64(59 - len(table).bit_length())  # the table has 2^BITS bits, 64 a number
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -185,6 +185,15 @@ def _in_order(counts: DataFrame, words: list[str]) -> DataFrame:
     return out.select("lang", "phrase", "size", "f", "parts", best.alias("longer"))
 
 
+def best_cuts(rows: DataFrame) -> DataFrame:
+    """Lowest-scoring cut of phrases (lang, phrase, size, f, n, parts, rests), the first of equal ones: lang, phrase, a, l, r, n, score."""
+    cuts = []
+    for k in range(1, LONGEST):
+        score = f"(cast(1000 as decimal(4,0)) * cast(f as decimal(15,0)) * cast(n as decimal(18,0))) div (cast(parts[{k - 1}] as decimal(18,0)) * cast(get(rests, size - {k + 1}) as decimal(18,0)))"
+        cuts.append(F.expr(f"if(size > {k}, named_struct('score', {score}, 'k', {k}, 'l', parts[{k - 1}], 'r', get(rests, size - {k + 1})), null)"))
+    return rows.select("lang", "phrase", F.col("f").alias("a"), "n", F.array_min(F.array(*cuts)).alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+
+
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = TOP) -> DataFrame:
     """Best phrases of each language: lang, rank (from 1), phrase, a, l, r, n, score.
 
@@ -205,10 +214,6 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     suffix = _in_order(counts.select("*", *turned), forward).filter("size > 1")
     suffix = suffix.select("lang", "phrase", F.col("parts").alias("rests"), F.col("longer").alias("before"))
     met = prefix.hint("merge").join(suffix, ["lang", "phrase"]).filter("greatest(longer, before) < f").join(totals, "lang")
-    cuts = []
-    for k in range(1, LONGEST):
-        score = f"(cast(1000 as decimal(4,0)) * cast(f as decimal(15,0)) * cast(n as decimal(18,0))) div (cast(parts[{k - 1}] as decimal(18,0)) * cast(get(rests, size - {k + 1}) as decimal(18,0)))"
-        cuts.append(F.expr(f"if(size > {k}, named_struct('score', {score}, 'k', {k}, 'l', parts[{k - 1}], 'r', get(rests, size - {k + 1})), null)"))
-    scored = met.select("lang", "phrase", F.col("f").alias("a"), "n", F.array_min(F.array(*cuts)).alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    scored = best_cuts(met)
     ranked = top_n_per_group(scored, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

@@ -30,6 +30,7 @@ BLANK_CHARS = " \t\n\x0b\f\r"
 SEGMENT = 256  # least rows of a segment; beyond the square of it a segment has the root of the conversation's rows
 NO_ID = " "  # stands for a null id among ids written as text
 FAR = 1 << 60
+RENAME, DELETE, INSERT, CUT_SHORT = 1, 2, 5, 5
 START, SYSTEM, USER, ASSISTANT = range(4)
 FOLLOWS = (USER, USER, ASSISTANT, USER)  # the state a row of the only possible other role leads to
 ROLE = {USER: "user", ASSISTANT: "assistant"}
@@ -48,12 +49,12 @@ def moves(code: str) -> list[list[tuple[str, int, int]]]:
     fault, initial = kind(code)
     out = []
     for state in range(4):
-        found = [("D", 2, state)]
+        found = [("D", DELETE, state)]
         if fault in (FINE, TRUNCATED):
-            extra = 5 if fault == TRUNCATED else 0
+            extra = CUT_SHORT if fault == TRUNCATED else 0
             if (state, initial) in STAYS:
                 found.append(("K", extra, STAYS[state, initial]))
-            found.append(("R", 1 + extra, FOLLOWS[state]))
+            found.append(("R", RENAME + extra, FOLLOWS[state]))
         out.append(found)
     return out
 
@@ -64,7 +65,7 @@ MOVES = {chr(65 + i): moves(chr(65 + i)) for i in range(16)}
 def with_inserts(costs: list[int]) -> tuple[int, ...]:
     """Costs when rows may be inserted first; two of them reach every state."""
     for _ in range(2):
-        costs = [min(FAR, c, 5 + costs[FOLLOWS[s]]) for s, c in enumerate(costs)]
+        costs = [min(FAR, c, INSERT + costs[FOLLOWS[s]]) for s, c in enumerate(costs)]
     return tuple(costs)
 
 
@@ -113,11 +114,11 @@ class Steps:
             vectors.reverse()
             for i, code in enumerate(block):
                 while True:
-                    due, inserted = vectors[i][state], ("I", 5, FOLLOWS[state])
+                    due, inserted = vectors[i][state], ("I", INSERT, FOLLOWS[state])
                     deleted, *others = MOVES[code][state]
-                    if due == 2 + vectors[i + 1][state]:
+                    if due == DELETE + vectors[i + 1][state]:
                         edit, cost, to = deleted
-                    elif due == 5 + vectors[i][FOLLOWS[state]]:
+                    elif due == INSERT + vectors[i][FOLLOWS[state]]:
                         edit, cost, to = inserted
                     else:
                         edit, cost, to = next(e for e in others if due == e[1] + vectors[i + 1][e[2]])
@@ -220,7 +221,7 @@ def _walks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if edit != "D":
                     edits.append({"place": row["start"] + i, "order": order, "edit": edit, "role": None if edit == "K" else ROLE[state]})
             while row["seg"] == row["segs"] - 1 and state in (SYSTEM, USER):  # rows inserted behind the last one
-                state, cost, order = FOLLOWS[state], cost + 5, order + 1
+                state, cost, order = FOLLOWS[state], cost + INSERT, order + 1
                 audit.append("I")
                 edits.append({"place": row["start"] + at, "order": order, "edit": "I", "role": ROLE[state]})
             kinds = [kind(c) for c in codes]

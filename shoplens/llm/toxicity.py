@@ -25,6 +25,7 @@ WORD_BITS, PAIR_BITS = 20, 19
 COORDINATES = 1 + (1 << WORD_BITS) + 2 * (1 << PAIR_BITS)  # the first one is the constant
 LABELLED = 16_000
 SHARDS, EPOCHS = 4, 4
+PART = 1 << 17  # coordinates sent back in one row
 RATE, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.0
 POSITIVE = 2.0  # weight of rows with label 1
 
@@ -93,10 +94,12 @@ def _epoch(rows: DataFrame, z: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, None
 
-        def moved() -> pa.RecordBatch:
-            places = np.flatnonzero(own[1] != state.value[1])
-            parts = [places.astype(np.int32)] + [(a[places] - b[places]).astype(np.float32) for a, b in zip(own, state.value, strict=True)]
-            return pa.record_batch({k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("places", "z", "n"), parts, strict=True)})
+        def moved() -> Iterator[pa.RecordBatch]:
+            every = np.flatnonzero(own[1] != state.value[1])
+            for at in range(0, len(every), PART):
+                places = every[at : at + PART]
+                parts = [places.astype(np.int32)] + [(a[places] - b[places]).astype(np.float32) for a, b in zip(own, state.value, strict=True)]
+                yield pa.record_batch({k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(("places", "z", "n"), parts, strict=True)})
 
         for batch in batches:
             shards, labels, lists = (batch.column(i) for i in range(3))
@@ -104,21 +107,25 @@ def _epoch(rows: DataFrame, z: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, n
             for i, (shard, label) in enumerate(zip(shards.to_pylist(), labels.to_pylist(), strict=True)):
                 if shard != now:
                     if own is not None:
-                        yield moved()
+                        yield from moved()
                     now, own = shard, [a.astype(np.float64) for a in state.value]
                 learn(own[0], own[1], flat[bounds[i] : bounds[i + 1]], label)
         if own is not None:
-            yield moved()
+            yield from moved()
 
-    dz, dn, met = np.zeros(COORDINATES), np.zeros(COORDINATES), np.zeros(COORDINATES)
-    for row in rows.mapInArrow(run, "places binary, z binary, n binary").toLocalIterator():  # about SHARDS rows
+    dz, dn, met = np.zeros_like(z), np.zeros_like(z), np.zeros_like(z)
+    for row in rows.mapInArrow(run, "places binary, z binary, n binary").toLocalIterator():  # at most SHARDS x COORDINATES numbers, a part at a time
         places = np.frombuffer(row.places, dtype=np.int32)
         dz[places] += np.frombuffer(row.z, dtype=np.float32)
         dn[places] += np.frombuffer(row.n, dtype=np.float32)
         met[places] += 1
-    state.unpersist()
-    met = np.maximum(met, 1)
-    return (z + dz / met).astype(np.float32), (n + dn / met).astype(np.float32)
+    state.destroy()
+    np.maximum(met, 1, out=met)
+    dz /= met
+    dn /= met
+    dz += z
+    dn += n
+    return dz, dn
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -136,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.record_batch({"shard": batch.column("shard"), "label": batch.column("label"), "places": lists})
 
     sample = labelled_sample(docs, labels, LABELLED).withColumn("shard", F.pmod("draw", F.lit(SHARDS)).cast("int"))
-    dealt = sample.repartition(SHARDS, "shard").sortWithinPartitions("shard", "draw", "doc_id", "label").select("shard", "label", "text")
+    dealt = sample.repartitionByRange(SHARDS, "shard").sortWithinPartitions("shard", "draw", "doc_id", "label").select("shard", "label", "text")
     rows = materialise(dealt.mapInArrow(hashed, "shard int, label double, places array<int>"), "toxic-features")
     z = n = np.zeros(COORDINATES, dtype=np.float32)
     for _ in range(EPOCHS):
