@@ -12,11 +12,12 @@ merge result.
 
 from __future__ import annotations
 
-import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 from shoplens.llm.words import pieces
 
 MARK = "▁"
-KEPT_WORDS = 300_000
+IDS = "i"  # four bytes an id
+KEPT_WORDS = 200_000
+KEPT_CHECKS = 1 << 18
 
 
 class Pieces:
@@ -39,8 +42,8 @@ class Pieces:
         self.ids = {self.processor.id_to_piece(i): i for i in range(n) if not special[i]}
         self.scores = {p: self.processor.get_score(i) for p, i in self.ids.items()}
         self.bytes = [self.processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.longest = max(map(len, self.ids))
-        self.recent, self.older = {}, {}  # encoded words, kept while the worker process lives
+        self.whole = {p for p in self.ids if len(p) > 1 and self.merged(p) == [p]}  # what the merges make of their own letters
+        self.sizes = self._sizes()
         self.first = self.processor.bos_id()
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a mark behind another character: texts can't be cut at marks")
@@ -48,8 +51,16 @@ class Pieces:
         self.words = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|[{alone}]" if alone else "")).findall
         probe = "  a  B\n\tc\u00a0\u00e9e\u0301\ufb01\u2460 "
         self.plain = self.processor.normalize(probe) == MARK + probe.replace(" ", MARK)
-        self.apart = lru_cache(1 << 20)(self._apart)
-        self.whole = lru_cache(1 << 18)(self._whole)
+        self.apart = lru_cache(KEPT_CHECKS)(self._apart)  # beside the pieces themselves all that a worker keeps between tasks
+
+    def _sizes(self) -> dict[str, tuple[int, ...]]:
+        """Lengths of the pieces that end in the given last characters (three, or two for pieces no longer), longest first."""
+        ends: dict[str, set[int]] = {}
+        for piece in self.whole:
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        pairs = {p: (2, 1) for p in self.whole if len(p) == 2}
+        return pairs | {end: (*sorted(found, reverse=True), *pairs.get(end[1:], (1,))) for end, found in ends.items()}
 
     def marked(self, text: str) -> str:
         """The text as the model sees it: blanks as marks and one more in front; other models normalise further."""
@@ -70,9 +81,6 @@ class Pieces:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _whole(self, piece: str) -> bool:
-        return self.merged(piece) == [piece]
-
     def _apart(self, left: str, right: str) -> bool:
         return self.merged(left + right) == [left, right]
 
@@ -85,20 +93,20 @@ class Trie:
 
     def encode(self, word: str) -> list[int]:
         model, last, old = self.model, self.last, self.word
-        shared = len(os.path.commonprefix((old, word)))
+        sizes, whole, apart = model.sizes.get, model.whole, model.apart
+        shared, most = 0, min(len(old), len(word))
+        while shared < most and old[shared] == word[shared]:
+            shared += 1
         del last[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
             state = None
-            for size in range(min(end, model.longest), 0, -1):
+            for size in end > 2 and sizes(word[end - 3 : end]) or end > 1 and sizes(word[end - 2 : end]) or (1,):
+                if size > end:
+                    continue
                 piece = word[end - size : end]
-                if size > 1 and piece not in model.ids:
+                if size > 1 and piece not in whole:
                     continue
-                before = last[end - size]
-                if size == end:
-                    if size == 1 or model.whole(piece):
-                        state = piece
-                        break
-                elif (size == 1 or model.whole(piece)) and model.apart(before, piece):
+                if size == end or apart(last[end - size], piece):
                     state = piece
                     break
             last.append(state)
@@ -118,22 +126,29 @@ def _loaded(path: str) -> Pieces:
 
 
 def _encoder(path: str):
-    """Function from texts to lists of ids, for use inside a task."""
-    model = _loaded(path)
+    """Function from texts to the bytes of their ids (``IDS``), for use inside a task; null stays null."""
+    model, recent, older = _loaded(path), {}, {}
 
-    def encoded(texts: list[str | None]) -> list[list[int] | None]:
+    def encoded(texts: list[str | None]) -> list[bytes | None]:
+        nonlocal recent, older
         parts = [model.words(model.marked(t or "")) for t in texts]
-        if len(model.recent) > KEPT_WORDS:
-            model.recent, model.older = {}, model.recent
-        recent, older = model.recent, model.older
+        if len(recent) > KEPT_WORDS:
+            recent, older = {}, recent
         trie = Trie(model)
         for word in sorted(set().union(*parts).difference(recent)):
-            recent[word] = older[word] if word in older else trie.encode(word)
-        return [None if t is None else [i for w in p for i in recent[w]] for t, p in zip(texts, parts, strict=True)]
+            recent[word] = older[word] if word in older else array(IDS, trie.encode(word)).tobytes()
+        return [None if t is None else b"".join([recent[w] for w in p]) for t, p in zip(texts, parts, strict=True)]
 
     return encoded
 
 
+def _lists(rows: list[bytes | None]) -> pa.Array:
+    """Lists of ids from their bytes."""
+    bounds = np.cumsum([0] + [len(r or b"") // 4 for r in rows])
+    flat = pa.array(np.frombuffer(b"".join([r or b"" for r in rows]), dtype=np.int32))
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat, mask=pa.array([r is None for r in rows]))
+
+
 def _decoder(path: str):
     """Function from lists of ids to texts, for use inside a task."""
     model = _loaded(path)
@@ -154,7 +169,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
     """Ids of each row's text by the model file at ``path`` (present on every executor): doc_id, ids.
 
     Ids are those of the SentencePiece library for the same model, without begin and end marks. A null text gives null, an
-    empty one no ids. Repeated rows are encoded alike; other columns are not read. A worker keeps the latest
+    empty one no ids. Repeated rows are encoded alike; other columns are not read. A task keeps the latest
     ``KEPT_WORDS`` or so encoded words between batches, which changes no result.
     """
 
@@ -162,7 +177,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -
         encoded = _encoder(path)
         for batch in pieces(batches, "text"):
             ids = encoded(batch.column("text").to_pylist())
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32()))})
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": _lists(ids)})
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -192,8 +207,9 @@ def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text
         for batch in pieces(batches, "text"):
             texts = batch.column("text").to_pylist()
             ids = encoded(texts)
-            same = [a == b for a, b in zip(texts, decoded(ids), strict=True)]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())), "n_ids": pa.array([len(r or ()) for r in ids], pa.int64()), "same": pa.array(same, pa.bool_())})
+            same = [a == b for a, b in zip(texts, decoded([None if r is None else memoryview(r).cast(IDS) for r in ids]), strict=True)]
+            counts = pa.array([len(r or b"") // 4 for r in ids], pa.int64())
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": _lists(ids), "n_ids": counts, "same": pa.array(same, pa.bool_())})
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>, n_ids bigint, same boolean")
