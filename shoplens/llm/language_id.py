@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shoplens.llm.words import byte_grams, counted, pieces, text_bytes
+from shoplens.llm.words import DENSE_ROWS, byte_grams, counted, pieces, text_bytes
+from shoplens.operators.scale import materialise
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -56,7 +57,7 @@ def _inverse_frequencies(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(DIMENSIONS, dtype=np.int64), 0
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", rows=DENSE_ROWS):
             seen += (term_counts(batch.column("text")) > 0).sum(0)
             rows += batch.num_rows
         yield pa.record_batch({"term": pa.array(np.arange(-1, DIMENSIONS)), "n": pa.array(np.concatenate([[rows], seen]))})
@@ -86,25 +87,30 @@ def fit(labelled: DataFrame, margin: float = 0.3) -> Model:
     """Model from rows (doc_id, text, lang).
 
     Inverse document frequencies count all rows. The centroids of a language are fitted on at most ``PER_LANGUAGE`` of its
-    rows, those with the smallest digest of their id, one task per language. A language accepts cosines down to
-    ``margin`` times the smallest among these rows. Rows with null language or without letters teach nothing.
+    rows, those with the smallest digest of id and text, one task per language; rows equal in both count once, so neither a
+    repeated nor a null id exceeds the bound. A language accepts cosines down to ``margin`` times the smallest among these
+    rows. Rows with null language or without letters teach nothing.
     """
     labelled = labelled.filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
     idf = _inverse_frequencies(labelled.select("text"))
-    drawn = labelled.select("lang", F.xxhash64("doc_id").alias("draw"))
+    drawn = labelled.withColumn("draw", F.xxhash64("doc_id", "text")).select("lang", "draw", "text")
+    known = materialise(drawn.select("lang", "draw").distinct(), "language-draws")
+    # digests are spread evenly: the cut leaves a little over ``PER_LANGUAGE`` rows of a language to be ranked
+    share = F.lit(PER_LANGUAGE + 6 * PER_LANGUAGE**0.5) / F.count(F.lit(1))
+    cuts = known.groupBy("lang").agg((share * 2.0**64 - 2.0**63).alias("cut"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    cut = drawn.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).groupBy("lang").agg(F.max("draw").alias("cut"))
-    picked = labelled.join(F.broadcast(cut), "lang").filter(F.xxhash64("doc_id") <= F.col("cut")).select("lang", "text")  # one row per language
+    few = known.join(F.broadcast(cuts), "lang").filter(F.col("draw") <= F.col("cut")).withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE)
+    picked = drawn.join(F.broadcast(few.select("lang", "draw")), ["lang", "draw"]).groupBy("lang", "draw").agg(F.first("text").alias("text"))
 
     def cluster(table: pa.Table) -> pa.Table:
-        batches = pieces(iter(table.combine_chunks().to_batches()), "text")
+        batches = pieces(iter(table.combine_chunks().to_batches()), "text", rows=DENSE_ROWS)
         vectors = np.concatenate([weighted(term_counts(b.column("text")), idf) for b in batches])
         found = _clusters(vectors)
         least = float((vectors @ found.T).max(1).min()) * margin
         lang = table.column("lang")[0].as_py()
         return pa.table({"lang": [lang] * len(found), "least": [least] * len(found), "centre": pa.array([c.tolist() for c in found], pa.list_(pa.float32()))})
 
-    rows = picked.groupBy("lang").applyInArrow(cluster, "lang string, least double, centre array<float>").collect()
+    rows = picked.select("lang", "text").groupBy("lang").applyInArrow(cluster, "lang string, least double, centre array<float>").collect()
     languages = sorted({r.lang for r in rows})
     rows.sort(key=lambda r: (r.lang, r.centre))
     return Model(
@@ -130,7 +136,7 @@ def identify(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "tex
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], dtype=object)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", rows=DENSE_ROWS):
             lettered = np.asarray(batch.column("lettered").to_numpy(zero_copy_only=False), dtype=bool)
             best, score = np.full(batch.num_rows, len(model.languages)), np.zeros(batch.num_rows)
             rejected = np.ones(batch.num_rows, dtype=bool)
@@ -151,7 +157,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     flag = next(n for n in (f"lettered_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, rows=DENSE_ROWS):
             keep = np.asarray(batch.column(flag).to_numpy(zero_copy_only=False), dtype=bool)
             if len(model.languages) and keep.any():
                 near = weighted(term_counts(batch.column(text)), model.idf) @ model.centroids.T

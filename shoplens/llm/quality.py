@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.words import byte_grams, counted, pieces, words_of
+from shoplens.llm.columns import labelled_sample
+from shoplens.llm.words import DENSE_ROWS, byte_grams, counted, pieces, words_of
 
 DIMENSIONS = 2048
 ORDERS = (1, 2, 3)
@@ -66,13 +67,12 @@ class Model:
         """Share of label 1 among the nearest labelled vectors, weighted by cosine to the power ``SHARPNESS``."""
         if not len(self.labels):
             return np.full(len(latent), self.prior)
-        near = latent @ self.vectors.T
+        near = np.clip(latent @ self.vectors.T, 0, None)
         k = min(NEIGHBOURS, near.shape[1])
-        # equal cosines: ties at the last place are broken by the sample's fixed order
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(near, top, 1), 0, None) ** SHARPNESS
+        last = np.partition(near, -k, axis=1)[:, -k]  # all that tie with the last neighbour vote
+        weight = np.where(near >= last[:, None], near, 0) ** SHARPNESS
         mass = weight.sum(1)
-        return np.where(mass > 1e-9, (weight * self.labels[top]).sum(1) / np.maximum(mass, 1e-9), self.prior)
+        return np.where(mass > 1e-9, weight @ self.labels / np.maximum(mass, 1e-9), self.prior)
 
 
 def _inverse_frequencies(texts: DataFrame) -> np.ndarray:
@@ -80,7 +80,7 @@ def _inverse_frequencies(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(DIMENSIONS, dtype=np.int64), 0
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", rows=DENSE_ROWS):
             seen += (term_weights(batch.column("text")) > 0).sum(0)
             rows += batch.num_rows
         yield pa.record_batch({"term": pa.array(np.arange(-1, DIMENSIONS)), "n": pa.array(np.concatenate([[rows], seen]))})
@@ -95,21 +95,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Model from rows (doc_id, text) and the labels (doc_id, label) to learn from.
 
     Inverse document frequencies count all texts. The latent space and the voters come from at most ``LABELLED``
-    labels, those with the smallest digest of their id, which bounds the rows sent to the executors and back; ids with two
-    labels vote with both, null labels teach nothing. Without labelled texts every score is one half.
+    labelled rows, see ``labelled_sample``, which bounds what is sent to the executors and back, however many rows share an id.
+    Texts with two labels vote with both, null labels teach nothing. Without labelled texts every score is one half.
     """
     idf = _inverse_frequencies(docs.select("text"))
-    drawn = labels.filter(F.col("label").isNotNull()).select("doc_id", F.col("label").cast("double").alias("label"), F.xxhash64("doc_id").alias("draw"))
-    drawn = drawn.orderBy("draw", "doc_id", "label").limit(LABELLED)
-    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    sample = labelled_sample(docs.select("doc_id", "text"), labels, LABELLED)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", rows=DENSE_ROWS):
             rows = (term_weights(batch.column("text")) * idf).astype(np.float32)
             yield pa.record_batch({"draw": batch.column("draw"), "doc_id": batch.column("doc_id"), "label": batch.column("label"), "terms": pa.array([r.tobytes() for r in rows], pa.binary())})
 
     rows = sample.select("draw", "doc_id", "label", "text").mapInArrow(weigh, "draw bigint, doc_id bigint, label double, terms binary").toArrow()
-    rows = rows.sort_by([("draw", "ascending"), ("doc_id", "ascending")])
+    rows = rows.sort_by([("draw", "ascending"), ("doc_id", "ascending"), ("label", "ascending")])
     labels = rows.column("label").to_numpy()
     if not len(labels):
         return Model(idf, np.zeros((DIMENSIONS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
@@ -130,7 +128,7 @@ def classify(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "tex
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = voters.value
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", rows=DENSE_ROWS):
             score = np.clip(np.round(own.vote(own.latent(batch.column("text"))), 6), 0, 1)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(score, pa.float64()), "predicted": pa.array((score >= cut).astype(np.int32))})
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+DENSE_ROWS = 1024  # texts at a time where each has a dense vector
 _ONE = np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _BLANK = np.zeros(256, dtype=bool)
@@ -85,13 +86,14 @@ def words_of(texts: pa.Array, lower: bool = False, breaks: np.ndarray = _BLANK)
     return Words(data, bounds, starts, ends, np.searchsorted(starts, bounds), names)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the texts of each hold about ``limit`` bytes; a longer text is alone."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of each hold about ``limit`` bytes, and at most ``rows`` of them; a longer text is alone."""
     for batch in batches:
         size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))])
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(size, size[at] + limit, "right")) - 1)
+            to = min(to, at + rows) if rows else to
             yield batch.slice(at, to - at)
             at = to
 
