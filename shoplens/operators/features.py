@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.scale import lag_by_time, lookup_join
+from shoplens.operators.scale import hot_key_join, lag_by_time, lookup_join
 
 KEYS = ("user_id", "product_id", "product_sku_id")
 
@@ -41,7 +41,7 @@ def of_type(df: DataFrame, *types: str) -> DataFrame:
 def with_catalogue(interactions: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Inner join on product_id = itemid; a popular product spreads over several tasks."""
     renamed = catalogue.withColumnRenamed("itemid", "product_id")
-    return lookup_join(interactions, renamed, ["product_id"]).withColumn("itemid", F.col("product_id"))
+    return hot_key_join(interactions, renamed, ["product_id"]).withColumn("itemid", F.col("product_id"))
 
 
 def lifetime_order_value(df: DataFrame) -> DataFrame:

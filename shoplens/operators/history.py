@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.scale import lookup_join, top_n_per_group
+from shoplens.operators.scale import hot_key_join, lookup_join, top_n_per_group
 
 
 def _sums(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -94,7 +94,7 @@ def relevance_scores(
     for r, weight in weights.items():
         low, high = F.col(f"_min_{r}"), F.col(f"_max_{r}")
         score = score + weight * F.coalesce(F.try_divide(F.col(r) - low, high - low), F.lit(0.0))
-    return lookup_join(rated, extremes, [term]).withColumn("score", score).select(*df.columns, "score")
+    return hot_key_join(rated, extremes, [term]).withColumn("score", score).select(*df.columns, "score")
 
 
 def nonzero_scores(scores: DataFrame) -> DataFrame:

@@ -43,26 +43,6 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _conf_bytes(spark: SparkSession, name: str) -> int:
-    raw = spark.conf.get(name)
-    try:
-        return int(raw)
-    except ValueError:
-        units = {"b": 1, "kb": 1 << 10, "k": 1 << 10, "mb": 1 << 20, "m": 1 << 20, "gb": 1 << 30, "g": 1 << 30}
-        text = raw.strip().lower()
-        number = text.rstrip("bkmg")
-        return int(number) * units.get(text[len(number):], 1)
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    return _conf_bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
-
-
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Set a column whose costly value later filters read several times.
 
@@ -73,45 +53,55 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
 
 
-def _few_tasks(df: DataFrame) -> int:
-    """Tasks to deal a table over that has too few file splits to keep all cores busy; 0 where it has enough."""
+def spread(df: DataFrame) -> DataFrame:
+    """Even tasks for a step that multiplies its input many times: as many as the session gives a shuffle, and work for all cores.
+
+    The number follows the cluster's settings, not the table, so a larger table wants a larger ``spark.sql.shuffle.partitions``.
+    """
     spark = df.sparkSession
-    least = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return least if estimated_bytes(df) < least * _conf_bytes(spark, "spark.sql.files.maxPartitionBytes") else 0
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even tasks for a step that multiplies its input many times.
+TASK_ROWS = 1_000_000  # rows of one key that a task of a join may take
+MOST_HEAVY = 10_000  # keys that are salted at most: a bound for what is broadcast
 
-    Small tables, otherwise one task by their bytes, are dealt over all cores. Larger ones are rebalanced, in tasks
-    that adaptive execution cuts by the bytes it measures: their number has no upper bound and needs no estimate.
+
+def heavy_keys(fact: DataFrame, on: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame | None:
+    """(keys, _salts) of the keys with more than ``task_rows`` rows, one salt per ``task_rows`` of them; None without any.
+
+    Where more than ``MOST_HEAVY`` keys are that large, the rows per salt grow until no more are left; keys below stay within
+    the rows of a key that is not split.
     """
-    tasks = _few_tasks(df)
-    return df.repartition(tasks) if tasks else df.hint("rebalance")
+    counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    many = materialise(counts.filter(F.col("_n") > task_rows), "heavy-keys")
+    found, rows = many.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not found:
+        return None
+    unit = max(task_rows, -(-rows // MOST_HEAVY)) if found > MOST_HEAVY else task_rows
+    return many.filter(F.col("_n") > unit).select(*on, F.ceil(F.col("_n") / F.lit(unit)).alias("_salts"))
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread the rows of a table with fewer file splits than the cluster has work for; others stay as they are."""
-    tasks = _few_tasks(df)
-    return df.repartition(tasks) if tasks else df
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows to a table holding few rows per key. Spark broadcasts a small lookup and splits skewed partitions itself."""
+    return fact.join(lookup, list(on), how)
 
 
-def lookup_join(
-    fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 32
-) -> DataFrame:
-    """Join rows with hot keys to a table holding few rows per key.
+def hot_key_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", task_rows: int = TASK_ROWS) -> DataFrame:
+    """Inner or left join where a key may hold a large share of the rows of ``fact``.
 
-    A lookup whose estimated size is below the session's broadcast limit is left to Spark, which
-    broadcasts it under the same check. A larger one is replicated over ``salts`` values, so that the
-    rows of a hot key spread over that many tasks.
+    Keys are counted on the fact side first. Without a heavy key it is a plain join. A heavy key's rows get one salt for every
+    ``task_rows`` of them, by a digest of the whole row, and only its lookup rows are repeated, once a salt; all other keys
+    have the single salt 0 on both sides.
     """
     on = list(on)
-    if estimated_bytes(lookup) <= broadcast_limit(fact.sparkSession):
+    heavy = heavy_keys(fact, on, task_rows)
+    if heavy is None:
         return fact.join(lookup, on, how)
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)))
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(every_salt))
-    return salted_fact.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    few = F.broadcast(heavy)  # at most MOST_HEAVY rows
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = fact.join(few, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), salts)).drop("_salts")
+    repeated = lookup.join(few, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("_salts")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def _with_partition_offsets(rows: DataFrame, weight: Column) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from shoplens.functions.damerau import similarity_scores
 from shoplens.functions.text import normal_tokens
 from shoplens.operators.history import share_until
-from shoplens.operators.scale import lookup_join, spread, top_n_per_group
+from shoplens.operators.phrase_trie import matches, token_trie
+from shoplens.operators.scale import hot_key_join, lookup_join, spread, top_n_per_group
 
 
 def attribute_words(catalogue: DataFrame, attributes: Sequence[str], product: str = "sku", category: str = "category") -> DataFrame:
@@ -318,7 +319,7 @@ def pair_history(
     """
     totals = token_clicks.groupBy("token").agg(F.sum("clicks").alias("total")).filter(F.col("total") >= min_token_count)
     wanted = pairs.select("wrongword", "rightword").distinct().join(totals.withColumnRenamed("token", "wrongword"), "wrongword")
-    clicked = lookup_join(
+    clicked = hot_key_join(
         token_clicks.withColumnRenamed("token", "wrongword"), wanted.select("wrongword", "rightword"), ["wrongword"]
     )
     carried = clicked.join(
@@ -431,35 +432,25 @@ def brand_chunks(brands: DataFrame, brand: str = "brandname") -> DataFrame:
     )
 
 
-def _most_tokens(lookup: DataFrame, column: str) -> int:
-    """Tokens of the longest entry of a lookup."""
-    return max(1, lookup.agg(F.coalesce(F.max(F.size(F.split(column, " "))), F.lit(1))).first()[0])
-
-
 def longest_phrase(queries: DataFrame, phrases: DataFrame, key: str = "query", tokens: str = "tokens") -> DataFrame:
     """The longest known phrase inside each query; equal lengths by text. Queries without any are left out."""
-    max_tokens = _most_tokens(phrases, "phrase")
-    grams = F.flatten(F.array(*[ngrams(F.col(tokens), n) for n in range(1, max_tokens + 1)]))
-    rows = queries.select(key, F.explode_outer(F.array_distinct(grams)).alias("phrase")).filter(F.col("phrase").isNotNull())
-    found = lookup_join(rows, phrases.select("phrase").distinct(), ["phrase"])
-    length = F.size(F.split("phrase", " "))
-    best = F.min_by("phrase", F.struct((-length).alias("l"), "phrase"))
-    return found.groupBy(key).agg(best.alias("phrase"), F.max(length).alias("phrase_tokens"))
+    found = matches(queries.select(key, F.col(tokens).alias("tokens")), token_trie(phrases, "phrase"), [key])
+    best = F.max_by("phrase", F.struct("phrase_tokens", F.lit(1)))
+    longest = found.groupBy(key, "phrase_tokens").agg(F.min("phrase").alias("phrase"))  # of one length the first by text
+    return longest.groupBy(key).agg(best.alias("phrase"), F.max("phrase_tokens").alias("phrase_tokens"))
 
 
 def identify_intent(queries: DataFrame, lookups: dict[str, DataFrame], key: str = "query", tokens: str = "tokens") -> DataFrame:
-    """(query, kind, value) rows: the lookup values of a query's tokens and short phrases.
+    """(query, kind, value) rows: the lookup values of a query's tokens and phrases, however long.
 
     Each lookup has token and value. Values stay in long form, one row each.
     """
-    max_tokens = max((_most_tokens(table, "token") for table in lookups.values()), default=1)
-    grams = F.flatten(F.array(*[ngrams(F.col(tokens), n) for n in range(1, max_tokens + 1)]))
-    rows = queries.select(key, F.explode_outer(F.array_distinct(grams)).alias("token")).filter(F.col("token").isNotNull())
     united = reduce(
         lambda a, b: a.unionByName(b),
         [table.select("token", F.lit(kind).alias("kind"), F.col("value").cast("string").alias("value")) for kind, table in lookups.items()],
     ).distinct()
-    return lookup_join(rows, united, ["token"]).select(key, "kind", "value").distinct()
+    found = matches(queries.select(key, F.col(tokens).alias("tokens")), token_trie(united, "token"), [key])
+    return lookup_join(found.select(key, F.col("phrase").alias("token")).distinct(), united, ["token"]).select(key, "kind", "value").distinct()
 
 
 def rewrite_query(queries: DataFrame, entities: DataFrame, key: str = "query", tokens: str = "tokens") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.text import normal_tokens
-from shoplens.operators.scale import spread_small
+from shoplens.operators.scale import spread
 
 AS_OF = "2024-02-01"
 SENTENCE = r"[.!?\n]+"
@@ -85,7 +85,7 @@ PRODUCTS = """products AS (
 def history(spark: SparkSession, folder: str) -> DataFrame:
     """Searches of product names leading to products: term, sku, day, views, clicks, cart additions."""
     columns = ["l_partkey", "l_linestatus", "l_shipdate", "l_quantity", "l_returnflag", "l_linenumber"]
-    rows = spread_small(table(spark, folder, "lineitem").select(*columns)).join(
+    rows = spread(table(spark, folder, "lineitem").select(*columns)).join(
         table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     term = F.when(F.col("l_linestatus") == "O", F.col("p_name")).otherwise(F.concat_ws(" ", "p_name", "p_brand"))
@@ -116,7 +116,7 @@ history AS (SELECT *, {tokens_sql('search_term')} AS query_normalised FROM histo
 
 def searches(spark: SparkSession, folder: str) -> DataFrame:
     """Every sentence of every document as one search."""
-    text = spread_small(table(spark, folder, "documents").select("text")).select(F.explode_outer(F.split("text", SENTENCE)).alias("search_term")).filter(F.col("search_term").isNotNull())
+    text = spread(table(spark, folder, "documents").select("text")).select(F.explode_outer(F.split("text", SENTENCE)).alias("search_term")).filter(F.col("search_term").isNotNull())
     return text.withColumn("total_searches", F.lit(1).cast("bigint"))
 
 
@@ -126,7 +126,7 @@ SEARCHES = r"""searches AS (
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct words of all conversation texts."""
-    text = spread_small(table(spark, folder, "conversations").select("text")).select(F.explode_outer(normal_tokens(F.col("text"))).alias("word")).filter(F.col("word").isNotNull())
+    text = spread(table(spark, folder, "conversations").select("text")).select(F.explode_outer(normal_tokens(F.col("text"))).alias("word")).filter(F.col("word").isNotNull())
     return text.distinct()
 
 
@@ -135,7 +135,7 @@ WORDS = f"words AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS word FROM co
 
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Words of conversations with the number of texts holding them."""
-    text = spread_small(table(spark, folder, "conversations").select("text")).select(F.explode_outer(F.array_distinct(normal_tokens(F.col("text")))).alias("word")).filter(F.col("word").isNotNull())
+    text = spread(table(spark, folder, "conversations").select("text")).select(F.explode_outer(F.array_distinct(normal_tokens(F.col("text")))).alias("word")).filter(F.col("word").isNotNull())
     return text.groupBy("word").agg(F.count(F.lit(1)).alias("products"))
 
 
@@ -146,7 +146,7 @@ WORD_COUNTS = f"""word_counts AS (
 
 def turn_queries(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as queries: query id, text tokens, freq."""
-    return spread_small(table(spark, folder, "conversations").select("conv_id", "turn", "text")).select(
+    return spread(table(spark, folder, "conversations").select("conv_id", "turn", "text")).select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query"),
         normal_tokens(F.col("text")).alias("tokens"),
         F.lit(1).cast("bigint").alias("freq"),

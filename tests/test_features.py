@@ -153,17 +153,29 @@ def test_top_n_beyond_the_group_limit_threshold(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, how):
-    fact = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("k"), "id")
-    lookup = spark.createDataFrame([(1, "x"), (3, "y")], "k bigint, name string")
+def test_hot_key_join_equals_plain_join(spark, how):
+    """A third of the rows on one key, some on a second heavy one, some without a key."""
+    key = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 10 == 1, 2).when(F.col("id") % 50 != 7, F.col("id"))
+    fact = spark.range(6000).select(key.alias("k"), "id", F.lit("a").alias("name"))
+    lookup = spark.createDataFrame([(1, "x"), (1, "x2"), (2, "w"), (5, "y"), (8, None), (None, "none")], "k bigint, value string")
     want = sorted(map(str, fact.join(lookup, "k", how).collect()))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = sorted(map(str, sc.lookup_join(fact, lookup, ["k"], how).collect()))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert got == want
+    heavy = {r.k: r._salts for r in sc.heavy_keys(fact, ["k"], 100).collect()}
+    assert heavy[1] == 20 and set(heavy) - {None} == {1, 2}  # in proportion, and no light key
+    joined = sc.hot_key_join(fact, lookup, ["k"], how, task_rows=100)
+    assert joined.columns == fact.join(lookup, "k", how).columns
+    assert sorted(map(str, joined.collect())) == want
+    assert sc.heavy_keys(fact, ["k"], 10_000) is None
+    plain = sc.hot_key_join(fact, lookup, ["k"], how, task_rows=10_000)
+    assert "_salt" not in plain._jdf.queryExecution().toString()
+    assert sorted(map(str, plain.collect())) == want
+
+
+def test_heavy_keys_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sc, "MOST_HEAVY", 4)
+    fact = spark.range(2000).select((F.col("id") % 20).alias("k"))
+    fact = fact.unionByName(spark.range(900).select(F.lit(3).cast("long").alias("k")))
+    heavy = sc.heavy_keys(fact, ["k"], 50).collect()
+    assert [r.k for r in heavy] == [3] and heavy[0]._salts == 2
 
 
 def test_lag_crosses_empty_buckets(spark):

@@ -172,3 +172,47 @@ def test_streamed_accumulation_reads_each_file_once(spark, tmp_path):
         accumulate_history(spark, land, schema, arch, check, ["q"], ["n"]).awaitTermination()
     got = archived_totals(spark, arch, "2024-01-01", "2024-01-31", ["q"], ["n"]).collect()
     assert [(r.q, r.n) for r in got] == [("a", 3)]
+
+
+def test_phrase_trie_against_brute_force(spark):
+    """Phrases of 1 to 60 tokens, overlapping ones and such that are the beginning of others."""
+    import random
+
+    draw = random.Random(5)
+    lists = [[draw.choice("abcde") for _ in range(draw.randint(0, 40))] for _ in range(60)]
+    long = [draw.choice("abcdefgh") for _ in range(60)]
+    lists += [["x", *long, "y"], long[:59], long[1:], [], None, ["a", None, "b"]]
+    phrases = {" ".join(long), " ".join(long[:5]), "a", "b c", "b c d", "zz"} | {" ".join(t[k : k + draw.randint(1, 9)]) for t in lists[:30] for k in (0, 4) if t}
+    phrases = sorted(p for p in phrases if p)
+    rows = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(lists)], "query string, tokens array<string>")
+    known = spark.createDataFrame([(p,) for p in phrases + phrases[:3]] + [(None,)], "phrase string")
+    want = set()
+    for i, t in enumerate(lists):
+        for p in phrases:
+            w = p.split(" ")
+            want |= {(f"q{i}", k, p, len(w)) for k in range(len(t or []) - len(w) + 1) if t[k : k + len(w)] == w}
+    from shoplens.operators import phrase_trie
+
+    got = phrase_trie.matches(rows, phrase_trie.token_trie(known), ["query"])
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert any(length == 60 for *_, length in want)
+    best = {}
+    for q, _, p, n in want:
+        best[q] = min(best.get(q, (0, "")), (-n, p))
+    assert {r.query: (-r.phrase_tokens, r.phrase) for r in vocabulary.longest_phrase(rows, known).collect()} == best
+    lookup = known.select(F.col("phrase").alias("token"), F.lit("v").alias("value"))
+    assert {r.query for r in vocabulary.identify_intent(rows, {"kind": lookup}).collect()} == set(best)
+    assert phrase_trie.matches(rows.limit(0), phrase_trie.token_trie(known), ["query"]).collect() == []
+    assert phrase_trie.matches(rows, phrase_trie.token_trie(known.limit(0)), ["query"]).collect() == []
+
+
+def test_trie_plan_does_not_grow(spark):
+    from shoplens.operators import phrase_trie
+
+    sizes = []
+    for n in (3, 60):
+        known = spark.createDataFrame([(" ".join("abc"[k % 3] for k in range(n)),)], "phrase string")
+        rows = spark.createDataFrame([("q", ["a"])], "query string, tokens array<string>")
+        plan = phrase_trie.matches(rows, phrase_trie.token_trie(known), ["query"])._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(plan.count("\n"))
+    assert sizes[0] == sizes[1]
