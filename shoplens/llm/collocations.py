@@ -1,9 +1,9 @@
 """Phrase collocations from count streams in prefix and suffix order.
 
 Only phrases met often enough matter, and all parts of such a phrase are met at least as often. So words are counted by digest
-first, then pairs of frequent words, and texts shrink to the runs of frequent pairs; phrases of two to five words are counted by
-their spelling in what is left. The sets of frequent words and pairs travel as bit tables of fixed size, whose rare false
-hits only leave more to be counted.
+first, then pairs and triples of frequent words; these are then counted by their spelling, and longer phrases in what is left of the
+texts, the runs of frequent triples. The sets of frequent words, pairs and triples travel as bit tables of fixed size, whose rare
+false hits only leave more to be counted.
 
 The counts of all lengths form one stream, kept twice: sorted by the words from the first on, and from the last on. In
 prefix order each phrase comes behind all phrases it begins with and right before those that go on from it, so reading the
@@ -53,11 +53,27 @@ class Pieces:
         with np.errstate(over="ignore"):
             return mixed(self.digest[:-1] * np.uint64(5) + self.digest[1:])
 
+    def triples(self, pairs: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed(pairs[:-1] * np.uint64(7) + self.digest[2:])
+
     def lang_array(self, codes: np.ndarray) -> pa.Array:
         return pa.DictionaryArray.from_arrays(pa.array(codes.astype(np.int32)), pa.array(self.langs, pa.string())).cast(pa.string())
 
-    def spelled(self, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-        return strings(*cut(self.words.data, starts, ends))
+    def spelled(self, first: np.ndarray, size: int) -> pa.Array:
+        """Texts of the phrases of ``size`` words that begin at the words ``first``, one blank between words."""
+        at = (first[:, None] + np.arange(size)).ravel()
+        inner = np.arange(len(at)) % size < size - 1
+        data, bounds = cut(np.append(self.words.data, np.uint8(0)), self.words.starts[at], self.words.ends[at] + inner)
+        data[bounds[1:][inner] - 1] = 32
+        return strings(data, bounds[::size])
+
+    def counts(self, keys: np.ndarray, at: np.ndarray, size: int) -> pa.RecordBatch:
+        """Count of each distinct key of phrases that begin at the words ``at``, with language and spelling."""
+        _, first, n = np.unique(keys, return_index=True, return_counts=True)
+        first = at[first]
+        columns = [self.lang_array(self.lang[first]), pa.array(np.full(len(first), size)), self.spelled(first, size), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
 
 
 def cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,59 +130,67 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     totals = counts.filter("digest is null").select("lang", "n")
     own_words = spark.sparkContext.broadcast(bit_table(counts.filter("digest is not null")))
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
             known = within(own_words.value, own.digest)
-            yield pa.record_batch(_counted(own.pairs()[known[1:] & known[:-1] & own.joined]))
-
-    own_pairs = spark.sparkContext.broadcast(bit_table(_often(docs.mapInArrow(pairs, "digest bigint, n bigint"), least)))
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts of frequent words by spelling, and each text cut down to its runs of frequent pairs, a line each."""
+            linked = known[1:] & known[:-1] & own.joined
+            pairs = own.pairs()
+            yield pa.record_batch(_counted(pairs[linked]))
+            yield pa.record_batch(_counted(own.triples(pairs)[linked[1:] & linked[:-1]]))
+
+    own_groups = spark.sparkContext.broadcast(bit_table(_often(docs.mapInArrow(groups, "digest bigint, n bigint"), least)))
+
+    def alive(own: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Digests of pairs and triples, and which of them may be frequent."""
+        pairs = own.pairs()
+        linked = within(own_groups.value, pairs) & own.joined
+        triples = own.triples(pairs)
+        return pairs, triples, linked, within(own_groups.value, triples) & linked[1:] & linked[:-1]
+
+    def shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of frequent words, pairs and triples by spelling, and each text cut down to its runs of frequent triples, a line each."""
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
-            w, known = own.words, within(own_words.value, own.digest)
-            at = np.flatnonzero(known)
-            _, first, n = np.unique(own.digest[at], return_index=True, return_counts=True)
-            first = at[first]
-            yield pa.record_batch({"lang": own.lang_array(own.lang[first]), "text": own.spelled(w.starts[first], w.ends[first]), "n": pa.array(n.astype(np.int64))})
-            linked = np.zeros(len(known) + 1, dtype=bool)  # word i - 1 and word i
-            linked[1:-1] = known[1:] & known[:-1] & own.joined
-            linked[1:-1] &= within(own_pairs.value, own.pairs())
-            at = np.flatnonzero(linked[1:] | linked[:-1])
+            w = own.words
+            pairs, triples, linked, tripled = alive(own)
+            for size, digests, found in ((1, own.digest, within(own_words.value, own.digest)), (2, pairs, linked), (3, triples, tripled)):
+                at = np.flatnonzero(found)
+                yield own.counts(digests[at], at, size)
+            inside = np.zeros(len(w.starts) + 1, dtype=bool)  # word i - 1 and word i are in one frequent triple
+            inside[1:-2] |= tripled
+            inside[2:-1] |= tripled
+            at = np.flatnonzero(inside[1:] | inside[:-1])
             if not len(at):
                 continue
-            padded = np.append(w.data, np.uint8(10))
-            data, bounds = cut(padded, w.starts[at], w.ends[at] + 1)
-            data[bounds[1:] - 1] = np.where(linked[1:][at], 32, 10)
-            docs_of = w.doc[at]
-            first = np.flatnonzero(np.diff(docs_of, prepend=-1))
+            data, bounds = cut(np.append(w.data, np.uint8(10)), w.starts[at], w.ends[at] + 1)
+            data[bounds[1:] - 1] = np.where(inside[1:][at], 32, 10)
+            first = np.flatnonzero(np.diff(w.doc[at], prepend=-1))
             texts = strings(data, np.append(bounds[first], bounds[-1]))
-            yield pa.record_batch({"lang": own.lang_array(own.lang[at[first]]), "text": texts, "n": pa.nulls(len(first), pa.int64())})
+            columns = [own.lang_array(own.lang[at[first]]), pa.nulls(len(first), pa.int64()), texts, pa.nulls(len(first), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
 
-    shorter = materialise(docs.mapInArrow(runs, "lang string, text string, n bigint"), "runs")
+    kinds = "lang string, size bigint, phrase string, n bigint"
+    short = materialise(docs.mapInArrow(shorter, kinds), "runs")
 
-    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
-            w = own.words
+            n = len(own.digest)
+            rank = np.unique(own.triples(own.pairs()), return_inverse=True)[1].astype(np.int64) if n > 2 else np.zeros(0, np.int64)
             word = np.unique(own.digest, return_inverse=True)[1].astype(np.int64)
-            rank, alive = word, np.ones(len(word), dtype=bool)
-            for size in range(2, LONGEST + 1):
-                at = np.flatnonzero(alive[: len(word) - size + 1] & np.append(own.joined, False)[size - 2 : len(word) - 1])
-                alive = np.zeros(len(word), dtype=bool)
-                alive[at] = True
-                _, first, back, n = np.unique(rank[at] << 32 | word[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
-                rank = np.zeros(len(word), dtype=np.int64)
-                rank[at] = back
-                first = at[first]
-                spelled = own.spelled(w.starts[first], w.ends[first + size - 1])
-                yield pa.record_batch({"lang": own.lang_array(own.lang[first]), "size": pa.array(np.full(len(first), size)), "phrase": spelled, "n": pa.array(n.astype(np.int64))})
-
-    longer = shorter.filter("n is null").select("lang", "text").mapInArrow(phrases, "lang string, size bigint, phrase string, n bigint")
-    single = shorter.filter("n is not null").select("lang", F.lit(1).cast("long").alias("size"), F.col("text").alias("phrase"), "n")
-    sums = single.unionByName(longer).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
+            _, _, _, tripled = alive(own)
+            found = tripled
+            for size in range(4, LONGEST + 1):
+                found = found[: n - size + 1] & tripled[size - 3 :]
+                at = np.flatnonzero(found)
+                keys = rank[at] << 32 | word[at + size - 1]
+                yield own.counts(keys, at, size)
+                rank = np.zeros(n, dtype=np.int64)
+                rank[at] = np.unique(keys, return_inverse=True)[1]
+
+    runs = short.filter("n is null").select("lang", F.col("phrase").alias("text"))
+    sums = short.filter("n is not null").unionByName(runs.mapInArrow(longer, kinds)).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
     return materialise(sums.filter(F.col("f") >= least), "phrases"), totals
 
 
