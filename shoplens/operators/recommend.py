@@ -14,7 +14,7 @@ from shoplens.functions.arrays import cosine
 from shoplens.operators.scale import global_positions, lookup_join, materialise, top_n_per_group
 
 BLOCK_ROWS = 1024
-MAX_PIVOTS = 256
+PIVOT_BYTES = 32 << 20  # pivots sent to every task: about the root of the vectors, and never more than this
 
 
 def explode_affinity(features: DataFrame, column: str = "attribute_affinity_brandname", name: str = "brandname") -> DataFrame:
@@ -43,21 +43,59 @@ def _unit_rows(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat / np.where(size == 0, 1.0, size)[:, None], size
 
 
-def _place(df: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> DataFrame:
-    """Nearest pivot of every vector and the angle to it."""
+class PivotTree:
+    """Pivots on two levels: every pivot belongs to the nearest of a few top ones, so a vector meets about two roots of them."""
+
+    def __init__(self, pivots: np.ndarray) -> None:
+        tops = pivots[: max(1, int(np.sqrt(len(pivots))))]
+        owner = (pivots @ tops.T).argmax(axis=1)
+        order = np.argsort(owner, kind="stable")
+        self.tops, self.fine, self.owner = tops, pivots[order], owner[order]
+        self.first = np.searchsorted(self.owner, np.arange(len(tops) + 1))
+
+    def nearest(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cell of each unit vector, the angle to its pivot and to the top pivot above."""
+        dots = units @ self.tops.T
+        top = dots.argmax(axis=1)
+        cell, near = np.zeros(len(units), dtype=np.int64), np.zeros(len(units))
+        for t in np.unique(top):
+            rows = np.flatnonzero(top == t)
+            own = units[rows] @ self.fine[self.first[t] : self.first[t + 1]].T
+            best = own.argmax(axis=1)
+            cell[rows], near[rows] = self.first[t] + best, own[np.arange(len(rows)), best]
+        return cell, _angle(near), _angle(dots[np.arange(len(units)), top])
+
+    def within(self, units: np.ndarray, limit: np.ndarray, radius: np.ndarray, top_radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) pairs where the cell may hold a vector within ``limit`` of the row's; empty cells have radius minus infinity."""
+        margin = limit + 1e-6  # covers rounding of arccos
+        far = _angle(units @ self.tops.T) - top_radius[None, :]
+        rows, cells = [], []
+        for t in np.flatnonzero(np.isfinite(top_radius)):
+            own = np.flatnonzero(far[:, t] <= margin)
+            part = slice(self.first[t], self.first[t + 1])
+            who, cell = np.nonzero(_angle(units[own] @ self.fine[part].T) - radius[None, part] <= margin[own, None])
+            rows.append(own[who])
+            cells.append(self.first[t] + cell)
+        return np.concatenate(rows), np.concatenate(cells)
+
+
+def _angle(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+
+def _place(df: DataFrame, tree: PivotTree, id_type: T.DataType) -> DataFrame:
+    """Cell of every vector (-1 for length zero), the angle to its pivot and to its top pivot."""
 
     def nearest(batches):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             units, size = _unit_rows(batch.column("vec"))
-            dots = units @ pivots.T
-            cell = dots.argmax(axis=1)
-            angle = np.arccos(np.clip(dots[np.arange(len(cell)), cell], -1.0, 1.0))
+            cell, angle, top_angle = tree.nearest(units)
             cell = np.where(size == 0, -1, cell)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("vec"), pa.array(cell, pa.int32()), pa.array(angle)],
-                names=["id", "vec", "cell", "angle"],
+                [batch.column("id"), batch.column("vec"), pa.array(cell, pa.int32()), pa.array(angle), pa.array(top_angle)],
+                names=["id", "vec", "cell", "angle", "top_angle"],
             )
 
     schema = T.StructType(
@@ -66,20 +104,23 @@ def _place(df: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> DataFrame:
             T.StructField("vec", T.ArrayType(T.DoubleType())),
             T.StructField("cell", T.IntegerType()),
             T.StructField("angle", T.DoubleType()),
+            T.StructField("top_angle", T.DoubleType()),
         ]
     )
     return df.mapInArrow(nearest, schema)
 
 
-def _blocks(df: DataFrame, cell: str, sizes: dict[int, int], prefix: str) -> DataFrame:
+def _cell_blocks(rows: DataFrame, cell: str) -> DataFrame:
+    """(cell, blocks): how many blocks of about BLOCK_ROWS rows each cell needs; one row per pivot at most."""
+    return rows.groupBy(F.col(cell).alias("cell")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
+
+
+def _blocks(df: DataFrame, cell: str, prefix: str) -> DataFrame:
     """Rows of a cell packed into blocks of about BLOCK_ROWS vectors, whatever the cell's size."""
-    per_cell = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (int(c), max(1, -(-int(n) // BLOCK_ROWS)))])
-    parts = F.coalesce(F.try_element_at(per_cell, F.col(cell)), F.lit(1))
-    block = F.pmod(F.xxhash64("id"), parts).cast("int")
-    item = F.collect_list(F.struct("id", "vec"))
-    packed = df.withColumn("_block", block).groupBy(F.col(cell).alias("cell"), F.col("_block").alias(f"{prefix}_block"))
-    rows = packed.agg(item.alias("items"))
-    return rows.select(
+    sized = df.select("id", "vec", F.col(cell).alias("cell")).join(F.broadcast(_cell_blocks(df, cell)), "cell")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    packed = sized.withColumn(f"{prefix}_block", block).groupBy("cell", f"{prefix}_block").agg(F.collect_list(F.struct("id", "vec")).alias("items"))
+    return packed.select(
         "cell", f"{prefix}_block", F.col("items.id").alias(f"{prefix}_ids"), F.col("items.vec").alias(f"{prefix}_vecs")
     )
 
@@ -162,52 +203,53 @@ def nearest_neighbours(
     return top_n_per_group(answers, ["probe"], [F.desc("cosine"), F.asc("base")], k)
 
 
+def _pivots(rows: DataFrame, total: int, pivots: int | None) -> np.ndarray:
+    """Unit vectors of the rows with the lowest digests: about the root of all rows, and within PIVOT_BYTES."""
+    living = rows.filter(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x) > 0)
+    width = rows.select(F.size("vec").alias("width")).first()
+    width = max(1, width["width"]) if width else 1
+    wanted = pivots or max(1, min(int(np.sqrt(total)), PIVOT_BYTES // (8 * width)))
+    picked = [r["vec"] for r in living.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()]
+    centre = np.array(picked or [[1.0] * width], dtype=np.float64)  # without any: only vectors of length zero
+    return centre / np.sqrt((centre * centre).sum(axis=1))[:, None]
+
+
 def _nearest_distinct(rows: DataFrame, probes: DataFrame | None, k: int, pivots: int | None) -> DataFrame:
     """k nearest among distinct vectors (columns id, vec).
 
-    Vectors gather around at most MAX_PIVOTS pivots. A probe first looks inside its own cell; the k-th
-    cosine found there is a bound. By the triangle inequality for angles a cell can hold something
-    better only if angle(probe, pivot) - radius(cell) stays within the bound, so the probe visits just
-    those cells. Cells of any size are cut into blocks of about BLOCK_ROWS rows, and a task works on a
-    pair of blocks. Vectors of length zero have cosine 0 with everything and join as candidates of
-    their own: only the lowest ids among them can rank.
+    Vectors gather around pivots, in proportion to the root of their number, found through a tree of two levels. A probe first looks
+    inside its own cell; the k-th cosine found there is a bound. By the triangle inequality for angles a cell can hold something
+    better only if angle(probe, pivot) - radius(cell) stays within the bound, and all cells under a top pivot can be passed over
+    by the same rule, so the probe visits just the cells left. Cells of any size are cut into blocks of about BLOCK_ROWS rows, and a
+    task works on a pair of blocks: the table's vectors are packed and shuffled once, a probe's once for each cell it visits.
+    Vectors of length zero have cosine 0 with everything and join as candidates of their own: only the lowest ids among them
+    can rank.
     """
     same_table = probes is None
     id_type = rows.schema["id"].dataType
-    total = rows.count()
-    wanted = min(MAX_PIVOTS, max(1, int(np.sqrt(total)))) if pivots is None else pivots
-    # bounded: at most MAX_PIVOTS vectors reach the driver
-    chosen = rows.filter(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x) > 0).orderBy(F.xxhash64("id"), "id").limit(wanted)
-    picked = [r["vec"] for r in chosen.collect()]
-    if not picked:  # only vectors of length zero
-        width = rows.select(F.size("vec").alias("width")).first()
-        picked = [[1.0] * (width["width"] if width else 1)]
-    centre = np.array(picked, dtype=np.float64)
-    centre = centre / np.sqrt((centre * centre).sum(axis=1))[:, None]
-
-    placed = materialise(_place(rows, centre, id_type), "cells")
-    # one row per pivot
-    stats = placed.filter("cell >= 0").groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()
-    sizes = {r["cell"]: r["n"] for r in stats}
-    radius = np.full(len(centre), -np.inf)
+    tree = PivotTree(_pivots(rows, rows.count(), pivots))
+
+    placed = materialise(_place(rows, tree, id_type), "cells")
+    stats = placed.filter("cell >= 0").groupBy("cell").agg(F.max("angle").alias("radius"), F.max("top_angle").alias("top")).collect()  # one row per pivot
+    radius, top_radius = np.full(len(tree.fine), -np.inf), np.full(len(tree.tops), -np.inf)
     for r in stats:
         radius[r["cell"]] = r["radius"]
-    probe_rows = placed if same_table else _place(probes, centre, id_type)
+        top_radius[tree.owner[r["cell"]]] = max(top_radius[tree.owner[r["cell"]]], r["top"])
+    probe_rows = placed if same_table else materialise(_place(probes, tree, id_type), "probes")
     living = probe_rows.filter("cell >= 0")
-    base_blocks = materialise(_blocks(placed.filter("cell >= 0"), "cell", sizes, "b"), "blocks")
-    block_count = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (int(c), max(1, -(-int(n) // BLOCK_ROWS)))]) if sizes else None
-
-    def visit(candidates: DataFrame, cell: str, counts: dict[int, int]) -> DataFrame:
-        packed = _blocks(candidates, cell, counts, "p")
-        spread = packed.withColumn(
-            "b_block", F.explode(F.sequence(F.lit(0), F.coalesce(F.try_element_at(block_count, F.col("cell")), F.lit(1)) - 1))
-        )
+    base = placed.filter("cell >= 0")
+    base_blocks = materialise(_blocks(base, "cell", "b"), "blocks")
+    block_counts = materialise(_cell_blocks(base, "cell"), "block-counts")
+
+    def visit(candidates: DataFrame, cell: str) -> DataFrame:
+        """The rows packed by cell, each pack beside every block of that cell."""
+        packed = _blocks(candidates, cell, "p").join(F.broadcast(block_counts), "cell")
+        spread = packed.withColumn("b_block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
         return _block_top(spread.join(base_blocks, ["cell", "b_block"]), k, id_type, same_table)
 
     parts = []
-    if sizes:
-        own_counts = sizes if same_table else {r["cell"]: r["n"] for r in living.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        own = materialise(visit(living, "cell", own_counts), "own")
+    if stats:
+        own = materialise(visit(living, "cell"), "own")
         bound = (
             top_n_per_group(own, ["probe"], [F.desc("cosine"), F.asc("base")], k)
             .groupBy("probe")
@@ -221,13 +263,10 @@ def _nearest_distinct(rows: DataFrame, probes: DataFrame | None, k: int, pivots:
                     continue
                 units, _ = _unit_rows(batch.column("vec"))
                 bounds = batch.column("bound").to_numpy(zero_copy_only=False)
-                limit = np.where(np.isnan(bounds), np.pi, np.arccos(np.clip(bounds, -1.0, 1.0)))
-                angles = np.arccos(np.clip(units @ centre.T, -1.0, 1.0))
-                # the margin covers rounding of arccos
-                open_cells = (angles - radius[None, :]) <= limit[:, None] + 1e-6
-                open_cells[np.arange(len(units)), batch.column("cell").to_numpy(zero_copy_only=False)] = False
-                open_cells &= np.isfinite(radius)[None, :]
-                who, cell = np.nonzero(open_cells)
+                limit = np.where(np.isnan(bounds), np.pi, _angle(bounds))
+                who, cell = tree.within(units, limit, radius, top_radius)
+                other = cell != batch.column("cell").to_numpy(zero_copy_only=False)[who]
+                who, cell = who[other], cell[other]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(who)), batch.column("vec").take(pa.array(who)), pa.array(cell.astype(np.int32))],
                     names=["id", "vec", "to_cell"],
@@ -240,10 +279,7 @@ def _nearest_distinct(rows: DataFrame, probes: DataFrame | None, k: int, pivots:
             "id", "vec", "cell", F.when(F.col("found") >= k, F.col("bound")).alias("bound")
         )
         travels = materialise(limited.mapInArrow(reachable, schema), "visits")
-        visits = {r["to_cell"]: r["n"] for r in travels.groupBy("to_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        parts.append(own)
-        if visits:
-            parts.append(visit(travels, "to_cell", visits))
+        parts += [own, visit(travels, "to_cell")]
 
     # zero vectors: k + 1 lowest ids suffice as partners, all with cosine 0
     zeros = placed.filter("cell < 0").orderBy("id").limit(k + 1).agg(F.collect_list("id").alias("ids"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from shoplens.functions.text import normal_brand, vertical_name, vertical_snake
@@ -11,7 +13,9 @@ from shoplens.plans.domain import (
     HISTORY, NAMED_QUERIES, PRODUCTS, SEARCHES, SHEET, SHOWN, TRUTH, history, named_queries, products, searches, shown_products,
     synonyms_sheet, table, tokens_sql, truth_detected,
 )
+from shoplens.operators.scale import materialise, scratch_path
 from shoplens.plans.registry import flat, query
+from shoplens.sources.incremental import DailySums
 
 LAST_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"), ("&nbsp;", " "), ("&amp;", "&")]
 
@@ -377,6 +381,59 @@ def _(spark, d):
     return flat(hi.range_sum(short, "date", *[F.lit(x).cast("date") for x in RANGE], ["query_normalised"], ["freq"]))
 
 
+ROLLED_DAYS = ("1998-06-01", 9, 5)  # first day, days taken in, length of the window
+
+
+@query(
+    "agg_range_sum_rolling",
+    f"""WITH {HISTORY} SELECT search_term, sku, CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(freq) AS BIGINT) AS freq FROM history
+    WHERE day BETWEEN DATE '{ROLLED_DAYS[0]}' + {ROLLED_DAYS[1] - ROLLED_DAYS[2]} AND DATE '{ROLLED_DAYS[0]}' + {ROLLED_DAYS[1] - 1} GROUP BY 1, 2""",
+)
+def _(spark, d):
+    """The window's sums kept up day by day: each step adds the day that comes and subtracts the one that leaves."""
+    start, days, length = ROLLED_DAYS
+    rows = history(spark, d).select("search_term", "sku", "clicks", "freq", "date")
+    dates = [(dt.date.fromisoformat(start) + dt.timedelta(days=k)).isoformat() for k in range(days)]
+    rows = materialise(rows.filter(F.col("date").between(dates[0], dates[-1])), "rolled")
+    window = DailySums(spark, scratch_path(spark, "window"), ["search_term", "sku"], ["clicks", "freq"], days=length)
+    for date in dates:
+        total = window.advance(rows.filter(F.col("date") == F.lit(date).cast("date")), date)
+    return total
+
+
+# the further aggregates kept over the range: result columns, SQL of the grouping columns, filter
+RANGE_TABLES = {
+    "agg_range_sum_queries": (["search_term", "query_normalised"], "search_term, array_to_string(query_normalised, '|') AS query_normalised", "freq", "true"),
+    "agg_range_sum_impressions": (["search_term", "sku"], "search_term, sku", "freq", "true"),
+    "agg_range_sum_clicks": (["search_term", "sku"], "search_term, sku", "freq", "clicks > 0"),
+    "agg_range_sum_cold_cache": (["search_term"], "search_term", "freq", "true"),
+}
+
+
+def _range_table(name: str) -> None:
+    keys, shown, total, only = RANGE_TABLES[name]
+    sql = f"""WITH {HISTORY} SELECT {shown}, CAST(sum({total}) AS BIGINT) AS {total} FROM history WHERE {RANGE_SQL} AND {only} GROUP BY ALL"""
+
+    @query(name, sql)
+    def run(spark, d):
+        rows = history(spark, d).filter(only)
+        return flat(hi.range_sum(rows, "date", *[F.lit(x).cast("date") for x in RANGE], keys, [total]))
+
+
+for _name in RANGE_TABLES:
+    _range_table(_name)
+
+
+@query(
+    "agg_range_sum_science",
+    f"""WITH {HISTORY} SELECT search_term, sku, CAST(sum(freq) AS BIGINT) AS impressions, CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(carts) AS BIGINT) AS total_quantity
+    FROM history WHERE {RANGE_SQL} GROUP BY 1, 2""",
+)
+def _(spark, d):
+    rows = history(spark, d).withColumnsRenamed({"freq": "impressions", "carts": "total_quantity"})
+    return hi.range_sum(rows, "date", *[F.lit(x).cast("date") for x in RANGE], ["search_term", "sku"], ["impressions", "clicks", "total_quantity"])
+
+
 @query(
     "agg_group_queries_freq",
     f"WITH {HISTORY} SELECT search_term, CAST(sum(freq) AS BIGINT) AS freq FROM history GROUP BY search_term",

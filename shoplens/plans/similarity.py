@@ -10,7 +10,9 @@ from shoplens.operators import recommend as re
 from shoplens.operators.quality import min_max_scale
 from shoplens.operators.scale import materialise
 from shoplens.plans.domain import AS_OF, catalogue, interactions, table, vectors
+from shoplens.operators.scale import scratch_path
 from shoplens.plans.registry import flat, query
+from shoplens.sources.incremental import VectorCache
 from shoplens.plans.user_features import AFFINITY_SQL, FEATURE_NAMES, FEATURES_SQL, user_features
 
 
@@ -76,6 +78,24 @@ def _(spark, d):
     return flat(re.latest_vectors(rows).select("query", "ts", F.element_at("vec", 1).alias("first")))
 
 
+@query(
+    "ml_vector_cache_days",
+    """WITH r AS (SELECT 'q' || (vec_id // 3) AS query, vec_id AS ts, embedding, vec_id % 3 AS day FROM embeddings WHERE vec_id % 7 <> 3 OR vec_id % 3 = 2)
+    SELECT query, max(ts) AS ts, round(arg_max(embedding, ts)[1]::DOUBLE, 6) AS first FROM r GROUP BY 1""",
+)
+def _(spark, d):
+    """Three days taken into the kept cache: new queries by anti-join, newer vectors by upsert, and a fold of the two tables."""
+    v = vectors(spark, d).select(F.concat(F.lit("q"), F.floor(F.col("id") / 3).cast("string")).alias("query"), F.col("id").alias("ts"), "vec")
+    cache = VectorCache(spark, scratch_path(spark, "vector-cache"), buckets=8, share=0.5)
+    seen = v.filter("ts % 7 != 3 OR ts % 3 = 2")
+    cache.upsert(seen.filter("ts % 3 = 0"))
+    second = seen.filter("ts % 3 = 1")
+    cache.upsert(cache.unseen(second))
+    cache.upsert(second)
+    cache.upsert(seen.filter("ts % 3 = 2"))
+    return flat(cache.read().select("query", "ts", F.element_at("vec", 1).alias("first")))
+
+
 def scaled_rows(spark, d):
     """user x brand rows without nulls, features scaled to [0, 1] and assembled."""
     rows = user_features(spark, d).select("user_id", *[F.col(c).cast("double").alias(c) for c in FEATURE_NAMES])

@@ -16,6 +16,7 @@ from shoplens.operators import vocabulary as vo
 from shoplens.operators.scale import scratch_path
 from shoplens.plans.domain import HISTORY, NAME_PAIRS, NAMED_QUERIES, PRODUCTS, history, name_pairs, named_queries, products, table
 from shoplens.plans.registry import flat, query
+from shoplens.sources import incremental as inc
 from shoplens.sources import readers as rd
 from shoplens.sources import writers as wr
 
@@ -100,6 +101,12 @@ ROUTE_SQL = """f AS (SELECT '/landing/' || CASE event_type WHEN 'view' THEN 'PID
   WHEN 'error' THEN 'FREQUENCY_' ELSE 'zsr_' END || event_id || '.csv' AS path, ts FROM events)"""
 
 
+def landing_mark():
+    """Beginning of the file name an event lands under."""
+    kinds = {"view": "PID_ZSR_", "click": "QUERY_POSITION_", "purchase": "PID_", "error": "FREQUENCY_"}
+    return reduce(lambda c, kv: c.when(F.col("event_type") == kv[0], kv[1]), kinds.items(), F.when(F.lit(False), "")).otherwise("zsr_")
+
+
 @query(
     "src_landing_route",
     f"""WITH {ROUTE_SQL} SELECT path, CASE WHEN contains(path, 'ZSR') THEN 'zsr' WHEN contains(path, 'POSITION') THEN 'query_position'
@@ -107,9 +114,7 @@ ROUTE_SQL = """f AS (SELECT '/landing/' || CASE event_type WHEN 'view' THEN 'PID
     FROM f WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",
 )
 def _(spark, d):
-    kinds = {"view": "PID_ZSR_", "click": "QUERY_POSITION_", "purchase": "PID_", "error": "FREQUENCY_"}
-    mark = reduce(lambda c, kv: c.when(F.col("event_type") == kv[0], kv[1]), kinds.items(), F.when(F.lit(False), "")).otherwise("zsr_")
-    path = F.concat(F.lit("/landing/"), mark, F.col("event_id").cast("string"), F.lit(".csv"))
+    path = F.concat(F.lit("/landing/"), landing_mark(), F.col("event_id").cast("string"), F.lit(".csv"))
     files = table(spark, d, "events").select(path.alias("path"), F.col("ts").alias("modificationTime"))
     return rd.route_landing(files, F.lit("2024-01-15").cast("date")).select("path", "type")
 
@@ -121,15 +126,37 @@ def _(spark, d):
 def _(spark, d):
     base = scratch_path(spark, "archive")
     rows = history(spark, d).select(F.col("search_term").alias("query"), "freq", "date")
-    total = None
     edge = F.lit("1998-01-01").cast("date")
-    for day, part in (("1998-01-01", F.col("date") < edge), ("1998-01-02", F.col("date") >= edge), ("1998-01-02", F.col("date") >= edge)):
-        sums = rows.filter(part).groupBy("query").agg(F.sum("freq").alias("freq"))
-        # the second day runs twice: the result must not change
-        total = wr.save_with_archive(sums, f"{base}/cumulative", f"{base}/archive", day, ["query"], ["freq"])
+    # the second day comes three times, first in part: each run takes the place of the one before
+    for day, part in (
+        ("1998-01-01", F.col("date") < edge), ("1998-01-02", F.col("date") > edge), ("1998-01-02", F.col("date") >= edge), ("1998-01-02", F.col("date") >= edge),
+    ):
+        total = inc.save_with_archive(rows.filter(part), base, day, ["query"], ["freq"])
     return total.select("query", "freq")
 
 
+ROUTED_SQL = f"""{ROUTE_SQL}, n AS (SELECT path[10:] AS file FROM f WHERE CAST(ts AS DATE) = DATE '2024-01-15')
+    SELECT CASE WHEN contains(file, 'ZSR') THEN 'zsr' WHEN contains(file, 'POSITION') THEN 'query_position' WHEN contains(file, 'PID') THEN 'query_product_interactions'
+    WHEN contains(file, 'FREQUENCY') THEN 'query_level' ELSE 'other' END AS type, count(*) AS files, 2 * count(*) AS lines, 0::BIGINT AS moved_again FROM n GROUP BY 1"""
+
+
+@query("src_landing_files", f"WITH {ROUTED_SQL}")
+def _(spark, d):
+    """The events of a day land as one folder each, are routed by type and date, and routed again, which moves nothing."""
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "routed")
+    e = table(spark, d, "events").filter(F.to_date("ts") == F.lit("2024-01-15").cast("date"))
+    lines = F.explode(F.array(F.lit("event_id,value"), F.concat_ws(",", F.col("event_id").cast("string"), F.col("value").cast("string"))))
+    landed = e.select(F.concat(landing_mark(), F.col("event_id").cast("string"), F.lit(".csv")).alias("name"), lines.alias("value"))
+    landed.repartition("name").write.partitionBy("name").text(landing)
+    name = F.regexp_extract("path", "/name=([^/]+)/", 1)
+    today = spark.sql("SELECT CAST(current_date() AS STRING) AS d").first()["d"]
+    inc.route_landing_files(spark, landing, target, today, name)
+    again = inc.route_landing_files(spark, landing, target, today, name).count()
+    found = spark.read.option("basePath", f"{target}/data").text(f"{target}/data")
+    sums = found.groupBy("type").agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("lines"))
+    return sums.withColumn("moved_again", F.lit(again).cast("long"))
+
+
 @query(
     "sink_corpus_json",
     """SELECT p_name AS key, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS values, 'r2cats' AS lookup FROM part GROUP BY 1
@@ -138,9 +165,9 @@ def _(spark, d):
 def _(spark, d):
     folder = scratch_path(spark, "corpus")
     tables = {"r2cats": (products(spark, d), "name", "category"), "w2r": (name_pairs(spark, d), "wrongword", "rightword")}
-    wr.write_corpus_json(tables, folder)
-    schema = "key string, values array<string>"
-    parts = [spark.read.schema(schema).json(f"{folder}/{n}").withColumn("lookup", F.lit(n)) for n in tables]
+    wr.write_corpus_json(tables, folder, size=3)
+    schema = "key string, segment int, values array<string>"
+    parts = [wr.whole_lists(spark.read.schema(schema).json(f"{folder}/{n}")).withColumn("lookup", F.lit(n)) for n in tables]
     return flat(parts[0].unionByName(parts[1]))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.operators.scale import global_positions, hot_key_join
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode(mode)
@@ -24,6 +26,13 @@ def _filesystem(spark: SparkSession, path: str):
     return jvm, target.getFileSystem(conf), conf
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; empty if there is none."""
+    jvm, fs, _ = _filesystem(spark, folder)
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def write_named_csv(df: DataFrame, folder: str, name: str, copy_to: str | None = None) -> str:
     """One CSV file of a given name, for dictionaries; one task writes it, row by row. Large tables belong to ``write_csv``."""
     spark = df.sparkSession
@@ -39,34 +48,37 @@ def write_named_csv(df: DataFrame, folder: str, name: str, copy_to: str | None =
     return target.toString()
 
 
-def save_with_archive(
-    df: DataFrame, cumulative: str, archive: str, date: str, keys: Sequence[str], sums: Sequence[str]
-) -> DataFrame:
-    """Write the day's result to ``archive/date=…`` and rebuild the cumulative table.
+SEGMENT_VALUES = 10_000  # values of a key in one row
+
 
-    Only the day's partition is overwritten; the cumulative table is the sum over the archive, written
-    to a version folder of its own. Running a day again therefore changes nothing.
+def corpus_lookups(tables: dict[str, tuple[DataFrame, str, str]], size: int = SEGMENT_VALUES) -> dict[str, DataFrame]:
+    """Key to sorted value list for each lookup (w2r, r2e, r2l1l2, …): key, segment (from 0), values.
+
+    ``tables``: name to (table, key column, value column). The list of a key is cut into segments of ``size`` values; one after
+    another they are the whole sorted list. Distinct values are numbered over the whole sorted table, so a key with a large
+    share of all values is spread over the tasks as any other rows. A key with null values only keeps one empty segment.
     """
-    spark = df.sparkSession
-    day = df.select(*keys, *sums).withColumn("date", F.lit(date))
-    day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(archive)
-    total = spark.read.parquet(archive).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-    version = f"{cumulative}/version={date}"
-    total.write.mode("overwrite").parquet(version)
-    return spark.read.parquet(version)
+    return {name: _segments(df, key, value, size) for name, (df, key, value) in tables.items()}
 
 
-def corpus_lookups(tables: dict[str, tuple[DataFrame, str, str]]) -> dict[str, DataFrame]:
-    """Key to sorted value list for each lookup (w2r, r2e, r2l1l2, …).
+def _segments(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
+    pairs = df.select(F.col(key).alias("key"), F.col(value).cast("string").alias("value")).distinct()
+    placed = global_positions(pairs, [F.col("key"), F.col("value").asc_nulls_first()], "place")
+    # null values come first and are no values: places count from the first value on
+    first = placed.groupBy("key").agg(F.min(F.when(F.col("value").isNotNull(), F.col("place"))).alias("first"))
+    keyed = hot_key_join(placed.withColumn("_key", F.struct("key")), first.select(F.struct("key").alias("_key"), "first"), ["_key"])
+    segment = F.coalesce(F.floor((F.col("place") - F.col("first")) / F.lit(size)), F.lit(0)).cast("int")
+    named = keyed.withColumn("segment", F.greatest(segment, F.lit(0)))
+    return named.groupBy("key", "segment").agg(F.array_sort(F.collect_list("value")).alias("values"))
 
-    ``tables``: name to (table, key column, value column). Values of one key are a bounded domain.
-    """
-    return {
-        name: df.groupBy(F.col(key).alias("key")).agg(F.array_sort(F.collect_set(F.col(value).cast("string"))).alias("values"))
-        for name, (df, key, value) in tables.items()
-    }
+
+def whole_lists(segments: DataFrame) -> DataFrame:
+    """Segments put together again: key, values."""
+    ordered = F.array_sort(F.collect_list(F.struct("segment", "values")))
+    return segments.groupBy("key").agg(F.flatten(F.transform(ordered, lambda s: s["values"])).alias("values"))
 
 
-def write_corpus_json(tables: dict[str, tuple[DataFrame, str, str]], folder: str) -> None:
-    for name, df in corpus_lookups(tables).items():
-        df.write.mode("overwrite").json(f"{folder}/{name}")
+def write_corpus_json(tables: dict[str, tuple[DataFrame, str, str]], folder: str, size: int = SEGMENT_VALUES) -> None:
+    """One JSON folder per lookup, its rows sorted by key and segment over all files."""
+    for name, df in corpus_lookups(tables, size).items():
+        df.repartitionByRange("key", "segment").sortWithinPartitions("key", "segment").write.mode("overwrite").json(f"{folder}/{name}")

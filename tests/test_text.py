@@ -155,10 +155,12 @@ def test_long_phrases_are_found(spark):
 
 def test_archive_rerun_changes_nothing(spark, tmp_path):
     day = lambda n: spark.createDataFrame([("q", n), ("r", 1)], "query string, freq bigint")
-    args = (str(tmp_path / "cum"), str(tmp_path / "arch"))
-    wr.save_with_archive(day(1), *args, "2024-01-01", ["query"], ["freq"])
-    wr.save_with_archive(day(5), *args, "2024-01-02", ["query"], ["freq"])
-    total = wr.save_with_archive(day(5), *args, "2024-01-02", ["query"], ["freq"])
+    from shoplens.sources.incremental import save_with_archive
+
+    args = (str(tmp_path / "kept"),)
+    save_with_archive(day(1), *args, "2024-01-01", ["query"], ["freq"])
+    save_with_archive(day(9), *args, "2024-01-02", ["query"], ["freq"])
+    total = save_with_archive(day(5), *args, "2024-01-02", ["query"], ["freq"])
     assert {(r.query, r.freq) for r in total.collect()} == {("q", 6), ("r", 2)}
 
 
