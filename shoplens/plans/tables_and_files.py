@@ -185,7 +185,7 @@ def json_text(spark, d):
 def schema_rows(spark, d, mode):
     """The inferred schema as one row per field, beside the number of rows it was inferred from."""
     rows = json_text(spark, d)
-    schema = js.infer_schema(rows.filter("json <> 'not json'") if mode == "spark" else rows, "json", mode)
+    schema = js.infer_schema(rows, "json", mode)
     fields = F.array(*[F.struct(F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("type")) for f in schema.fields])
     total = rows.agg(F.count(F.lit(1)).alias("rows"))
     return total.select("rows", F.explode(fields).alias("f")).select("rows", "f.field", "f.type")

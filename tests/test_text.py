@@ -218,3 +218,27 @@ def test_trie_plan_does_not_grow(spark):
         plan = phrase_trie.matches(rows, phrase_trie.token_trie(known), ["query"])._jdf.queryExecution().optimizedPlan().toString()
         sizes.append(plan.count("\n"))
     assert sizes[0] == sizes[1]
+
+
+def test_json_kinds_of_all_shapes(spark):
+    """Structs, arrays, doubles, longs, booleans, nesting, and what unlike values of one field become."""
+    texts = [
+        '{"a": 1, "s": {"x": 1, "y": {"z": true}}, "l": [1, 2.5], "b": true, "o": {}, "e": [], "m": {"k": 1}, "n": null, "t": "x", "od d": [[1], []]}',
+        '{"a": 3000000000, "s": {"x": "q", "y": {"z": "no"}, "w": [{"p": 1}]}, "l": [true], "b": "yes", "e": [7], "m": 5, "big": 99999999999999999999}',
+        ' {"a": -2147483648, "s": {"w": [{"p": 1.5, "q": [1e3]}]}, "n": {"deep": 1}, "mix": [1, "a", [2]], "one": 1.0}',
+        '{"d": false, "arr": [{"u": 1}, {"u": "s", "v": null}]}', "{broken", "[1, 2]", "", None, "{}", "{} {}", "7",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "j string").repartition(4)
+    want = (
+        "struct<a:bigint,arr:array<struct<u:int,v:string>>,b:boolean,big:string,d:boolean,e:array<int>,l:array<double>,m:int,mix:array<int>,"
+        "n:string,o:struct<>,od d:array<array<int>>,one:double,s:struct<w:array<struct<p:double,q:array<double>>>,x:int,y:struct<z:boolean>>,t:string>"
+    )
+    found = js.infer_schema(df, "j")
+    assert found.simpleString() == want
+    plan = js.value_kinds(df, "j")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "RDD" not in plan
+    rows = js.parse_json(df, "j").filter("j.s.y.z").collect()
+    assert len(rows) == 1 and rows[0].j["l"] == [1.0, 2.5]
+    reader = js.infer_schema(df.filter("j not like '%\"n\"%'"), "j", "spark")
+    assert reader["d"].dataType == T.BooleanType() and reader["arr"].dataType.simpleString() == "array<struct<u:string,v:string>>"
+    assert js.infer_schema(df.limit(0), "j") == js.infer_schema(df.limit(0), "j", "spark") == T.StructType([])
