@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.scale import hot_key_join, lag_by_time, lookup_join
+from shoplens.operators.scale import hot_key_join, lag_by_time, materialise
 
 KEYS = ("user_id", "product_id", "product_sku_id")
 
@@ -154,89 +154,20 @@ def average_bag(df: DataFrame, catalogue: DataFrame) -> DataFrame:
     return bags.agg(F.sum("mrp").alias("bag")).groupBy("user_id").agg(F.avg("bag").alias("avg_bag_value"))
 
 
-def _rounded_pair_units(counts: DataFrame, unit: int, keys: Sequence[str]) -> DataFrame:
-    """Per key: sum over (cart, purchase) pairs of (purchase - cart) / unit, halves away from zero.
-
-    With p = unit*a + r and c = unit*b + s, floor((p - c + unit/2) / unit) is (a - b) plus 1 where
-    r - s >= unit/2 and minus 1 where r - s < -unit/2. The first part needs sums only; the second
-    counts residues below a bound, a running sum over at most 3*unit rows. A negative exact half
-    rounds one lower; those pairs share a residue class and are counted by a running sum in time.
-    """
-    half = unit // 2
-    is_cart = F.col("is_cart")
-    # a million carts against a million purchases already pass 64 bits
-    big = lambda c: F.col(c).cast("decimal(19,0)")
-    parts = counts.select(
-        *keys,
-        "is_cart",
-        "secs",
-        "n",
-        F.floor(F.col("secs") / F.lit(unit)).alias("whole"),
-        F.pmod("secs", F.lit(unit)).alias("rest"),
-    )
-    cart_n, buy_n = F.when(is_cart, F.col("n")).otherwise(0), F.when(is_cart, 0).otherwise(F.col("n"))
-    totals = parts.groupBy(*keys).agg(
-        F.sum(cart_n).alias("carts"),
-        F.sum(buy_n).alias("buys"),
-        F.sum(cart_n * F.col("whole")).alias("cart_whole"),
-        F.sum(buy_n * F.col("whole")).alias("buy_whole"),
-    )
-    whole = totals.select(
-        *keys,
-        (big("carts") * big("buys")).alias("pairs"),
-        (big("carts") * big("buy_whole") - big("buys") * big("cart_whole")).alias("units"),
-    )
-
-    residues = parts.groupBy(*keys, "is_cart", "rest").agg(F.sum("n").alias("n"))
-    # a cart at s opens at s + half (+1 for purchases from there on) and, mirrored, at s - half
-    marks = residues.select(
-        *keys,
-        "is_cart",
-        "n",
-        F.explode(
-            F.when(is_cart, F.array(F.col("rest") + half, F.col("rest") - half)).otherwise(F.array(F.col("rest")))
-        ).alias("mark"),
-    )
-    by_mark = marks.groupBy(*keys, "mark").agg(
-        F.sum(F.when(is_cart, F.col("n")).otherwise(0)).alias("opened"),
-        F.sum(F.when(is_cart, 0).otherwise(F.col("n"))).alias("bought"),
-    )
-    # a purchase at r passes both marks of a cart when r >= s + half, one when in between, none when r < s - half
-    upto = Window.partitionBy(*keys).orderBy("mark").rowsBetween(Window.unboundedPreceding, 0)
-    carry = (
-        by_mark.withColumn("passed", F.sum("opened").over(upto))
-        .groupBy(*keys)
-        .agg(F.sum(big("bought") * big("passed")).alias("passed"))
-    )
-
-    # negative exact halves: c > p and c = p + half (mod unit)
-    shifted = parts.select(
-        *keys,
-        "secs",
-        F.when(is_cart, F.col("rest")).otherwise(F.pmod(F.col("rest") + half, F.lit(unit))).alias("class"),
-        F.when(is_cart, F.col("n")).otherwise(0).alias("cart_n"),
-        F.when(is_cart, 0).otherwise(F.col("n")).alias("buy_n"),
-    )
-    in_class = shifted.groupBy(*keys, "class", "secs").agg(F.sum("cart_n").alias("cart_n"), F.sum("buy_n").alias("buy_n"))
-    earlier = Window.partitionBy(*keys, "class").orderBy("secs").rowsBetween(Window.unboundedPreceding, -1)
-    halves = (
-        in_class.withColumn("bought_before", F.coalesce(F.sum("buy_n").over(earlier), F.lit(0)))
-        .groupBy(*keys)
-        .agg(F.sum(big("cart_n") * big("bought_before")).alias("halves"))
-    )
-    return (
-        whole.join(carry, list(keys))
-        .join(halves, list(keys))
-        .filter("pairs > 0")
-        .select(*keys, "pairs", (F.col("units") + F.col("passed") - F.col("pairs") - F.col("halves")).alias("units"))
-    )
+LAG_UNITS = {"hour_hundredths": 36, "day_hundredths": 864}  # seconds in a hundredth of an hour and of a day
 
 
 def cart_purchase_lags(df: DataFrame) -> DataFrame:
-    """All cart x purchase pairs per (user, product), summed: pairs, hour and day hundredths, seconds.
+    """All cart x purchase pairs per (user, product), summed: pairs, hour and day hundredths.
 
-    A pair's lag in hours or days is rounded to two places before it is summed, purchases before the
+    A pair's lag in hours or days is rounded to two places before it is summed, halves away from zero; purchases before the
     cart give negative lags. Sums are exact whole numbers (decimals); the pairs themselves are never produced.
+
+    With p = unit*a + r and c = unit*b + s, floor((p - c + unit/2) / unit) is (a - b) plus 1 where r - s >= unit/2 and minus 1
+    where r - s < -unit/2. The first part needs sums only. For the second a cart opens two marks, at s + unit/2 and at
+    s - unit/2, and a purchase at r passes those up to r: a running sum over at most 3*unit places. A negative exact half
+    rounds one lower; those pairs share a residue class and are counted by a running sum in time. Both running sums, for both
+    units, are tracks of one table, so the rows are read, grouped and sorted once.
     """
     keys = ["user_id", "product_id"]
     secs = F.unix_timestamp(F.col("timestamp").cast("timestamp"))
@@ -246,9 +177,52 @@ def cart_purchase_lags(df: DataFrame) -> DataFrame:
         .groupBy(*keys, (F.col("interaction_type") == "add_to_cart").alias("is_cart"), secs.alias("secs"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    hours = _rounded_pair_units(counts, 36, keys).withColumnRenamed("units", "hour_hundredths")
-    days = _rounded_pair_units(counts, 864, keys).select(*keys, F.col("units").alias("day_hundredths"))
-    return hours.join(days, keys)
+    is_cart = F.col("is_cart")
+
+    def event(unit: int, track: str, group: Column, place: Column) -> Column:
+        return F.struct(F.lit(unit).alias("unit"), F.lit(track).alias("track"), group.cast("long").alias("group"), place.cast("long").alias("place"))
+
+    events = []
+    for unit in LAG_UNITS.values():
+        half, rest = unit // 2, F.pmod("secs", F.lit(unit))
+        events.append(event(unit, "time", F.when(is_cart, rest).otherwise(F.pmod(rest + half, F.lit(unit))), F.col("secs")))
+        events.append(event(unit, "mark", F.lit(0), F.when(is_cart, rest + half).otherwise(rest)))
+        events.append(F.when(is_cart, event(unit, "mark", F.lit(0), rest - half)))
+    track = [*keys, "unit", "track", "group"]
+    placed = (
+        counts.select(*keys, "is_cart", "n", F.explode(F.filter(F.array(*events), lambda e: e.isNotNull())).alias("e"))
+        .select(*keys, "is_cart", "n", "e.*")
+        .groupBy(*track, "place")
+        .agg(F.sum(F.when(is_cart, F.col("n")).otherwise(0)).alias("carts"), F.sum(F.when(is_cart, 0).otherwise(F.col("n"))).alias("buys"))
+    )
+    inside = Window.partitionBy(*track).orderBy("place")
+    placed = placed.withColumns(
+        {
+            "opened": F.sum("carts").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+            "bought_before": F.coalesce(F.sum("buys").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        }
+    )
+    big = lambda c: (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")  # a million carts against a million purchases pass 64 bits
+    sums = []
+    for unit in LAG_UNITS.values():
+        on_time = (F.col("unit") == unit) & (F.col("track") == "time")
+        whole = F.floor(F.col("place") / F.lit(unit))
+        total = lambda x, on: F.coalesce(F.sum(F.when(on, x)), F.lit(0))
+        sums += [
+            total(F.col("carts"), on_time).alias(f"carts_{unit}"),
+            total(F.col("buys"), on_time).alias(f"buys_{unit}"),
+            total(F.col("carts") * whole, on_time).alias(f"cart_whole_{unit}"),
+            total(F.col("buys") * whole, on_time).alias(f"buy_whole_{unit}"),
+            total(big("buys") * big("opened"), (F.col("unit") == unit) & (F.col("track") == "mark")).alias(f"passed_{unit}"),
+            total(big("carts") * big("bought_before"), on_time).alias(f"halves_{unit}"),
+        ]
+    found = placed.groupBy(*keys).agg(*sums)
+    pairs = {u: big(f"carts_{u}") * big(f"buys_{u}") for u in LAG_UNITS.values()}
+    units = [
+        (big(f"carts_{u}") * big(f"buy_whole_{u}") - big(f"buys_{u}") * big(f"cart_whole_{u}") + F.col(f"passed_{u}") - pairs[u] - F.col(f"halves_{u}")).alias(name)
+        for name, u in LAG_UNITS.items()
+    ]
+    return found.select(*keys, pairs[36].alias("pairs"), *units).filter("pairs > 0")
 
 
 def cart_to_checkout(df: DataFrame) -> DataFrame:
@@ -295,15 +269,24 @@ def brand_affinity(df: DataFrame, catalogue: DataFrame, as_of: Column) -> DataFr
     return affinity_scores(df, catalogue, as_of).select("user_id", pair.alias("brand_affinity"))
 
 
-def value_and_category_features(df: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """LTOV, TNR, avg_discount and the category counts of each user from one pass over the interactions.
+def enriched(df: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Interactions beside their catalogue row where there is one (``_item``), written once for all features."""
+    used = ["user_id", "product_id", "product_sku_id", "interaction_type", "booked_rev", "interaction_count", "timestamp", "date"]
+    items = catalogue.withColumnRenamed("itemid", "product_id").withColumn("_item", F.lit(True))
+    return materialise(hot_key_join(df.select(*used), items, ["product_id"], "left"), "enriched")
 
-    Equal to joining lifetime_order_value, returns_count, average_discount and category_sets, each of
-    which reads the table for itself; users none of them would list are left out.
+
+CATEGORY_LISTS = (("l1code", "l1codes"), ("l2code", "l2codes"), ("brickname", "bricks"))
+
+
+def value_and_category_features(rows: DataFrame, as_of: Column, decay: float = DECAY_RATE) -> DataFrame:
+    """LTOV, TNR, avg_discount, category lists and their sizes and the brand affinity list of each user, from one pass over
+    ``enriched`` rows.
+
+    Equal to joining lifetime_order_value, returns_count, average_discount, category_sets and brand_affinity, each of which
+    reads the table for itself; users none of them would list are left out. Sums are taken per user and brand first, so
+    a user with a large share of the rows is spread by brand. Lists hold catalogue values and are sorted.
     """
-    used = ["user_id", "product_id", "product_sku_id", "interaction_type", "booked_rev", "interaction_count"]
-    items = catalogue.withColumnRenamed("itemid", "product_id").withColumn("_item", F.lit(True))
-    rows = lookup_join(df.select(*used), items, ["product_id"], "left")
     valid = F.col("user_id").isNotNull() & F.col("product_id").isNotNull() & F.col("product_sku_id").isNotNull()
     kind, revenue, mrp = F.col("interaction_type"), F.col("booked_rev"), F.col("mrp")
     returned = valid & (kind == "return")
@@ -311,25 +294,72 @@ def value_and_category_features(df: DataFrame, catalogue: DataFrame) -> DataFram
     placed = F.col("_item").isNotNull()
     counted = placed & (F.col("interaction_count") != 0)
     off = (1.0 - F.try_divide(revenue.cast("double"), mrp.cast("double"))) * 100
+    discounted = valid & placed & mrp.isNotNull() & revenue.isNotNull() & (mrp != 0)
+    weights = F.create_map(*[F.lit(x) for pair in INTERACTION_WEIGHTS.items() for x in pair])
+    score = F.col("interaction_count") * F.coalesce(F.try_element_at(weights, kind), F.lit(0)) * F.exp(F.lit(-decay) * F.datediff(as_of, F.col("date")))
     times = lambda condition: F.count(F.when(condition, 1))
-    sets = [
-        F.when(times(counted) > 0, F.size(F.collect_set(F.when(counted, F.col(c))))).alias(name)
-        for c, name in (("l1code", "num_l1codes"), ("l2code", "num_l2codes"), ("brickname", "num_bricks"))
-    ]
-    return (
-        rows.groupBy("user_id")
-        .agg(
-            F.sum(F.when(valued, F.when(returned, -revenue).otherwise(revenue))).alias("LTOV"),
-            F.nullif(times(returned), F.lit(0)).alias("TNR"),
-            F.avg(F.when(valid & placed & mrp.isNotNull() & revenue.isNotNull() & (mrp != 0), off)).alias("avg_discount"),
-            *sets,
-            times(valued | (valid & placed) | counted).alias("_listed"),
-        )
-        .filter("_listed > 0")
-        .drop("_listed")
+    by_brand = rows.groupBy("user_id", "brandname").agg(
+        F.sum(F.when(valued, F.when(returned, -revenue).otherwise(revenue))).alias("value"),
+        times(returned).alias("returns"),
+        F.sum(F.when(discounted, off)).alias("off"),
+        times(discounted & off.isNotNull()).alias("offs"),
+        times(counted).alias("counted"),
+        times(valued | (valid & placed) | counted).alias("listed"),
+        F.sum(F.when(counted, score)).alias("score"),
+        *[F.collect_set(F.when(counted, F.col(c))).alias(name) for c, name in CATEGORY_LISTS],
+    )
+    brand = F.struct(F.col("brandname").alias("brand"), F.round("score", 2).alias("affinity_score"))
+    liked = F.col("user_id").isNotNull() & F.col("brandname").isNotNull() & (F.col("counted") > 0)
+    any_counted = F.sum("counted") > 0
+    lists = [F.when(any_counted, F.array_sort(F.array_distinct(F.flatten(F.collect_list(name))))).alias(name) for _, name in CATEGORY_LISTS]
+    affinity = F.array_sort(F.collect_list(F.when(liked, brand)))
+    users = by_brand.groupBy("user_id").agg(
+        F.sum("value").alias("LTOV"),
+        F.nullif(F.sum("returns"), F.lit(0)).alias("TNR"),
+        F.try_divide(F.sum("off"), F.sum("offs")).alias("avg_discount"),
+        *lists,
+        F.when(F.size(affinity) > 0, affinity).alias("brand_affinity"),
+        F.sum("listed").alias("_listed"),
+    )
+    return users.filter("_listed > 0").drop("_listed").select("*", *[F.size(name).alias(f"num_{name}") for _, name in CATEGORY_LISTS])
+
+
+def order_time_features(rows: DataFrame) -> DataFrame:
+    """avg_orders_per_week, avg_interval_days and avg_bag_value of each user from one aggregate over ``enriched`` rows by user and time.
+
+    Equal to joining orders_per_week, average_interval and average_bag.
+    """
+    valid = F.col("user_id").isNotNull() & F.col("product_id").isNotNull() & F.col("product_sku_id").isNotNull()
+    bagged = F.col("_item").isNotNull() & (F.col("interaction_type") == "new_purchase")
+    ordered = valid & (F.col("interaction_type") == "orders")
+    times = rows.filter(bagged | ordered).groupBy("user_id", "timestamp").agg(
+        F.count(F.when(ordered, 1)).alias("orders"), F.count(F.when(bagged, 1)).alias("bags"), F.sum(F.when(bagged, F.col("mrp"))).alias("bag")
+    )
+    times = materialise(times, "order-times")
+    weeks = times.filter("orders > 0").agg(F.countDistinct(F.year("timestamp"), F.weekofyear("timestamp"))).scalar()
+    at = F.when(F.col("orders") > 0, F.col("timestamp"))
+    span = F.unix_timestamp(F.max(at)) - F.unix_timestamp(F.min(at))
+    n = F.count(at)
+    return times.groupBy("user_id").agg(
+        F.when(n > 0, n / weeks).alias("avg_orders_per_week"),
+        F.when(n > 1, F.round(span / F.nullif(n - 1, F.lit(0)) / 86400, 2)).alias("avg_interval_days"),
+        F.avg(F.when(F.col("bags") > 0, F.col("bag"))).alias("avg_bag_value"),
     )
 
 
 def union_features(tables: Sequence[DataFrame], key: str = "user_id") -> DataFrame:
-    """One row per user over all feature tables; each table has one row per user."""
-    return reduce(lambda left, right: left.join(right, key, "full"), tables)
+    """One row per user over all feature tables, numbers and lists alike; each table has one row per user.
+
+    The tables are put under one another, each with nulls for the columns of the others, and folded by one aggregate: one
+    shuffle for any number of tables. Users without a key are one user.
+    """
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return rows.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns if c != key])
+
+
+def user_feature_table(df: DataFrame, catalogue: DataFrame, as_of: Column) -> DataFrame:
+    """All features of every user: twelve numbers, three category lists and the brand affinity list."""
+    rows = enriched(df, catalogue)
+    return union_features(
+        [value_and_category_features(rows, as_of), order_time_features(rows), total_returned_value(rows), cart_to_checkout(rows)]
+    )

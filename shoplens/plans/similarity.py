@@ -13,7 +13,7 @@ from shoplens.plans.domain import AS_OF, catalogue, interactions, table, vectors
 from shoplens.operators.scale import scratch_path
 from shoplens.plans.registry import flat, query
 from shoplens.sources.incremental import VectorCache
-from shoplens.plans.user_features import AFFINITY_SQL, FEATURE_NAMES, FEATURES_SQL, user_features
+from shoplens.plans.user_features import FEATURE_NAMES, FEATURES_SQL, user_features
 
 
 @query(
@@ -37,7 +37,7 @@ def affinity(spark, d):
     return fe.affinity_scores(interactions(spark, d), catalogue(spark, d), F.lit(AS_OF).cast("date"))
 
 
-@query("arr_explode_affinity", f"WITH {FEATURES_SQL}, {AFFINITY_SQL} SELECT user_id, brandname, affinity_score AS score FROM affinity")
+@query("arr_explode_affinity", f"WITH {FEATURES_SQL} SELECT user_id, brandname, affinity_score AS score FROM affinity")
 def _(spark, d):
     pair = F.struct(F.col("brandname").alias("attribute"), "affinity_score")
     lists = affinity(spark, d).groupBy("user_id").agg(F.collect_list(pair).alias("attribute_affinity_brandname"))
@@ -105,7 +105,7 @@ def scaled_rows(spark, d):
 
 
 NOT_NULL = " AND ".join(f'"{c}" IS NOT NULL' for c in FEATURE_NAMES)
-SCALED_SQL = f"""{FEATURES_SQL}, {AFFINITY_SQL},
+SCALED_SQL = f"""{FEATURES_SQL},
 lists AS (SELECT DISTINCT f.user_id, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in FEATURE_NAMES) + f""" FROM features f JOIN affinity USING (user_id) WHERE {NOT_NULL}),
 spans AS (SELECT """ + ", ".join(f'min("{c}") AS "lo_{c}", max("{c}") AS "hi_{c}"' for c in FEATURE_NAMES) + """ FROM lists),
 scaled AS (SELECT user_id, [""" + ", ".join(f'coalesce(("{c}" - "lo_{c}") / nullif("hi_{c}" - "lo_{c}", 0), 0)' for c in FEATURE_NAMES) + """] AS v FROM lists, spans),

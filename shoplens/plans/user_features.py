@@ -210,18 +210,8 @@ def _(spark, d):
 
 
 def user_features(spark, d):
-    """One row per user: the numeric features."""
-    rows, items = interactions(spark, d), catalogue(spark, d)
-    return fe.union_features(
-        [
-            fe.value_and_category_features(rows, items),
-            fe.total_returned_value(rows),
-            fe.orders_per_week(rows),
-            fe.average_interval(rows).drop("avg_interval_secs"),
-            fe.average_bag(rows, items),
-            fe.cart_to_checkout(rows),
-        ]
-    )
+    """One row per user: numbers and lists."""
+    return fe.user_feature_table(interactions(spark, d), catalogue(spark, d), F.lit(AS_OF).cast("date"))
 
 
 FEATURES_SQL = f"""{PRICED}, {RETURNS_SQL}, {WEEKS_SQL}, {LAGS_SQL}, {CART_SQL},
@@ -238,10 +228,14 @@ f7 AS (SELECT user_id, avg(bag) AS avg_bag_value FROM (SELECT user_id, ts, sum(m
 f8 AS (SELECT user_id, CAST(sum({_units(36)}) AS DOUBLE) / (count(*) * 100) AS avg_cart_to_checkout_hours,
   CAST(sum({_units(864)}) AS DOUBLE) / (count(*) * 100) AS avg_cart_to_checkout_days FROM lags GROUP BY user_id),
 f9 AS (SELECT user_id, count(DISTINCT l1code) AS num_l1codes, count(DISTINCT l2code) AS num_l2codes,
-  count(DISTINCT brickname) AS num_bricks FROM priced WHERE interaction_count <> 0 GROUP BY user_id),
+  count(DISTINCT brickname) AS num_bricks, string_agg(DISTINCT l1code, '|' ORDER BY l1code) AS l1codes,
+  string_agg(DISTINCT l2code, '|' ORDER BY l2code) AS l2codes, string_agg(DISTINCT brickname, '|' ORDER BY brickname) AS bricks
+  FROM priced WHERE interaction_count <> 0 GROUP BY user_id),
+{AFFINITY_SQL},
+f10 AS (SELECT user_id, string_agg(brandname || '=' || CAST(round(affinity_score * 100) AS BIGINT), '|' ORDER BY brandname) AS brands FROM affinity GROUP BY user_id),
 features AS (SELECT * FROM f1 FULL JOIN f2 USING (user_id) FULL JOIN f3 USING (user_id) FULL JOIN f4 USING (user_id)
   FULL JOIN f5 USING (user_id) FULL JOIN f6 USING (user_id) FULL JOIN f7 USING (user_id) FULL JOIN f8 USING (user_id)
-  FULL JOIN f9 USING (user_id))"""
+  FULL JOIN f9 USING (user_id) FULL JOIN f10 USING (user_id))"""
 FEATURE_NAMES = [
     "LTOV", "TVR", "TNR", "avg_orders_per_week", "avg_interval_days", "avg_discount", "avg_bag_value",
     "avg_cart_to_checkout_hours", "avg_cart_to_checkout_days", "num_l1codes", "num_l2codes", "num_bricks",
@@ -251,11 +245,14 @@ FEATURE_NAMES = [
 @query(
     "join_features_union",
     "WITH " + FEATURES_SQL + " SELECT user_id, "
-    + ", ".join(f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in FEATURE_NAMES) + " FROM features",
+    + ", ".join(f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in FEATURE_NAMES) + ", l1codes, l2codes, bricks, brands FROM features",
 )
 def _(spark, d):
     rows = user_features(spark, d)
-    return rows.select("user_id", *[rounded(F.col(c).cast("double")).alias(c) for c in FEATURE_NAMES])
+    numbers = [rounded(F.col(c).cast("double")).alias(c) for c in FEATURE_NAMES]
+    lists = [F.array_join(c, "|").alias(c) for c in ("l1codes", "l2codes", "bricks")]
+    hundredths = F.transform("brand_affinity", lambda b: F.concat(b["brand"], F.lit("="), F.round(b["affinity_score"] * 100).cast("bigint").cast("string")))
+    return rows.select("user_id", *numbers, *lists, F.array_join(hundredths, "|").alias("brands"))
 
 
 @query(

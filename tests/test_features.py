@@ -84,18 +84,34 @@ def test_affinity_uses_weights_and_decay(spark, interactions, catalogue):
 
 
 def test_one_pass_equals_the_separate_features(interactions, catalogue):
+    as_of = F.lit("2024-01-01").cast("date")
     separate = fe.union_features(
         [
             fe.lifetime_order_value(interactions),
             fe.returns_count(interactions),
             fe.average_discount(interactions, catalogue),
-            fe.category_sets(interactions, catalogue).select("user_id", "num_l1codes", "num_l2codes", "num_bricks"),
+            fe.category_sets(interactions, catalogue),
+            fe.brand_affinity(interactions, catalogue, as_of).groupBy("user_id").agg(F.array_sort(F.collect_list("brand_affinity")).alias("brand_affinity")),
         ]
     )
-    together = fe.value_and_category_features(interactions, catalogue)
+    together = fe.value_and_category_features(fe.enriched(interactions, catalogue), as_of)
+    assert sorted(map(str, together.select(*separate.columns).collect())) == sorted(map(str, separate.collect()))
+
+
+def test_order_times_equal_the_separate_features(interactions, catalogue):
+    separate = fe.union_features([fe.orders_per_week(interactions), fe.average_interval(interactions).drop("avg_interval_secs"), fe.average_bag(interactions, catalogue)])
+    together = fe.order_time_features(fe.enriched(interactions, catalogue)).filter("coalesce(avg_orders_per_week, avg_interval_days, avg_bag_value) IS NOT NULL")
     assert sorted(map(str, together.select(*separate.columns).collect())) == sorted(map(str, separate.collect()))
 
 
+def test_feature_table_reads_few_times(interactions, catalogue):
+    table = fe.user_feature_table(interactions, catalogue, F.lit("2024-01-01").cast("date"))
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 5
+    assert table.count() == table.select("user_id").distinct().count()
+    assert {"l1codes", "brand_affinity", "LTOV", "TVR", "avg_cart_to_checkout_hours"} <= set(table.columns)
+
+
 def half_away(secs, per):
     units = abs(secs) * 100
     rounded = (units + per // 2) // per
