@@ -1,9 +1,10 @@
 """Phrase collocations from count streams in prefix and suffix order.
 
 Only phrases met often enough matter, and all parts of such a phrase are met at least as often. So words are counted by digest
-first, then pairs and triples of frequent words; these are then counted by their spelling, and longer phrases in what is left of the
-texts, the runs of frequent triples. The sets of frequent words, pairs and triples travel as bit tables of fixed size, whose rare
-false hits only leave more to be counted.
+first, then pairs of frequent words, and texts shrink to the runs of frequent pairs; phrases of two to five words are counted by
+their spelling in what is left. The sets of frequent words and pairs travel as bit tables of fixed size, whose rare false
+hits only leave more to be counted. Counts move as sorted streams, one for each slice of text and each range of digests, and all
+streams of a range are merged at once: few rows, four bytes a word or pair.
 
 The counts of all lengths form one stream, kept twice: sorted by the words from the first on, and from the last on. In
 prefix order each phrase comes behind all phrases it begins with and right before those that go on from it, so reading the
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ LEAST = 100
 TOP = 2000
 BITS = 26  # bits of a bit table, as a power of two: 8 MB
 SLICE = 4 << 20
+RANGES = 10  # streams of a slice, as a power of two; a range holds that share of all distinct words, pairs or phrases
 UNKNOWN = "und"
 _STOP = np.zeros(256, dtype=bool)  # bytes between pieces
 _STOP[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -53,27 +56,32 @@ class Pieces:
         with np.errstate(over="ignore"):
             return mixed(self.digest[:-1] * np.uint64(5) + self.digest[1:])
 
-    def triples(self, pairs: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mixed(pairs[:-1] * np.uint64(7) + self.digest[2:])
-
     def lang_array(self, codes: np.ndarray) -> pa.Array:
         return pa.DictionaryArray.from_arrays(pa.array(codes.astype(np.int32)), pa.array(self.langs, pa.string())).cast(pa.string())
 
-    def spelled(self, first: np.ndarray, size: int) -> pa.Array:
-        """Texts of the phrases of ``size`` words that begin at the words ``first``, one blank between words."""
-        at = (first[:, None] + np.arange(size)).ravel()
-        inner = np.arange(len(at)) % size < size - 1
-        data, bounds = cut(np.append(self.words.data, np.uint8(0)), self.words.starts[at], self.words.ends[at] + inner)
-        data[bounds[1:][inner] - 1] = 32
-        return strings(data, bounds[::size])
-
-    def counts(self, keys: np.ndarray, at: np.ndarray, size: int) -> pa.RecordBatch:
-        """Count of each distinct key of phrases that begin at the words ``at``, with language and spelling."""
-        _, first, n = np.unique(keys, return_index=True, return_counts=True)
+    def spelled(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and bounds of the given stretches, a line end behind each."""
+        data, bounds = cut(np.append(self.words.data, np.uint8(10)), starts, ends + 1)
+        data[bounds[1:] - 1] = 10
+        return data, bounds
+
+    def streams(self, digests: np.ndarray, at: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+        """Count streams of the phrases of ``size`` words that begin at the words ``at``, by language and range of their digests."""
+        digests, first, n = np.unique(digests, return_index=True, return_counts=True)
         first = at[first]
-        columns = [self.lang_array(self.lang[first]), pa.array(np.full(len(first), size)), self.spelled(first, size), pa.array(n.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+        part = self.lang[first].astype(np.int64) << RANGES | (digests >> np.uint64(64 - RANGES)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part, first, n = part[order], first[order], n[order].astype("<u4")
+        data, bounds = self.spelled(self.words.starts[first], self.words.ends[first + size - 1])
+        begin = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(begin[1:], len(part))[: len(begin)]
+        raw, counts = data.tobytes(), n.tobytes()
+        columns = [
+            self.lang_array(part[begin] >> RANGES), pa.array(part[begin] & ((1 << RANGES) - 1), pa.int64()),
+            pa.array([raw[bounds[i] : bounds[j]] for i, j in zip(begin, ends, strict=True)], pa.binary()).cast(pa.string()),
+            pa.array([counts[4 * i : 4 * j] for i, j in zip(begin, ends, strict=True)], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "range", "text", "counts"])
 
 
 def cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,13 +111,49 @@ def bit_table(digests: DataFrame) -> np.ndarray:
     return out
 
 
-def _often(rows: DataFrame, least: int) -> DataFrame:
-    return rows.groupBy("digest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+KEYS = "lang string, range bigint, keys binary, counts binary, n bigint"
+
+
+def _counted(digests: np.ndarray) -> pa.RecordBatch:
+    """Sorted streams of 32 bits of each distinct digest and its count, one row for each range of digests."""
+    found, n = np.unique(digests >> np.uint64(32 - RANGES), return_counts=True)
+    ranges = found >> np.uint64(32)
+    begin = np.flatnonzero(np.diff(ranges.astype(np.int64), prepend=-1))
+    ends = np.append(begin[1:], len(found))[: len(begin)]
+    keys, counts = found.astype("<u4").tobytes(), n.astype("<u4").tobytes()
+    cells = lambda raw: pa.array([raw[4 * i : 4 * j] for i, j in zip(begin, ends, strict=True)], pa.binary())
+    none = pa.nulls(len(begin), pa.int64())
+    columns = [pa.nulls(len(begin), pa.string()), pa.array(ranges[begin].astype(np.int64)), cells(keys), cells(counts), none]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "range", "keys", "counts", "n"])
+
+
+def _often(streams: DataFrame, least: int) -> DataFrame:
+    """Column ``digest``, its 32 + ``RANGES`` highest bits, of what the streams together count ``least`` times."""
 
+    def merge(table: pa.Table) -> pa.Table:
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<u4")
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4")
+        found, place = np.unique(keys, return_inverse=True)
+        found = found[np.bincount(place, weights=counts, minlength=len(found)) >= least].astype(np.uint64)
+        first = np.uint64(table.column("range")[0].as_py())
+        return pa.table({"digest": pa.array(((first << np.uint64(32) | found) << np.uint64(32 - RANGES)).view(np.int64))})
 
-def _counted(digests: np.ndarray) -> dict:
-    found, n = np.unique(digests, return_counts=True)
-    return {"digest": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))}
+    return streams.select("range", "keys", "counts").groupBy("range").applyInArrow(merge, "digest bigint")
+
+
+def _merged(streams: DataFrame, least: int) -> DataFrame:
+    """Counts (lang, size, phrase, f) of the phrases that the streams (lang, range, text, counts) together count ``least`` times."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        lines = pa.array("".join(table.column("text").to_pylist()).split("\n")[:-1], pa.string())
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4").astype(np.int64)
+        sums = pa.table({"phrase": lines, "n": pa.array(counts)}).group_by("phrase").aggregate([("n", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("n_sum"), least))
+        size = pc.add(pc.count_substring(sums.column("phrase"), " "), 1).cast(pa.int64())
+        lang = pa.array([table.column("lang")[0].as_py()] * len(sums), pa.string())
+        return pa.table({"lang": lang, "size": size, "phrase": sums.column("phrase"), "f": sums.column("n_sum")})
+
+    return streams.groupBy("lang", "range").applyInArrow(merge, "lang string, size bigint, phrase string, f bigint")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -120,78 +164,60 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
-            n = np.bincount(own.lang, minlength=len(own.langs))
-            yield pa.record_batch({"lang": pa.array(own.langs, pa.string()), "digest": pa.nulls(len(n), pa.int64()), "n": pa.array(n.astype(np.int64))})
-            found = _counted(own.digest)
-            yield pa.record_batch({"lang": pa.nulls(len(found["n"]), pa.string()), **found})
+            n = np.bincount(own.lang, minlength=len(own.langs)).astype(np.int64)
+            none = pa.nulls(len(n), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(own.langs, pa.string()), pa.nulls(len(n), pa.int64()), none, none, pa.array(n)], ["lang", "range", "keys", "counts", "n"])
+            yield _counted(own.digest)
 
-    counts = docs.mapInArrow(words, "lang string, digest bigint, n bigint").groupBy("lang", "digest").agg(F.sum("n").alias("n"))
-    counts = materialise(counts.filter(F.col("digest").isNull() | (F.col("n") >= least)), "words")
-    totals = counts.filter("digest is null").select("lang", "n")
-    own_words = spark.sparkContext.broadcast(bit_table(counts.filter("digest is not null")))
+    counted = materialise(docs.mapInArrow(words, KEYS), "words")
+    totals = counted.filter("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+    own_words = spark.sparkContext.broadcast(bit_table(_often(counted.filter("n is null"), least)))
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
             known = within(own_words.value, own.digest)
-            linked = known[1:] & known[:-1] & own.joined
-            pairs = own.pairs()
-            yield pa.record_batch(_counted(pairs[linked]))
-            yield pa.record_batch(_counted(own.triples(pairs)[linked[1:] & linked[:-1]]))
-
-    own_groups = spark.sparkContext.broadcast(bit_table(_often(docs.mapInArrow(groups, "digest bigint, n bigint"), least)))
-
-    def alive(own: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Digests of pairs and triples, and which of them may be frequent."""
-        pairs = own.pairs()
-        linked = within(own_groups.value, pairs) & own.joined
-        triples = own.triples(pairs)
-        return pairs, triples, linked, within(own_groups.value, triples) & linked[1:] & linked[:-1]
-
-    def shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts of frequent words, pairs and triples by spelling, and each text cut down to its runs of frequent triples, a line each."""
+            yield _counted(own.pairs()[known[1:] & known[:-1] & own.joined])
+
+    own_pairs = spark.sparkContext.broadcast(bit_table(_often(docs.mapInArrow(pairs, KEYS), least)))
+    streams = "lang string, range bigint, text string, counts binary"
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Count streams of frequent words by spelling, and each text cut down to its runs of frequent pairs, a line each."""
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
-            w = own.words
-            pairs, triples, linked, tripled = alive(own)
-            for size, digests, found in ((1, own.digest, within(own_words.value, own.digest)), (2, pairs, linked), (3, triples, tripled)):
-                at = np.flatnonzero(found)
-                yield own.counts(digests[at], at, size)
-            inside = np.zeros(len(w.starts) + 1, dtype=bool)  # word i - 1 and word i are in one frequent triple
-            inside[1:-2] |= tripled
-            inside[2:-1] |= tripled
-            at = np.flatnonzero(inside[1:] | inside[:-1])
+            w, known = own.words, within(own_words.value, own.digest)
+            at = np.flatnonzero(known)
+            yield from own.streams(own.digest[at], at, 1)
+            linked = np.zeros(len(known) + 1, dtype=bool)  # word i - 1 and word i
+            linked[1:-1] = known[1:] & known[:-1] & own.joined
+            linked[1:-1] &= within(own_pairs.value, own.pairs())
+            at = np.flatnonzero(linked[1:] | linked[:-1])
             if not len(at):
                 continue
-            data, bounds = cut(np.append(w.data, np.uint8(10)), w.starts[at], w.ends[at] + 1)
-            data[bounds[1:] - 1] = np.where(inside[1:][at], 32, 10)
+            data, bounds = own.spelled(w.starts[at], w.ends[at])
+            data[bounds[1:] - 1] = np.where(linked[1:][at], 32, 10)
             first = np.flatnonzero(np.diff(w.doc[at], prepend=-1))
-            texts = strings(data, np.append(bounds[first], bounds[-1]))
-            columns = [own.lang_array(own.lang[at[first]]), pa.nulls(len(first), pa.int64()), texts, pa.nulls(len(first), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+            none = [pa.nulls(len(first), kind) for kind in (pa.int64(), pa.binary())]
+            columns = [own.lang_array(own.lang[at[first]]), none[0], strings(data, np.append(bounds[first], bounds[-1])), none[1]]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "range", "text", "counts"])
 
-    kinds = "lang string, size bigint, phrase string, n bigint"
-    short = materialise(docs.mapInArrow(shorter, kinds), "runs")
+    short = materialise(docs.mapInArrow(runs, streams), "runs")
 
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
-            n = len(own.digest)
-            rank = np.unique(own.triples(own.pairs()), return_inverse=True)[1].astype(np.int64) if n > 2 else np.zeros(0, np.int64)
-            word = np.unique(own.digest, return_inverse=True)[1].astype(np.int64)
-            _, _, _, tripled = alive(own)
-            found = tripled
-            for size in range(4, LONGEST + 1):
-                found = found[: n - size + 1] & tripled[size - 3 :]
-                at = np.flatnonzero(found)
-                keys = rank[at] << 32 | word[at + size - 1]
-                yield own.counts(keys, at, size)
-                rank = np.zeros(n, dtype=np.int64)
-                rank[at] = np.unique(keys, return_inverse=True)[1]
-
-    runs = short.filter("n is null").select("lang", F.col("phrase").alias("text"))
-    sums = short.filter("n is not null").unionByName(runs.mapInArrow(longer, kinds)).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
-    return materialise(sums.filter(F.col("f") >= least), "phrases"), totals
+            keys = own.digest
+            joined = np.append(own.joined, False)
+            at = np.arange(len(keys))
+            for size in range(2, LONGEST + 1):
+                at = at[joined[at + size - 2]]  # words from which ``size`` are in one run
+                with np.errstate(over="ignore"):
+                    keys = mixed(keys[: len(own.digest)] * np.uint64(5) + np.append(own.digest[size - 1 :], np.zeros(size - 1, np.uint64)))
+                yield from own.streams(keys[at], at, size)
+
+    longer = short.filter("range is null").select("lang", "text").mapInArrow(phrases, streams)
+    return materialise(_merged(short.filter("range is not null").unionByName(longer), least), "phrases"), totals
 
 
 def _in_order(counts: DataFrame, words: list[str]) -> DataFrame:
