@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.scale import hot_key_join, lookup_join, top_n_per_group
+from shoplens.operators.scale import global_running_sum, hot_key_join, lookup_join, materialise, top_n_per_group
 
 
 def _sums(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -86,7 +86,7 @@ def relevance_scores(
     weights = {"ctr": ctr_weight, "order_rate": order_weight}
     if revenue:
         rates["revenue_rate"], weights["revenue_rate"] = F.try_divide(revenue, "clicks"), revenue_weight
-    rated = df.withColumns({name: F.coalesce(rate, F.lit(0.0)) for name, rate in rates.items()})
+    rated = materialise(df.withColumns({name: F.coalesce(rate, F.lit(0.0)) for name, rate in rates.items()}), "rated")  # read three times
     extremes = rated.groupBy(term).agg(
         *[F.min(r).alias(f"_min_{r}") for r in rates], *[F.max(r).alias(f"_max_{r}") for r in rates]
     )
@@ -176,11 +176,10 @@ def history_rank(truth: DataFrame, history: DataFrame, query: str = "query", fre
     """Rank of each truth query by history frequency (ties share a rank), null when unseen.
 
     A rank is one plus the number of queries with a higher frequency, so only the counts of the
-    distinct frequencies are ordered: at most about sqrt(2 * total searches) of them exist.
+    distinct frequencies are ordered: at most about sqrt(2 * total searches) of them exist, summed over a range-partitioned sort.
     """
     totals = history.groupBy(query).agg(F.sum(freq).alias("freq"))
     levels = totals.groupBy("freq").agg(F.count(F.lit(1)).alias("n"))
-    above = Window.orderBy(F.desc("freq")).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = levels.select("freq", (F.coalesce(F.sum("n").over(above), F.lit(0)) + 1).alias("rank"))
+    ranks = global_running_sum(levels, [F.desc("freq")], "n").select("freq", (F.col("running") - F.col("n") + 1).alias("rank"))
     wanted = truth.select(query).distinct().join(totals, query, "left")
     return lookup_join(wanted, ranks, ["freq"], "left").select(query, "freq", "rank")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.operators.scale import exact_percentiles, lookup_join, top_n_per_group
+from shoplens.operators.scale import exact_percentiles, global_positions, lookup_join, top_n_per_group
 
 
 def explode_products(results: DataFrame, list_col: str = "products") -> DataFrame:
@@ -42,6 +42,13 @@ def query_ctr(joined: DataFrame) -> DataFrame:
     )
 
 
+def sorted_query_ctr(joined: DataFrame) -> DataFrame:
+    """``query_ctr`` with each query's position in the order of falling mean before the cap; equal means (to nine places) by query."""
+    means = joined.filter(F.col("ctr").isNotNull()).groupBy("query").agg(F.avg("ctr").alias("mean"))
+    placed = global_positions(means, [F.desc(F.round("mean", 9)), F.asc("query")])
+    return placed.select("position", "query", F.least("mean", F.lit(1.0)).alias("avg_ctr_query_level"))
+
+
 def ctr_coverage(joined: DataFrame) -> DataFrame:
     return joined.agg(F.count(F.when(F.col("ctr").isNull(), 1)).alias("null_ctr"), F.count(F.lit(1)).alias("total"))
 

@@ -16,7 +16,7 @@ from shoplens.functions.damerau import similarity_scores
 from shoplens.functions.text import normal_tokens
 from shoplens.operators.history import share_until
 from shoplens.operators.phrase_trie import matches, token_trie
-from shoplens.operators.scale import hot_key_join, lookup_join, spread, top_n_per_group
+from shoplens.operators.scale import hot_key_join, lookup_join, materialise, spread, top_n_per_group
 
 
 def attribute_words(catalogue: DataFrame, attributes: Sequence[str], product: str = "sku", category: str = "category") -> DataFrame:
@@ -241,63 +241,56 @@ def external_by_kind(variants: DataFrame, words: DataFrame) -> DataFrame:
 def phonetic_variants(words: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Word pairs with one sound code and edit similarity of at least ``threshold``.
 
-    With longer length L, distance d <= (1 - t) L, so the pair shares at least one of K pieces cut at
-    matching places, where K = floor((1 - t) L) + 1. Candidates meet on (code, longer length, piece
-    number, piece text at its shifted place): every qualifying pair is found, without pairing all
-    words of a code.
+    With longer length L, distance d <= (1 - t) L. The longer word is cut into K pieces; d changes leave at least K - d of them
+    in the other word, shifted by at most d places. K is d + 2 where the word is long enough: then any d + 1 pieces hold a shared
+    one, so the piece most words have is left out. Pairs meet on (code, longer length, place, text), and a pair that
+    shares several pieces is made at the rarest of them only: no pair is made twice, and none of a code's words without a shared piece.
     """
-    w = spread(words.select("word").distinct()).withColumn("code", F.soundex("word")).withColumn("n", F.length("word"))
-    # side A: the longer word of a pair, cut into K pieces
-    budget = F.floor((1 - threshold) * F.col("n") + 1e-9).cast("int")
-    pieces = F.least(budget + 1, F.col("n"))
-    size = F.floor(F.col("n") / pieces).cast("int")
-    start = lambda j: j * size + 1
-    length = lambda j: F.when(j == pieces - 1, F.col("n") - (pieces - 1) * size).otherwise(size)
-    longer = w.filter(F.col("n") > 0).select(
-        F.col("word").alias("longer"),
-        "code",
-        F.col("n").alias("long_n"),
-        budget.alias("budget"),
-        F.explode_outer(
-            F.transform(
-                F.sequence(F.lit(0), pieces - 1),
-                lambda j: F.struct(start(j).alias("at"), F.substring(F.col("word"), start(j), length(j)).alias("text")),
-            )
-        ).alias("piece"),
-    ).filter(F.col("piece").isNotNull())
-    # side B: every word, as the shorter one, for each admissible longer length and shift
+    w = spread(words.select("word").distinct()).withColumn("code", F.soundex("word")).withColumn("n", F.length("word")).filter(F.col("n") > 0)
+
+    def cut(n: Column) -> tuple[Column, Column, Column]:
+        """Changes allowed, pieces and letters of a piece at longer length ``n``."""
+        budget = F.floor((1 - threshold) * n + 1e-9).cast("int")
+        pieces = F.when(n >= 2 * (budget + 2), budget + 2).otherwise(F.least(budget + 1, n))
+        return budget, pieces, F.floor(n / pieces).cast("int")
+
+    def piece_at(j: Column, n: Column, pieces: Column, size: Column) -> tuple[Column, Column]:
+        return j * size + 1, F.when(j == pieces - 1, n - (pieces - 1) * size).otherwise(size)
+
+    # side A: the longer word of a pair and its pieces, the rarest first
+    budget, pieces, size = cut(F.col("n"))
+    own = F.transform(F.sequence(F.lit(0), pieces - 1), lambda j: F.struct(piece_at(j, F.col("n"), pieces, size)[0].alias("at"), F.substring(F.col("word"), *piece_at(j, F.col("n"), pieces, size)).alias("text")))
+    longer = materialise(w.select(F.col("word").alias("longer"), "code", F.col("n").alias("long_n"), budget.alias("budget"), F.explode(own).alias("piece")), "pieces")
+    counts = longer.groupBy("code", "long_n", "piece").agg(F.count(F.lit(1)).alias("held"))
+    counted = longer.join(counts, ["code", "long_n", "piece"])
+    ranked = counted.groupBy("longer", "code", "long_n", "budget").agg(F.array_sort(F.collect_list(F.struct("held", "piece"))).alias("all"))
+    chosen = F.transform(F.slice("all", 1, F.least(F.col("budget") + 1, F.size("all"))), lambda x: x["piece"])
+    rare = ranked.select("longer", "code", "long_n", "budget", chosen.alias("chosen")).select("*", F.posexplode("chosen").alias("rank", "piece"))
+    # side B: every word, as the shorter one, for each admissible longer length, piece and shift
     widths = F.sequence(F.col("n"), F.floor(F.col("n") / threshold + 1e-9).cast("int"))
-    shorter = w.filter(F.col("n") > 0).select(F.col("word").alias("shorter"), "code", "n", F.explode_outer(widths).alias("long_n")).filter(F.col("long_n").isNotNull())
-    budget_b = F.floor((1 - threshold) * F.col("long_n") + 1e-9).cast("int")
-    pieces_b = F.least(budget_b + 1, F.col("long_n"))
-    size_b = F.floor(F.col("long_n") / pieces_b).cast("int")
-    length_b = lambda j: F.when(j == pieces_b - 1, F.col("long_n") - (pieces_b - 1) * size_b).otherwise(size_b)
-    places = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), pieces_b - 1),
-            lambda j: F.transform(
-                F.sequence(-budget_b, budget_b),
-                lambda s: F.struct(
-                    (j * size_b + 1).alias("at"),
-                    F.when(j * size_b + 1 + s >= 1, F.substring(F.col("shorter"), j * size_b + 1 + s, length_b(j))).alias("text"),
-                ),
-            ),
-        )
-    )
-    probes = shorter.select("shorter", "code", "long_n", F.explode_outer(F.array_distinct(places)).alias("piece")).filter(F.col("piece").isNotNull()).filter(
-        F.length("piece.text") > 0
-    )
-    candidates = longer.join(probes, ["code", "long_n", "piece"]).filter(
+    shorter = w.select(F.col("word").alias("shorter"), "code", F.explode(widths).alias("long_n"))
+    budget_b, pieces_b, size_b = cut(F.col("long_n"))
+
+    def shifted(j: Column) -> Column:
+        at, length = piece_at(j, F.col("long_n"), pieces_b, size_b)
+        return F.transform(F.sequence(-budget_b, budget_b), lambda s: F.struct(at.alias("at"), F.when(at + s >= 1, F.substring(F.col("shorter"), at + s, length)).alias("text")))
+
+    places = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), pieces_b - 1), shifted)))
+    probes = shorter.select("shorter", "code", "long_n", F.explode(places).alias("piece")).filter(F.length("piece.text") > 0)
+    met = rare.join(probes, ["code", "long_n", "piece"]).filter(
         (F.col("longer") != F.col("shorter"))
         # equal lengths meet from both sides
         & ((F.length("shorter") < F.col("long_n")) | (F.col("longer") < F.col("shorter")))
     )
-    pairs = candidates.select(
-        F.least("longer", "shorter").alias("word"), F.greatest("longer", "shorter").alias("similar"), "long_n"
-    )
-    distance = F.levenshtein("word", "similar")
-    scored = pairs.withColumn("similarity", 1.0 - distance / F.col("long_n")).drop("long_n")
-    return scored.filter(F.col("similarity") >= threshold).distinct()
+
+    def shared(piece: Column) -> Column:
+        """Whether the shorter word has the piece within the allowed shift."""
+        return F.exists(F.sequence(-F.col("budget"), F.col("budget")), lambda s: (piece["at"] + s >= 1) & (F.substring(F.col("shorter"), piece["at"] + s, F.length(piece["text"])) == piece["text"]))
+
+    first = met.filter(~F.exists(F.slice("chosen", 1, F.col("rank")), shared))
+    pairs = first.select(F.least("longer", "shorter").alias("word"), F.greatest("longer", "shorter").alias("similar"), "long_n")
+    scored = pairs.withColumn("similarity", 1.0 - F.levenshtein("word", "similar") / F.col("long_n")).drop("long_n")
+    return scored.filter(F.col("similarity") >= threshold)
 
 
 def drop_wrong_pairs(pairs: DataFrame, phrase_variants: DataFrame, plurals: DataFrame) -> DataFrame:
@@ -395,25 +388,29 @@ def clean_phrases(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
 def plural_phrases(phrases: DataFrame, plurals: DataFrame, phrase: str = "phrase") -> DataFrame:
     """Phrases with any non-empty choice of their known words made plural.
 
-    ``plurals``: word, plural. Each token brings itself and its plural; forms build up left to right
-    inside the row, which is bounded by the phrase's own length.
+    ``plurals``: word, plural. Forms grow by one token a round, each a row of its own: the forms of a phrase of many known words
+    are spread over the tasks. As many rounds as the longest phrase has tokens.
     """
-    tokens = phrases.select(F.col(phrase).alias("phrase")).distinct().select("phrase", F.posexplode(normal_tokens(F.col("phrase"))).alias("_pos", "word"))
-    forms = lookup_join(tokens, plurals.select("word", "plural").distinct(), ["word"], "left")
-    options = forms.groupBy("phrase", "_pos", "word").agg(F.collect_set("plural").alias("_plurals"))
-    ordered = options.groupBy("phrase").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", F.concat(F.array("word"), F.array_sort("_plurals")).alias("choices")))).alias("_parts")
-    )
-    built = F.aggregate(
-        "_parts",
-        F.array(F.lit("")),
-        lambda done, part: F.flatten(
-            F.transform(done, lambda head: F.transform(part["choices"], lambda c: F.trim(F.concat_ws(" ", head, c))))
-        ),
-    )
-    return ordered.select("phrase", F.explode_outer(F.array_distinct(built)).alias("plural_phrase")).filter(F.col("plural_phrase").isNotNull()).filter(
-        F.col("plural_phrase") != F.array_join(normal_tokens(F.col("phrase")), " ")
-    )
+    tokens = phrases.select(F.col(phrase).alias("phrase")).distinct().select("phrase", F.posexplode(normal_tokens(F.col("phrase"))).alias("at", "word"))
+    own = materialise(tokens, "phrase-tokens")
+    known = plurals.select("word", "plural").filter(F.col("plural").isNotNull()).distinct()
+    forms = own.select("phrase", "at", F.col("word").alias("form")).unionByName(own.join(known, "word").select("phrase", "at", F.col("plural").alias("form")))
+    forms = materialise(forms.distinct(), "forms")
+    length = own.groupBy("phrase").agg(F.max("at").alias("last"))
+    built = forms.filter("at = 0").select("phrase", F.col("form").alias("text")).join(length, "phrase")
+    done = None
+    at = 0
+    while True:
+        built = materialise(built, "built")
+        whole = built.filter(F.col("last") == at).select("phrase", F.col("text").alias("plural_phrase"))
+        done = whole if done is None else done.unionByName(whole)
+        longer = built.filter(F.col("last") > at)
+        if longer.isEmpty():
+            break
+        at += 1
+        step = forms.filter(F.col("at") == at).select("phrase", "form")
+        built = longer.join(step, "phrase").select("phrase", F.concat_ws(" ", "text", "form").alias("text"), "last")
+    return done.distinct().filter(F.col("plural_phrase") != F.array_join(normal_tokens(F.col("phrase")), " "))
 
 
 def brand_chunks(brands: DataFrame, brand: str = "brandname") -> DataFrame:

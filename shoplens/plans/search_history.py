@@ -357,6 +357,22 @@ def _(spark, d):
     return flat(hi.nonzero_scores(hi.relevance_scores(science(spark, d))).select("search_term", "sku", "score"))
 
 
+REVENUE_SQL = f"""{SCIENCE_SQL}, {PRODUCTS}, sold AS (SELECT search_term, sku, impressions, clicks, total_quantity, total_quantity * price AS revenue FROM science JOIN products USING (sku)),
+rated AS (SELECT *, coalesce(clicks / nullif(impressions, 0), 0) AS ctr, coalesce(total_quantity / nullif(clicks, 0), 0) AS rate, coalesce(revenue / nullif(clicks, 0), 0) AS revr FROM sold),
+lim AS (SELECT search_term, min(ctr) AS c0, max(ctr) AS c1, min(rate) AS r0, max(rate) AS r1, min(revr) AS v0, max(revr) AS v1 FROM rated GROUP BY search_term)"""
+
+
+@query(
+    "agg_relevance_score_revenue",
+    f"""WITH {REVENUE_SQL} SELECT search_term, sku, round(0.5 * coalesce((ctr - c0) / nullif(c1 - c0, 0), 0) + 0.3 * coalesce((rate - r0) / nullif(r1 - r0, 0), 0)
+    + 0.2 * coalesce((revr - v0) / nullif(v1 - v0, 0), 0), 6) AS score FROM rated JOIN lim USING (search_term)""",
+)
+def _(spark, d):
+    priced = science(spark, d).join(products(spark, d).select("sku", "price"), "sku")
+    rows = priced.withColumn("revenue", F.col("total_quantity") * F.col("price")).drop("price")
+    return flat(hi.relevance_scores(rows, ctr_weight=0.5, order_weight=0.3, revenue_weight=0.2, revenue="revenue").select("search_term", "sku", "score"))
+
+
 RANGE = ("1996-01-01", "1999-06-30")
 RANGE_SQL = f"day BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
 

@@ -11,6 +11,7 @@ from shoplens.plans.domain import (
     DETECTED, HISTORY, PRODUCTS, RESULTS, SHOWN, TEMPLATED, TRUTH, WORD_COUNTS, detected_entities, history, products,
     search_results, shown_products, table, templated_queries, tokens_sql, truth_detected, vectors, word_counts,
 )
+from shoplens.operators.scale import materialise
 from shoplens.plans.registry import flat, query
 
 
@@ -52,11 +53,11 @@ def _(spark, d):
 
 @query(
     "sort_ctr",
-    f"""WITH {CTR_SQL} SELECT query, round(least(m, 1.0), 6) AS avg_ctr_query_level FROM (SELECT query, avg(ctr) AS m FROM joined
-    WHERE ctr IS NOT NULL GROUP BY query) ORDER BY m DESC, query""",
+    f"""WITH {CTR_SQL} SELECT row_number() OVER (ORDER BY round(m, 9) DESC, query) AS position, query, round(least(m, 1.0), 6) AS avg_ctr_query_level
+    FROM (SELECT query, avg(ctr) AS m FROM joined WHERE ctr IS NOT NULL GROUP BY query)""",
 )
 def _(spark, d):
-    return flat(qu.query_ctr(joined_ctr(spark, d)))
+    return flat(qu.sorted_query_ctr(joined_ctr(spark, d)))
 
 
 @query("agg_ctr_coverage", f"WITH {CTR_SQL} SELECT count(*) FILTER (WHERE ctr IS NULL) AS null_ctr, count(*) AS total FROM joined")
@@ -260,7 +261,8 @@ def _(spark, d):
 def _(spark, d):
     from shoplens.operators.cleaning import split_all_empty
 
-    filled, empty = split_all_empty(truth_detected(spark, d), ["truth_category", "truth_brand", "category", "brand"])
+    rows = materialise(truth_detected(spark, d), "truth")  # read by three reports
+    filled, empty = split_all_empty(rows, ["truth_category", "truth_brand", "category", "brand"])
     per_query = gr.hit_miss_extra(filled, *HIT_ARGS)
     level = gr.set_compare(filled, *SET_ARGS)
     count = F.count(F.lit(1)).alias("n")

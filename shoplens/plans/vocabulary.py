@@ -203,7 +203,23 @@ def _(spark, d):
     return vo.external_by_kind(wide.unionByName(name_pairs(spark, d)), right(spark, d)[0])
 
 
-@query("voc_phonetic_variants")
+# lower-case letters beyond a to z as one byte each: the engine behind the SQL counts edits in bytes
+ONE_BYTE = "translate({}, 'àáâäãçèéêëìíîïñòóôöùúûüßœ', 'ABCDEFGHIJKLMNOPQRSTUVWXY')"
+# the last code in front of the result: h and w are passed over, other letters without a code end a run
+SOUND_SQL = """CASE WHEN NOT regexp_matches(word, '^[a-z]') THEN word ELSE rpad(substr(list_reduce(string_split(substr(word, 2), ''), lambda a, x:
+  CASE WHEN x IN ('h', 'w') THEN a WHEN regexp_matches(x, '[bfpvcgjkqsxzdtlmnr]') THEN
+    CASE WHEN translate(x, 'bfpvcgjkqsxzdtlmnr', '111122222222334556') = a[1] THEN a ELSE translate(x, 'bfpvcgjkqsxzdtlmnr', '111122222222334556') || a[2:] || translate(x, 'bfpvcgjkqsxzdtlmnr', '111122222222334556') END
+  ELSE '0' || a[2:] END, CASE WHEN regexp_matches(word[1], '[bfpvcgjkqsxzdtlmnr]') THEN translate(word[1], 'bfpvcgjkqsxzdtlmnr', '111122222222334556') WHEN word[1] IN ('h', 'w') THEN '7' ELSE '0' END
+  || upper(word[1])), 2), 4, '0')[:4] END"""
+
+
+@query(
+    "voc_phonetic_variants",
+    f"""WITH {WORD_COUNTS}, w AS (SELECT word, {SOUND_SQL} AS code, length(word) AS n, {ONE_BYTE.format("word")} AS plain FROM word_counts)
+    SELECT a.word, b.word AS similar, round(1.0 - levenshtein(a.plain, b.plain) / greatest(a.n, b.n), 6) AS similarity
+    FROM w AS a JOIN w AS b ON a.code = b.code AND a.word < b.word AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n)
+    WHERE 1.0 - levenshtein(a.plain, b.plain) / greatest(a.n, b.n) >= 0.85""",
+)
 def _(spark, d):
     return flat(vo.phonetic_variants(word_counts(spark, d)))
 
