@@ -362,15 +362,41 @@ def als_ratings(scores: DataFrame, user: str = "user_id", item: str = "brandname
     return indexed.withColumn("rating", F.col("score").cast("float"))
 
 
-def als_predictions(ratings: DataFrame, pairs: DataFrame, rank: int = 3, iterations: int = 10, reg: float = 0.1, seed: int = 7) -> DataFrame:
-    """Explicit ALS on all ratings; pairs of unknown users or items are left out."""
+def als_model(ratings: DataFrame, rank: int = 3, iterations: int = 10, reg: float = 0.1, seed: int = 7):
+    """Explicit ALS model of all ratings (user, item, rating)."""
     from pyspark.ml.recommendation import ALS
 
     als = ALS(
         userCol="user", itemCol="item", ratingCol="rating", rank=rank, maxIter=iterations, regParam=reg,
         coldStartStrategy="drop", implicitPrefs=False, seed=seed,
     )
-    return als.fit(ratings.select("user", "item", "rating")).transform(pairs)
+    return als.fit(ratings.select("user", "item", "rating"))
+
+
+def als_predictions(ratings: DataFrame, pairs: DataFrame, rank: int = 3, iterations: int = 10, reg: float = 0.1, seed: int = 7) -> DataFrame:
+    """Explicit ALS on all ratings; pairs of unknown users or items are left out."""
+    return als_model(ratings, rank, iterations, reg, seed).transform(pairs)
+
+
+def als_residuals(ratings: DataFrame, rank: int = 3, iterations: int = 10, reg: float = 0.1, seed: int = 7) -> DataFrame:
+    """How well each user's factors solve their regularised least squares: user, ratings, residual (0: exactly), error, weight.
+
+    The last half step of ALS sets all users from the items, so sum((u.v - r) v) + reg n u is zero up to single precision; ``residual`` is
+    its largest entry against the largest one of sum(|r v|).
+    """
+    model = als_model(ratings, rank, iterations, reg, seed)
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("v"))
+    rows = ratings.select("user", "item", "rating").join(items, "item").join(users, "user")
+    wide = lambda c, k: F.get(c, F.lit(k)).cast("double")
+    off = sum((wide("u", k) * wide("v", k) for k in range(rank)), -F.col("rating").cast("double"))
+    sums = [F.sum(off * wide("v", k)).alias(f"_s{k}") for k in range(rank)] + [F.sum(F.abs(F.col("rating") * wide("v", k))).alias(f"_w{k}") for k in range(rank)]
+    found = rows.groupBy("user", "u").agg(F.count(F.lit(1)).alias("ratings"), *sums)
+    largest = lambda parts: parts[0] if len(parts) == 1 else F.greatest(*parts)
+    error = largest([F.abs(F.col(f"_s{k}") + reg * F.col("ratings") * wide("u", k)) for k in range(rank)])
+    return found.select("user", "ratings", error.alias("error"), largest([F.col(f"_w{k}") for k in range(rank)]).alias("weight")).withColumn(
+        "residual", F.coalesce(F.try_divide("error", "weight"), F.lit(0.0))
+    )
 
 
 def latest_vectors(df: DataFrame, query: str = "query", order: str = "ts", vector: str = "vec") -> DataFrame:

@@ -144,3 +144,15 @@ def _(spark, d):
 def _(spark, d):
     ratings = re.als_ratings(affinity(spark, d).withColumnRenamed("affinity_score", "score"))
     return flat(re.als_predictions(ratings, ratings.select("user_id", "brandname", "user", "item")))
+
+
+@query(
+    "ml_als_solved",
+    f"""WITH {FEATURES_SQL} SELECT user_id, count(*) AS ratings, true AS solved FROM affinity GROUP BY user_id""",
+)
+def _(spark, d):
+    """Whether each user's factors solve their least squares against the items."""
+    ratings = re.als_ratings(affinity(spark, d).withColumnRenamed("affinity_score", "score"))
+    users = ratings.select("user", "user_id").distinct()
+    found = re.als_residuals(ratings).join(users, "user")
+    return found.select("user_id", "ratings", (F.col("residual") < 1e-3).alias("solved"))

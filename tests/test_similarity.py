@@ -134,3 +134,25 @@ def test_als_predicts_every_known_pair(spark):
     scores = spark.createDataFrame([(f"u{i}", f"b{j}", float(i + j)) for i in range(6) for j in range(4)], "user_id string, brandname string, score double")
     ratings = re.als_ratings(scores)
     assert re.als_predictions(ratings, ratings.select("user", "item")).filter(F.col("prediction").isNotNull()).count() == 24
+
+
+def test_als_solves_its_equations(spark):
+    import numpy as np
+
+    rng = random.Random(3)
+    scores = spark.createDataFrame([(f"u{i}", f"b{j}", rng.uniform(-3, 20)) for i in range(12) for j in range(7) if rng.random() < 0.7], "user_id string, brandname string, score double")
+    ratings = re.als_ratings(scores)
+    found = {r.user: r for r in re.als_residuals(ratings).collect()}
+    model = re.als_model(ratings)
+    items = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    by_user = {}
+    for r in ratings.collect():
+        by_user.setdefault(r.user, []).append((items[r.item], r.rating))
+    predicted = {(r.user, r.item): r.prediction for r in re.als_predictions(ratings, ratings.select("user", "item")).collect()}
+    for user, rows in by_user.items():
+        v, y = np.array([a for a, _ in rows]), np.array([b for _, b in rows])
+        solved = np.linalg.solve(v.T @ v + 0.1 * len(y) * np.eye(3), v.T @ y)  # by brute force
+        for item, vector in items.items():
+            if (user, item) in predicted:
+                assert predicted[user, item] == pytest.approx(float(solved @ vector), abs=2e-2)
+        assert found[user].ratings == len(y) and found[user].residual < 1e-3
