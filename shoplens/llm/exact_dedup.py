@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.columns import BLANKS, with_heavy_keys
 from shoplens.operators.scale import materialise
+from shoplens.sources.writers import folder_names
 
 
 @dataclass(frozen=True)
 class DigestIndex:
-    """Folder of the index and its number of buckets, fixed at creation (about one per 256 MB of index)."""
+    """Folder of the index and its number of buckets, fixed at creation (about one per 256 MB of index).
+
+    The number is kept beside the folder; an index that is opened again has the number it was made with, whatever is asked for.
+    """
 
     path: str
     buckets: int
@@ -30,16 +34,24 @@ class DigestIndex:
 
     def open(self, spark: SparkSession) -> DataFrame:
         """The index as a bucketed table; an existing folder is taken up, a missing one starts empty."""
+        buckets = self.kept(spark)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, keep_row BIGINT, batch STRING) "
-            f"USING PARQUET CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            f"USING PARQUET CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
         )
         spark.catalog.refreshTable(self.name)
         return spark.table(self.name)
 
+    def kept(self, spark: SparkSession) -> int:
+        """Number of buckets of the folder, set by the first to open it."""
+        beside = f"{self.path}-buckets"
+        if not folder_names(spark, beside):
+            spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(beside)
+        return spark.read.schema("buckets int").parquet(beside).first()["buckets"]
+
     def append(self, rows: DataFrame) -> None:
         """Add rows of digests that the index does not hold; one file per bucket."""
-        rows.repartition(self.buckets, "digest").write.insertInto(self.name)
+        rows.repartition(self.kept(rows.sparkSession), "digest").write.insertInto(self.name)
 
 
 def normalised(text: Column) -> Column:

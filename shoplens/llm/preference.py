@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators.scale import global_positions
+
 ROLE_OPEN, ROLE_CLOSE, TURN_END = "<|", "|>\n", "<|end|>\n"
 TRAINED = ("assistant",)
 
@@ -65,8 +67,8 @@ def preference_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn"
     ``opening``: of conversations that open with the same turn and differ, the one with the smallest id is chosen over
     each other one; equal conversations count once, under their smallest id. One row per rejected conversation, so
     a group of any size gives as many rows as it has texts. ``reply``: a conversation that ends with a trained turn is
-    chosen over itself with the final reply of conversation id + 1 in place of its own, when that reply exists and differs.
-    Conversations without turns and null ids take no part.
+    chosen over itself with the final reply of the next such conversation by id in place of its own, when that reply differs: all
+    but the last take part, whatever the gaps between ids. Conversations without turns and null ids take no part.
     """
     whole = gathered(turns, conv, turn, role, text)
     keyed = whole.withColumn("digest", F.sha2(F.to_json("turns"), 256)).withColumn("opening", F.sha2(F.to_json(F.element_at("turns", 1)), 256))
@@ -78,7 +80,11 @@ def preference_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn"
     openings = ids.join(rejected, "rejected_id").join(chosen, "chosen_id").select("chosen_id", "rejected_id", F.lit("opening").alias("kind"), "chosen", "rejected")
     last = F.element_at("turns", -1)
     ended = whole.filter(last["role"].isin(*TRAINED))
-    replies = ended.select((F.col("conv_id") - 1).alias("chosen_id"), last.alias("other"))
-    swapped = ended.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")).join(replies, "chosen_id").filter(F.element_at("chosen", -1)["text"] != F.col("other.text"))
+    placed = global_positions(ended.select("conv_id"), [F.asc("conv_id")])
+    after = placed.select(F.col("conv_id").alias("rejected_id"), (F.col("position") - 1).alias("position"))
+    following = placed.select(F.col("conv_id").alias("chosen_id"), "position").join(after, "position").select("chosen_id", "rejected_id")
+    replies = ended.select(F.col("conv_id").alias("rejected_id"), last.alias("other"))
+    own = ended.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
+    swapped = following.join(replies, "rejected_id").join(own, "chosen_id").filter(F.element_at("chosen", -1)["text"] != F.col("other.text"))
     rest = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
-    return openings.unionByName(swapped.select("chosen_id", (F.col("chosen_id") + 1).alias("rejected_id"), F.lit("reply").alias("kind"), "chosen", F.concat(rest, F.array("other")).alias("rejected")))
+    return openings.unionByName(swapped.select("chosen_id", "rejected_id", F.lit("reply").alias("kind"), "chosen", F.concat(rest, F.array("other")).alias("rejected")))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import collocations, decontamination, exact_dedup, language_id, lm_hmm, ngram_jaccard, preference, quality, sentencepiece_trie, structure_repair, substring_dedup, toxicity, url_filter
-from shoplens.llm.columns import fold, table
-from shoplens.operators.scale import scratch_path
+from shoplens.llm.columns import fold, table, with_heavy_keys
+from shoplens.operators.scale import materialise, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,9 +89,17 @@ def judged_urls(spark, folder):
     """,
 )
 def exact_duplicates(spark, folder):
+    """The documents come in two batches, the lower half of the ids first: the second meets what the index holds of the first."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = exact_dedup.DigestIndex(scratch_path(spark, "digest-index"), buckets)
-    return exact_dedup.deduplicate(table(spark, folder, "documents"), index, uuid.uuid4().hex)
+    docs = table(spark, folder, "documents")
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    early = F.coalesce(F.col("doc_id") <= F.lit(middle).cast("long"), F.lit(False))
+    parts = [exact_dedup.deduplicate(docs.filter(part), index, uuid.uuid4().hex) for part in (early, ~early)]
+    rows = materialise(parts[0].unionByName(parts[1]).drop("group_size"), "decided")
+    sizes = rows.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"))
+    found = with_heavy_keys(rows, sizes, ["text_sha256"], "group_size", rows.count())
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 @query("op9_ngram_jaccard")

@@ -46,10 +46,10 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 def _positions(urls: DataFrame, keys: Sequence[str], order: int) -> DataFrame:
     """One row per character with the ``order`` characters before it; START fills the front."""
     spelled = F.regexp_replace(F.lower(F.col("url")), "[^a-z0-9._/?=&%:#~+-]", "*")
-    padded = F.concat(F.lit(START * order), spelled)
+    padded = F.concat(F.lit(START * order), spelled).cast("binary")  # one byte a character: a place is found without counting up to it
     at = F.explode(F.sequence(F.lit(1), F.length("text") - order))
     wide = urls.withColumn("text", padded).filter(F.length("text") > order).select(*keys, "text", at.alias("at"))
-    return wide.select(*keys, F.substring("text", F.col("at"), F.lit(order)).alias("context"), F.substring("text", F.col("at") + order, F.lit(1)).alias("symbol"))
+    return wide.select(*keys, F.substring("text", F.col("at"), F.lit(order)).cast("string").alias("context"), F.substring("text", F.col("at") + order, F.lit(1)).cast("string").alias("symbol"))
 
 
 def fit(urls: DataFrame, order: int = 4, prior: float = 8.0, contexts: int = 2000) -> DataFrame:
@@ -130,7 +130,7 @@ def filter_urls(
     """
     judged = pages.select(F.col(id).alias("page_id"), F.col(url).alias("url")).withColumn("row", F.monotonically_increasing_id())
     judged = judged.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    judged = judged.withColumn("by", longest_rule(F.col("host"), F.col("path"), rules))
+    judged = materialise(judged.withColumn("by", longest_rule(F.col("host"), F.col("path"), rules)), "judged")  # rows keep their number
     labelled = judged.filter("by is not null").select("url", (F.col("by.verdict") == "allow").alias("accepted"), F.pmod(F.crc32("url"), F.lit(5)).alias("part"))
     model = fit(labelled.filter("part != 0").select("url", "accepted"), order)
     tested = labelled.filter("part = 0").withColumn("row", F.monotonically_increasing_id())
@@ -138,10 +138,8 @@ def filter_urls(
         F.avg(F.when(F.col("accepted"), F.col("score"))).alias("yes"), F.avg(F.when(~F.col("accepted"), F.col("score"))).alias("no")
     ).first()
     cut = 0.0 if means.yes is None or means.no is None else (means.yes + means.no) / 2
-    keys = ["row", "page_id", "host", "path", "by", "given"]
     given = F.coalesce(F.length("url") > 0, F.lit(False))
-    texts = judged.withColumn("given", given).withColumn("url", F.when(given, F.col("url")).otherwise(F.lit(START)))
-    scored = score(texts, model, keys, order)
+    scored = judged.join(score(judged.filter(given).select("row", "url"), model, ["row"], order), "row", "left").withColumn("given", given)
     ratio = F.when(F.col("given"), F.coalesce("score", F.lit(0.0))).otherwise(F.lit(0.0))
     return scored.select(
         "page_id",
