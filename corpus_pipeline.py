@@ -23,36 +23,46 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return language_id.accepted(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name`` with as many underscores behind it as it takes to be none of the columns."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest id stays; of repeated rows of that id one."""
+    """Of equal texts the row with the smallest id stays (null ids last); of repeated rows of that id one. All columns stay."""
     index = exact_dedup.DigestIndex(scratch_path(spark, "digest-index"), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = exact_dedup.deduplicate(docs, index, uuid.uuid4().hex).filter("kept")
-    kept = found.select(F.col("doc_id").alias("kept_id"), "text_sha256")
-    digest = F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256)
-    rows = docs.withColumn("row_digest", digest)
-    stay = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["row_digest"] == kept["text_sha256"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "row_digest"]).drop("row_digest")
+    found = exact_dedup.deduplicate(docs.select("doc_id", "text"), index, uuid.uuid4().hex).filter("kept")
+    own, kept_id, kept_digest = (free_name(docs, n) for n in ("row_digest", "kept_id", "kept_digest"))
+    kept = found.select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_digest))
+    rows = docs.withColumn(own, F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256))
+    stay = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_digest)), "left_semi")
+    return stay.dropDuplicates(["doc_id", own]).drop(own)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """Rows with a number of their own, written so that it stays: ids may be null or stand for several texts."""
-    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Rows with a number of their own, written so that it stays, and its column: ids may be null or stand for several texts."""
+    row = free_name(docs, "_row")
+    return materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row with the smallest id stays; null ids come last, one of equal ids stays."""
-    rows = numbered(docs)
-    found = ngram_jaccard.near_duplicates(rows, id="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
-    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    """Of each group of near copies the row with the smallest id stays; null ids come last, one of equal ids stays. All columns stay."""
+    rows, row = numbered(docs)
+    found = ngram_jaccard.near_duplicates(rows.select(row, "text"), id=row).select(F.col("doc_id").alias(row), "component_id")
+    ids = rows.select(row, F.col("doc_id").alias("own_id"))
+    first = F.min(F.struct(F.col("own_id").isNull().alias("last"), "own_id", row))
+    kept = found.join(ids, row).groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{row}").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold a benchmark item go."""
-    rows = numbered(docs)
-    found = decontamination.contaminated(rows, table(spark, sf_dir, "benchmark"), id="_row").select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(found, "_row", "left_anti").drop("_row")
+    """Rows that hold a benchmark item go. All columns of the others stay."""
+    rows, row = numbered(docs)
+    found = decontamination.contaminated(rows.select(row, "text"), table(spark, sf_dir, "benchmark"), id=row).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(found, row, "left_anti").drop(row)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
