@@ -4,7 +4,7 @@ Only phrases met often enough matter, and all parts of such a phrase are met at
 first, then pairs of frequent words, and texts shrink to the runs of frequent pairs; phrases of two to five words are counted by
 their spelling in what is left. The sets of frequent words and pairs travel as bit tables of fixed size, whose rare false
 hits only leave more to be counted. Counts move as sorted streams, one for each slice of text and each range of digests, and all
-streams of a range are merged at once: few rows, four bytes a word or pair.
+streams of a range are merged at once: few rows, three bytes a word or pair.
 
 The counts of all lengths form one stream, kept twice: sorted by the words from the first on, and from the last on. In
 prefix order each phrase comes behind all phrases it begins with and right before those that go on from it, so reading the
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.llm.words import Words, mixed, pieces, words_of
-from shoplens.operators.scale import materialise, top_n_per_group
+from shoplens.operators.scale import materialise, scratch_path, top_n_per_group
 
 LONGEST = 5
 LEAST = 100
@@ -112,33 +112,39 @@ def bit_table(digests: DataFrame) -> np.ndarray:
 
 
 KEYS = "lang string, range bigint, keys binary, counts binary, n bigint"
+KEY_BITS = 24  # of a digest, beside those that name its range: what shares them is counted together and told apart later, by spelling
 
 
 def _counted(digests: np.ndarray) -> pa.RecordBatch:
-    """Sorted streams of 32 bits of each distinct digest and its count, one row for each range of digests."""
-    found, n = np.unique(digests >> np.uint64(32 - RANGES), return_counts=True)
-    ranges = found >> np.uint64(32)
+    """Sorted streams of KEY_BITS bits of each distinct digest and its count, one row for each range of digests."""
+    found, n = np.unique(digests >> np.uint64(64 - RANGES - KEY_BITS), return_counts=True)
+    ranges = found >> np.uint64(KEY_BITS)
     begin = np.flatnonzero(np.diff(ranges.astype(np.int64), prepend=-1))
     ends = np.append(begin[1:], len(found))[: len(begin)]
-    keys, counts = found.astype("<u4").tobytes(), n.astype("<u4").tobytes()
-    cells = lambda raw: pa.array([raw[4 * i : 4 * j] for i, j in zip(begin, ends, strict=True)], pa.binary())
+    keys = found.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    counts = n.astype("<u4").tobytes()
+    cells = lambda raw, width: pa.array([raw[width * i : width * j] for i, j in zip(begin, ends, strict=True)], pa.binary())
     none = pa.nulls(len(begin), pa.int64())
-    columns = [pa.nulls(len(begin), pa.string()), pa.array(ranges[begin].astype(np.int64)), cells(keys), cells(counts), none]
+    columns = [pa.nulls(len(begin), pa.string()), pa.array(ranges[begin].astype(np.int64)), cells(keys, 3), cells(counts, 4), none]
     return pa.RecordBatch.from_arrays(columns, ["lang", "range", "keys", "counts", "n"])
 
 
 def _often(streams: DataFrame, least: int) -> DataFrame:
-    """Column ``digest``, its 32 + ``RANGES`` highest bits, of what the streams together count ``least`` times."""
+    """(lang, digest, n): the highest bits of what the streams together count ``least`` times, and the sums of the rows (lang, n) among them."""
 
     def merge(table: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<u4")
+        first = table.column("range")[0].as_py()
+        if first < 0:
+            sums = table.group_by("lang").aggregate([("n", "sum")])
+            return pa.table({"lang": sums.column("lang"), "digest": pa.nulls(len(sums), pa.int64()), "n": sums.column("n_sum")})
+        raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint8).reshape(-1, 3).astype(np.uint32)
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4")
-        found, place = np.unique(keys, return_inverse=True)
+        found, place = np.unique(raw[:, 0] | raw[:, 1] << 8 | raw[:, 2] << 16, return_inverse=True)
         found = found[np.bincount(place, weights=counts, minlength=len(found)) >= least].astype(np.uint64)
-        first = np.uint64(table.column("range")[0].as_py())
-        return pa.table({"digest": pa.array(((first << np.uint64(32) | found) << np.uint64(32 - RANGES)).view(np.int64))})
+        digests = (np.uint64(first) << np.uint64(KEY_BITS) | found) << np.uint64(64 - RANGES - KEY_BITS)
+        return pa.table({"lang": pa.nulls(len(found), pa.string()), "digest": pa.array(digests.view(np.int64)), "n": pa.nulls(len(found), pa.int64())})
 
-    return streams.select("range", "keys", "counts").groupBy("range").applyInArrow(merge, "digest bigint")
+    return streams.groupBy("range").applyInArrow(merge, "lang string, digest bigint, n bigint")
 
 
 def _merged(streams: DataFrame, least: int) -> DataFrame:
@@ -165,13 +171,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
         for batch in pieces(batches, "text", SLICE):
             own = Pieces(batch)
             n = np.bincount(own.lang, minlength=len(own.langs)).astype(np.int64)
-            none = pa.nulls(len(n), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(own.langs, pa.string()), pa.nulls(len(n), pa.int64()), none, none, pa.array(n)], ["lang", "range", "keys", "counts", "n"])
+            none, dealt = pa.nulls(len(n), pa.binary()), np.full(len(n), -1 - len(own.digest) % (1 << RANGES))  # sums go to ranges of their own
+            yield pa.RecordBatch.from_arrays([pa.array(own.langs, pa.string()), pa.array(dealt), none, none, pa.array(n)], ["lang", "range", "keys", "counts", "n"])
             yield _counted(own.digest)
 
-    counted = materialise(docs.mapInArrow(words, KEYS), "words")
-    totals = counted.filter("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-    own_words = spark.sparkContext.broadcast(bit_table(_often(counted.filter("n is null"), least)))
+    counted = materialise(_often(docs.mapInArrow(words, KEYS), least), "words")
+    totals = counted.filter("digest is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    own_words = spark.sparkContext.broadcast(bit_table(counted.filter("digest is not null")))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
@@ -202,7 +208,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
             columns = [own.lang_array(own.lang[at[first]]), none[0], strings(data, np.append(bounds[first], bounds[-1])), none[1]]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "range", "text", "counts"])
 
-    short = materialise(docs.mapInArrow(runs, streams), "runs")
+    path = scratch_path(spark, "runs")
+    docs.mapInArrow(runs, streams).write.option("compression", "zstd").parquet(path)
+    short = spark.read.schema(streams).parquet(path)
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", SLICE):
