@@ -38,6 +38,33 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, k, dims, size, block):
     assert rows_of(re.nearest_neighbours(df, other, k=k)) == brute(rows, probes, k, False)
 
 
+def test_vectors_travel_once_a_part_not_once_a_cell(spark, monkeypatch):
+    written, keep = {}, re.materialise
+
+    def counted(df, label="table"):
+        kept = keep(df, label)
+        written[label] = kept.count()
+        return kept
+
+    monkeypatch.setattr(re, "materialise", counted)
+    rng = random.Random(11)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    assert rows_of(re.nearest_neighbours(df, k=2, pivots=20)) == brute(rows, rows, 2, True)
+    assert written["visits"] < len(rows)  # 20 cells, but all in one part
+
+
+def test_parts_hold_a_bounded_number_of_vectors():
+    counts = np.array([0, 3, 4, 25, 0, 1, 9, 2, 0])
+    layout = re.Layout(counts, 10)
+    held = np.add.reduceat(counts, layout.first_cell) / layout.cuts
+    assert held.max() <= 10 and list(layout.cuts) == [1, 3, 1, 1]
+    reached = np.zeros((2, len(counts)), dtype=bool)
+    reached[0, [1, 2, 3]] = reached[1, 8] = True
+    who, part = layout.parts(reached)
+    assert sorted(zip(who.tolist(), part.tolist())) == [(0, 0), (0, 1), (0, 2), (0, 3), (1, 5)]
+
+
 def test_neighbours_of_only_zero_vectors(spark):
     df = spark.createDataFrame([("a", [0.0, 0.0]), ("b", [0.0, 0.0])], "id string, vec array<double>")
     assert rows_of(re.nearest_neighbours(df, k=2)) == {("a", "b", 1), ("b", "a", 1)}
