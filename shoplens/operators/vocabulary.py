@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.functions.damerau import similarity_scores
 from shoplens.functions.text import normal_tokens
@@ -18,6 +20,8 @@ from shoplens.operators.history import share_until
 from shoplens.operators.phrase_trie import matches, token_trie
 from shoplens.operators.scale import hot_key_join, lookup_join, materialise, spread, top_n_per_group
 
+RUN_BITS = 12  # token lists are looked up in runs of 4,096 rows
+
 
 def attribute_words(catalogue: DataFrame, attributes: Sequence[str], product: str = "sku", category: str = "category") -> DataFrame:
     """(word, product, category, attribute) rows of all attribute values."""
@@ -358,19 +362,25 @@ def replace_tokens(
 ) -> DataFrame:
     """Tokens found in the mapping (one row per ``old``) replaced, order kept.
 
-    Each distinct token list is replaced once and given to all its rows, so rows of one ``key`` never mix. Rows without tokens
-    keep an empty text.
+    Rows are cut into runs of up to 2 ** ``RUN_BITS``. The distinct tokens of a run, and not each token with its place, are joined with the
+    mapping; a run then meets the few of them that are replaced. Rows without tokens keep an empty text.
     """
-    lists = queries.select(F.col(tokens).alias("_list")).filter(F.size("_list") > 0).distinct()
-    placed = lists.select("_list", F.posexplode("_list").alias("_pos", old))
-    swapped = lookup_join(placed, mapping.select(old, new), [old], "left")
-    merged = swapped.groupBy("_list").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", F.coalesce(new, old).alias("_token")))).alias("_parts")
-    )
-    text = F.array_join(F.transform("_parts", lambda p: p["_token"]), " ")
-    found = merged.select("_list", text.alias("corrected"), F.size("_parts").alias("tokens"))
-    rows = queries.select(key, F.col(tokens).alias("_list")).join(found, "_list", "left")
-    return rows.select(key, F.coalesce("corrected", F.lit("")).alias("corrected"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
+    numbered = materialise(queries.select(F.col(key).alias("_key"), F.col(tokens).alias("_list"), F.monotonically_increasing_id().alias("_row")), "token-lists")
+    rows = numbered.select("_key", "_list", F.shiftright("_row", RUN_BITS).alias("_run"))
+    used = rows.select("_run", F.explode("_list").alias(old)).distinct()
+    known = lookup_join(used, mapping.select(old, new).filter(F.col(new).isNotNull()), [old]).select(F.col("_run").alias("_in"), old, new)
+
+    def replaced(lists: pa.Table, found: pa.Table) -> pa.Table:
+        names = dict(zip(found.column(old).to_pylist(), found.column(new).to_pylist()))
+        texts, sizes = [], []
+        for listed in (row for chunk in lists.column("_list").chunks for row in chunk):
+            parts = [names.get(t, t) for t in listed.as_py() or ()]
+            texts.append(" ".join(t for t in parts if t is not None))
+            sizes.append(len(parts))
+        return pa.table([lists.column("_key"), pa.array(texts, pa.string()), pa.array(sizes, pa.int32())], names=[key, "corrected", "tokens"])
+
+    schema = T.StructType().add(key, queries.schema[key].dataType).add("corrected", "string").add("tokens", "integer")
+    return rows.groupBy("_run").cogroup(known.groupBy("_in")).applyInArrow(replaced, schema)
 
 
 def phrase_variants(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:

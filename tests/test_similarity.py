@@ -143,6 +143,22 @@ def test_replace_tokens_keeps_order_and_repeats(spark):
     assert {r.query: r.corrected for r in vo.replace_tokens(q, m).collect()} == {"1": "the cat the", "2": "ok"}
 
 
+def test_replaced_tokens_are_looked_up_once_a_run_and_without_their_lists(spark, monkeypatch):
+    seen, join = [], vo.lookup_join
+
+    def recorded(fact, lookup, on, how="inner"):
+        seen.append((set(fact.columns), fact.count()))
+        return join(fact, lookup, on, how)
+
+    monkeypatch.setattr(vo, "lookup_join", recorded)
+    q = spark.createDataFrame([(i, ["teh", "cat", None, "teh"]) for i in range(50)] + [(99, None)], "query int, tokens array<string>").coalesce(1)
+    m = spark.createDataFrame([("teh", "the"), ("cat", None), ("dog", "hound")], "wrongword string, rightword string")
+    got = {(r.query, r.corrected, r.tokens) for r in vo.replace_tokens(q, m).collect()}
+    assert got == {(i, "the cat the", 4) for i in range(50)} | {(99, "", 0)}
+    [(columns, rows)] = seen
+    assert "_list" not in columns and rows <= 3
+
+
 def test_longest_phrase(spark):
     q = spark.createDataFrame([("q", ["red", "tennis", "shoe"])], "query string, tokens array<string>")
     p = spark.createDataFrame([("shoe",), ("tennis shoe",), ("red tennis",)], "phrase string")
