@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.operators.scale import spread
 from shoplens.sources.readers import landing_type
 from shoplens.sources.writers import folder_names
 
@@ -188,11 +189,12 @@ def route_landing_files(spark: SparkSession, landing: str, target: str, run_date
     run = f"{target.rstrip('/')}/_runs/{uuid.uuid4().hex}"
     listed.write.parquet(run)
     new = spark.read.schema(listed.schema).parquet(run)
-    lines = spark.read.option("recursiveFileLookup", True).text(landing).select("value", F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_modification_time").alias("changed"))
-    today = lines.filter(F.to_date("changed") == F.lit(run_date).cast("date"))  # files of other days are not opened
-    routed = today.join(new.select("url", "type", "date", "file"), "url")
-    if not new.isEmpty():
-        writer = routed.select("value", "type", "date", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if not new.isEmpty():  # the landing folder is listed again only for lines to move
+        lines = spark.read.option("recursiveFileLookup", True).text(landing).select("value", F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_block_start").alias("block"))
+        today = lines.filter(F.to_date("changed") == F.lit(run_date).cast("date"))  # files of other days are not opened
+        routed = today.join(new.select("url", "type", "date", "file"), "url")
+        dealt = spread(routed, "url", "block")  # a folder for each file: the time goes into making them, not into bytes
+        writer = dealt.select("value", "type", "date", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("type", "date", "file").text(f"{target.rstrip('/')}/data")
         new.write.mode("append").parquet(manifest)
     return new

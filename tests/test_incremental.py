@@ -136,6 +136,24 @@ def test_landed_files_are_routed_once(spark, tmp_path):
     assert inc.route_landing_files(spark, str(landing), target, "2001-01-01").count() == 0
 
 
+def test_many_small_files_are_landed_and_routed_by_many_tasks(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from shoplens.plans import load, tables_and_files
+
+    rows = [(i, dt.datetime(2024, 1, 15, 12), "view", float(i)) for i in range(40)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(tables_and_files, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = load().QUERIES["src_landing_files"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r.files for r in found) == 40 and sum(r.lines for r in found) == 80 and {r.moved_again for r in found} == {0}
+    for folder in ("landing", "routed/data"):
+        assert len({p.name[:10] for p in (tmp_path / folder).rglob("part-*")}) > 4
+
+
 def test_corpus_segments_join_back(spark, tmp_path):
     rows = [("hot", f"v{i:05d}") for i in range(900)] * 2 + [("hot", None), (None, "x"), ("none", None)] + [(f"k{i % 50}", f"v{i}") for i in range(400)]
     df = spark.createDataFrame(rows, "word string, value string").repartition(5)
