@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.columns import BLANKS, lower_ascii
 from shoplens.llm.words import pieces, words_of
 from shoplens.operators.scale import materialise
 
@@ -28,6 +28,8 @@ CLASSES = END + 1
 BROADCAST_WORDS = 200_000
 ROUNDS = 17
 BATCH_TOKENS = 1 << 20
+RESCALE = 8
+CHUNK = 1 << 13
 PRIOR = 0.01
 
 
@@ -57,8 +59,9 @@ def _shared_class(names: np.ndarray) -> np.ndarray:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over rows with a column text; the end of each text is counted under the empty word."""
-    words = F.explode(F.concat(F.filter(F.split(lower_ascii(F.coalesce("text", F.lit(""))), BLANKS), lambda w: w != ""), F.array(F.lit(""))))
-    return texts.select(words.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    plain = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz" + 5 * " ")
+    words = texts.select(F.explode(F.split(plain, " ")).alias("word")).filter("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words.unionByName(texts.agg(F.count(F.lit(1)).alias("n")).filter("n > 0").select(F.lit("").alias("word"), "n"))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -94,13 +97,14 @@ def coded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
+        logs = np.log10(own.counts + 1.0)
         for batch in pieces(batches, "text"):
             words = words_of(batch.column("text"), lower=True)
             at = np.searchsorted(own.names, words.names)
             at[at == len(own.names)] = 0
             known = own.names[at] == words.names if len(own.names) else np.zeros(len(at), dtype=bool)
             classes = np.where(known, own.classes[at], _shared_class(words.names)) if len(own.names) else _shared_class(words.names)
-            term = np.where(known, np.log10(own.counts[at] + 1.0), 0.0) if len(own.names) else np.zeros(len(at))
+            term = np.where(known, logs[at], 0.0) if len(own.names) else np.zeros(len(at))
             shared = classes >= OWN_CLASS
             inner = np.where(shared, term - own.shared[np.where(shared, classes - OWN_CLASS, 0)], 0.0)
             doc, rows = words.doc, batch.num_rows
@@ -126,61 +130,122 @@ def coded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Batches of about BATCH_TOKENS with the class sequence of each text, its end included."""
-    for batch in pieces(batches, "codes", 2 * BATCH_TOKENS):
-        yield batch, [np.append(np.frombuffer(c.as_buffer(), dtype="<u2"), np.uint16(END)) for c in batch.column("codes")]
+    """Batches of about BATCH_TOKENS with the class sequence of each text, its end included. Texts of like length are
+    together, as a batch takes as many steps as its longest text has tokens."""
+    for whole in batches:
+        sizes = pc.binary_length(whole.column("codes")).to_numpy(zero_copy_only=False)
+        for batch in pieces([whole.take(pa.array(np.argsort(-sizes, kind="stable")))], "codes", 2 * BATCH_TOKENS):
+            yield batch, [np.append(np.frombuffer(c.as_buffer(), dtype="<u2"), np.uint16(END)) for c in batch.column("codes")]
 
 
-def _timed(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts by falling length, tokens by time: codes, where each time begins, and the order of texts."""
+def _timed(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts by falling length, tokens by time: codes, where each time begins, the lengths and the order of texts."""
     lengths = np.array([len(s) for s in sequences])
     order = np.argsort(-lengths, kind="stable")
     lengths = lengths[order]
     flat = np.concatenate([sequences[i] for i in order])
-    active = len(lengths) - np.searchsorted(np.sort(lengths), np.arange(lengths[0]), "right")
+    active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), "right")
     begin = np.concatenate([[0], np.cumsum(active)])
-    time = np.concatenate([np.arange(n) for n in lengths])
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    codes = np.empty(len(flat), dtype=np.int64)
-    codes[begin[time] + text] = flat
-    return codes, begin, order
-
-
-def forward(model: Model, sequences: list[np.ndarray], keep: bool = False):
-    """Natural log-likelihood of each sequence by the scaled recursion; with ``keep`` all scaled states too."""
-    codes, begin, order = _timed(sequences)
-    likelihood = np.zeros(len(sequences))
-    states = np.empty((len(codes), STATES)) if keep else None
-    scales = np.empty(len(codes)) if keep else None
-    now = None
+    text = np.arange(len(flat)) - np.repeat(begin[:-1], active)
+    at = np.concatenate([[0], np.cumsum(lengths)[:-1]])[text] + np.repeat(np.arange(lengths[0]), active)
+    return flat[at].astype(np.int64), begin, lengths, order
+
+
+def _relative(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Emissions of each class against its likeliest state, and the log of that state's.
+
+    A step then lowers the states' sum only by as much as moves and emissions differ between states. ``PRIOR`` keeps both
+    above 1e-13 over 1e11 tokens: eight steps stay above 1e-208, one step above 1e-26.
+    """
+    peak = model.emit.max(1)
+    return model.emit / peak[:, None], np.log(peak)
+
+
+def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
+    """Natural log-likelihood of each sequence by the recursion, scaled every ``RESCALE`` steps."""
+    codes, begin, lengths, order = _timed(sequences)
+    emit, peak = _relative(model)
+    likelihood, last, now = np.zeros(len(sequences)), np.zeros(len(sequences)), None
     for t in range(len(begin) - 1):
-        a, b = begin[t], begin[t + 1]
-        seen = model.emit[codes[a:b]]
-        now = seen * model.start if t == 0 else (now[: b - a] @ model.move) * seen
-        scale = now.sum(1)
-        now /= scale[:, None]
-        likelihood[: b - a] += np.log(scale)
-        if keep:
-            states[a:b], scales[a:b] = now, scale
+        here = codes[begin[t] : begin[t + 1]]
+        n, seen = len(here), emit.take(here, 0)
+        likelihood[:n] += peak.take(here)
+        now = seen * model.start if t == 0 else (now[:n] @ model.move) * seen
+        ended = int(np.searchsorted(-lengths, -t - 1))  # texts from here on end at this time
+        if ended < n:
+            last[ended:n] = now[ended:n].sum(1)
+        if t % RESCALE == RESCALE - 1:
+            scale = now @ np.ones(STATES)
+            now /= scale[:, None]
+            likelihood[:ended] += np.log(scale[:ended])
     out = np.empty(len(sequences))
-    out[order] = likelihood
-    return (out, codes, begin, states, scales) if keep else out
-
-
-def expected(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
-    """Expected counts of starts, moves and emissions, and the log-likelihood, in one vector."""
-    likelihood, codes, begin, states, scales = forward(model, sequences, keep=True)
-    moves, back, n = np.zeros((STATES, STATES)), None, 0
-    for t in range(len(begin) - 2, -1, -1):
-        a, b = begin[t], begin[t + 1]
-        here = np.ones((b - a, STATES))
-        if back is not None:
-            moves += states[a : a + n].T @ back
-            here[:n] = back @ model.move.T
-        states[a:b] *= here
-        back, n = model.emit[codes[a:b]] * here / scales[a:b, None], b - a
-    emissions = np.stack([np.bincount(codes, weights=states[:, k], minlength=CLASSES) for k in range(STATES)], axis=1)
-    return np.concatenate([states[: begin[1]].sum(0), (moves * model.move).ravel(), emissions.ravel(), [likelihood.sum()]])
+    out[order] = likelihood + np.log(last)
+    return out
+
+
+def expected(model: Model, sequences: list[np.ndarray], room: dict[str, np.ndarray] | None = None) -> np.ndarray:
+    """Expected counts of starts, moves and emissions, and the log-likelihood, in one vector.
+
+    States are held in single precision, scaled at each step, and summed in double precision. ``room`` keeps the space for
+    them from call to call.
+    """
+    codes, begin, lengths, _ = _timed(sequences)
+    emit, peak = _relative(model)
+    start, move, emit = model.start.astype(np.float32), model.move.astype(np.float32), emit.astype(np.float32)
+    back, ones = np.ascontiguousarray(move.T), np.ones((STATES, STATES), dtype=np.float32)  # a product with ``ones`` is the sum, at each state
+    room = {} if room is None else room
+    if len(room.get("states", ())) < 2 * len(codes):
+        room["states"] = np.empty((2 * len(codes), STATES), dtype=np.float32)
+    ahead, behind = room["states"][: len(codes)], room["states"][len(codes) : 2 * len(codes)]
+    scales, bounds = np.empty(len(codes), dtype=np.float32), begin.tolist()
+    seen, sums = np.empty((2, bounds[1], STATES), dtype=np.float32)
+    before = None
+    for t in range(len(bounds) - 1):
+        a, b = bounds[t], bounds[t + 1]
+        now, e, s = ahead[a:b], seen[: b - a], sums[: b - a]
+        emit.take(codes[a:b], 0, e, "clip")
+        if t == 0:
+            np.multiply(e, start, now)
+        else:
+            np.dot(before[: b - a], move, now)
+            np.multiply(now, e, now)
+        np.dot(now, ones, s)
+        np.divide(now, s, now)
+        scales[a:b] = s[:, 0]
+        before = now
+    after = seen[:0]
+    for t in range(len(bounds) - 2, -1, -1):
+        a, b = bounds[t], bounds[t + 1]
+        n, now, e = len(after), behind[a:b], seen[: b - a]
+        if n:
+            np.dot(after, back, now[:n])
+            np.dot(now[:n], ones, sums[:n])
+            np.divide(now[:n], sums[:n], now[:n])
+        now[n:] = 1
+        emit.take(codes[a:b], 0, e, "clip")
+        np.multiply(e, now, e)
+        after = e
+    starts, moves, emissions = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
+    step = np.repeat(np.diff(begin)[:-1], np.diff(begin)[1:])  # so far back is the token before
+    both, total = np.empty((2, max(CHUNK, bounds[1]), STATES), dtype=np.float32)
+    for a in (0, *range(bounds[1], len(codes), CHUNK)):
+        b = min(len(codes), a + CHUNK) if a else bounds[1]
+        now, s = both[: b - a], total[: b - a]
+        np.multiply(ahead[a:b], behind[a:b], now)
+        np.dot(now, ones, s)
+        np.divide(now, s, now)
+        share = now.T.astype(np.float64)
+        for k in range(STATES):
+            emissions[k] += np.bincount(codes[a:b], weights=share[k], minlength=CLASSES)
+        if a == 0:
+            starts = share.sum(1)
+            continue
+        before = ahead.take(np.arange(a, b) - step[a - bounds[1] : b - bounds[1]], 0)
+        np.dot(before, move, s)
+        np.divide(now, s, now)
+        moves += before.T @ now
+    likelihood = np.log(scales).sum(dtype=np.float64) + peak[codes].sum()
+    return np.concatenate([starts, (moves * model.move).ravel(), emissions.T.ravel(), [likelihood]])
 
 
 def maximised(counts: np.ndarray) -> Model:
@@ -222,7 +287,8 @@ def train(codes: DataFrame) -> Model:
     model = maximised(first)
     for _ in range(ROUNDS):
         shipped = codes.sparkSession.sparkContext.broadcast(model)
-        model = maximised(summed(lambda part, shipped=shipped: expected(shipped.value, part), size))
+        room: dict[str, np.ndarray] = {}  # sent empty, so each task has its own
+        model = maximised(summed(lambda part, shipped=shipped, room=room: expected(shipped.value, part, room), size))
     return model
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,41 @@ def test_hmm_sums_to_brute_force():
         assert got == pytest.approx(np.log(now.sum()))
 
 
+def test_expected_counts_are_brute_force():
+    random = np.random.default_rng(2)
+    model = lm_hmm.maximised(random.random(lm_hmm.STATES * (1 + lm_hmm.STATES + lm_hmm.CLASSES) + 1) ** 6 * 1e6)
+    texts = [np.array(list(random.integers(0, 50, k)) + [lm_hmm.END]) for k in (0, 40, 1, 3, 40, 17)]
+    starts, moves = np.zeros(lm_hmm.STATES), np.zeros((lm_hmm.STATES, lm_hmm.STATES))
+    emissions, likelihood = np.zeros((lm_hmm.CLASSES, lm_hmm.STATES)), 0.0
+    for s in texts:
+        ahead, behind = [model.start * model.emit[s[0]]], [np.ones(lm_hmm.STATES)]
+        for c in s[1:]:
+            ahead.append((ahead[-1] @ model.move) * model.emit[c])
+        for c in s[:0:-1]:
+            behind.insert(0, model.move @ (model.emit[c] * behind[0]))
+        p = ahead[-1].sum()
+        likelihood += np.log(p)
+        starts += ahead[0] * behind[0] / p
+        for t, c in enumerate(s):
+            emissions[c] += ahead[t] * behind[t] / p
+            if t:
+                moves += np.outer(ahead[t - 1], model.emit[c] * behind[t]) * model.move / p
+    want = np.concatenate([starts, moves.ravel(), emissions.ravel(), [likelihood]])
+    room = {}
+    assert lm_hmm.expected(model, texts, room) == pytest.approx(want, rel=1e-4, abs=1e-5)
+    assert lm_hmm.expected(model, texts[::-1], room) == pytest.approx(want, rel=1e-4, abs=1e-5)
+    assert lm_hmm.forward(model, texts).sum() == pytest.approx(likelihood, rel=1e-12)
+
+
+def test_long_texts_step_together(monkeypatch):
+    """A batch takes as many steps as its longest text has tokens: long texts spread over all batches would each cost theirs."""
+    monkeypatch.setattr(lm_hmm, "BATCH_TOKENS", 6000)
+    codes = pa.array([np.zeros(k, dtype="<u2").tobytes() for k in [1000, *[100] * 50] * 6], pa.binary())
+    parts = [part for _, part in lm_hmm._sequences(iter([pa.record_batch({"codes": codes})]))]
+    assert sorted(len(s) for part in parts for s in part) == sorted(len(c.as_buffer()) // 2 + 1 for c in codes)
+    assert sum(max(map(len, part)) for part in parts) < 3000
+
+
 def test_language_model(docs, none):
     from pyspark.sql import functions as F
 
