@@ -134,6 +134,22 @@ def test_entries_are_shared(n, share):
         assert len(found[0] & found[1]) >= max(1, min(len(x), len(y)) // ngram_jaccard.SHARED)
 
 
+def test_order_of_a_set_with_names_alike():
+    random = np.random.default_rng(4)
+    doc = np.sort(random.integers(0, 70_000, 5000))
+    name = random.integers(0, 4, 5000).astype(np.uint64) << np.uint64(60) | random.integers(0, 3, 5000).astype(np.uint64)
+    common = random.random(5000) < 0.5
+    order, want = ngram_jaccard._ordered(doc, name, common), np.lexsort((name, common, doc))
+    assert (doc[order] == doc[want]).all() and (name[order] == name[want]).all() and (common[order] == common[want]).all()
+
+
+def test_closed_entries_leave(spark):
+    """Nodes 1 and 2 are linked: their entries leave. Node 5 shares too little for any link. 3 and 4 may still meet."""
+    posts = spark.createDataFrame([(10, 1, 32), (10, 2, 32), (20, 3, 32), (20, 4, 32), (21, 3, 32), (21, 4, 32), (20, 5, 320)], "entry bigint, node bigint, n bigint")
+    named = spark.createDataFrame([(1, 1), (2, 1)], "node bigint, component bigint")
+    assert sorted(tuple(r) for r in ngram_jaccard._open(posts, named).select("entry", "node").collect()) == [(20, 3), (20, 4), (21, 3), (21, 4)]
+
+
 def test_hmm_sums_to_brute_force():
     random = np.random.default_rng(1)
     model = lm_hmm.maximised(random.random(lm_hmm.STATES * (1 + lm_hmm.STATES + lm_hmm.CLASSES) + 1))
