@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from shoplens.operators import jsonschema as js
 from shoplens.operators import tables as ta
 from shoplens.operators import vocabulary as vo
-from shoplens.operators.scale import scratch_path, spread
+from shoplens.operators.scale import materialise, scratch_path, spread
 from shoplens.plans.domain import HISTORY, NAME_PAIRS, NAMED_QUERIES, PRODUCTS, history, name_pairs, named_queries, products, table
 from shoplens.plans.registry import flat, query
 from shoplens.sources import incremental as inc
@@ -147,13 +147,15 @@ def _(spark, d):
     e = table(spark, d, "events").filter(F.to_date("ts") == F.lit("2024-01-15").cast("date"))
     lines = F.explode(F.array(F.lit("event_id,value"), F.concat_ws(",", F.col("event_id").cast("string"), F.col("value").cast("string"))))
     landed = e.select(F.concat(landing_mark(), F.col("event_id").cast("string"), F.lit(".csv")).alias("name"), lines.alias("value"))
-    spread(landed, "name").write.partitionBy("name").text(landing)
+    wr.write_text_folders(spread(landed, "name"), landing, ["name"])
     name = F.regexp_extract("path", "/name=([^/]+)/", 1)
     today = spark.sql("SELECT CAST(current_date() AS STRING) AS d").first()["d"]
     inc.route_landing_files(spark, landing, target, today, name)
     again = inc.route_landing_files(spark, landing, target, today, name).count()
-    found = spark.read.option("basePath", f"{target}/data").text(f"{target}/data")
-    sums = found.groupBy("type").agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("lines"))
+    with rd.many_small_files(spark):
+        data = f"{target}/data"
+        found = rd.text_lines(spark, data, rd.binary_files(spark, data)).select(*[rd.folder_value(F.col("url"), c).alias(c) for c in ("type", "file")])
+        sums = materialise(found.groupBy("type").agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("lines")), "routed-sums")
     return sums.withColumn("moved_again", F.lit(again).cast("long"))
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.operators.scale import spread
-from shoplens.sources.readers import landing_type
-from shoplens.sources.writers import folder_names
+from shoplens.sources.readers import binary_files, landing_type, many_small_files, text_lines
+from shoplens.sources.writers import folder_names, write_text_folders
 
 
 def _versions(spark: SparkSession, folder: str) -> list[int]:
@@ -177,24 +177,26 @@ def route_landing_files(spark: SparkSession, landing: str, target: str, run_date
     a second run moves nothing, and a changed file replaces its earlier lines. A file's folder is overwritten as a whole:
     a run cut off before its manifest is written is simply run again. ``name`` gives the file's name from the column path.
     """
-    file = F.element_at(F.split("path", "/"), -1) if name is None else name
+    with many_small_files(spark):
+        return _route_files(spark, landing, target.rstrip("/"), F.lit(run_date).cast("date"), F.element_at(F.split("path", "/"), -1) if name is None else name)
+
+
+def _route_files(spark: SparkSession, landing: str, target: str, run_day: Column, file: Column) -> DataFrame:
     day = F.to_date("modificationTime")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
-    listed = files.select("path", F.col("_metadata.file_path").alias("url"), "modificationTime", "length").filter(day == F.lit(run_date).cast("date"))
+    files = binary_files(spark, landing)
+    listed = files.select("path", F.col("_metadata.file_path").alias("url"), "modificationTime", "length").filter(day == run_day)
     listed = listed.select("path", "url", "modificationTime", "length", landing_type(file).alias("type"), day.alias("date"), file.alias("file"))
-    manifest = f"{target.rstrip('/')}/_manifest"
+    manifest = f"{target}/_manifest"
     if folder_names(spark, manifest):
         done = spark.read.schema(listed.schema).parquet(manifest)
         listed = listed.join(done.select("path", "modificationTime", "length"), ["path", "modificationTime", "length"], "left_anti")
-    run = f"{target.rstrip('/')}/_runs/{uuid.uuid4().hex}"
+    run = f"{target}/_runs/{uuid.uuid4().hex}"
     listed.write.parquet(run)
     new = spark.read.schema(listed.schema).parquet(run)
-    if not new.isEmpty():  # the landing folder is listed again only for lines to move
-        lines = spark.read.option("recursiveFileLookup", True).text(landing).select("value", F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_block_start").alias("block"))
-        today = lines.filter(F.to_date("changed") == F.lit(run_date).cast("date"))  # files of other days are not opened
+    if not new.isEmpty():  # the landing folder is listed again only for large files to move
+        today = text_lines(spark, landing, files, F.to_date("_metadata.file_modification_time") == run_day)  # files of other days are not opened
         routed = today.join(new.select("url", "type", "date", "file"), "url")
         dealt = spread(routed, "url", "block")  # a folder for each file: the time goes into making them, not into bytes
-        writer = dealt.select("value", "type", "date", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("type", "date", "file").text(f"{target.rstrip('/')}/data")
+        write_text_folders(dealt, f"{target}/data", ["type", "date", "file"])
         new.write.mode("append").parquet(manifest)
     return new

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import errno
+import os
+import re
+import shutil
+import uuid
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.operators.scale import global_positions, hot_key_join
+from shoplens.operators.scale import global_positions, hot_key_join, spread
+from shoplens.sources.readers import NO_VALUE
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -33,6 +42,129 @@ def folder_names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")  # what Spark escapes in the names of folders
+CRC_BYTES = 512  # bytes to a checksum, as Hadoop's local file system has it
+
+
+def write_text_folders(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write ``value`` as text, one folder for each combination of ``by`` (at least one column); a folder that is there is replaced, others stay.
+
+    The layout is that of ``partitionBy(*by).text(path)``, which does it where ``path`` is no local folder. Spark's local file system starts a
+    process for every file it makes, to set permissions, and one thread commits all folders. So there the tasks make the files themselves, with
+    the same checksum files, under a hidden folder; after all are made, the folders of the attempts that counted are moved by many tasks.
+    """
+    spark = df.sparkSession
+    jvm, fs, _ = _filesystem(spark, path)
+    if fs.getUri().getScheme() != "file":
+        writer = df.select("value", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).text(path)
+        return
+    root = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)).toUri().getPath()
+    run = uuid.uuid4().hex
+    staging = f"{root}/.staging-{run}"
+    os.makedirs(staging)
+    try:
+        rows = df.select(F.col("value").cast("binary"), *[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in by])  # bytes: lines may be in any encoding
+        made = rows.sortWithinPartitions(*by).mapInArrow(_folder_maker(staging, run, list(by)), "attempt bigint, folder string")
+        listed = f"{staging}/folders"
+        made.write.parquet(f"file://{listed}")  # holds the rows of attempts that counted, no others
+        staged = spread(spark.read.schema(made.schema).parquet(f"file://{listed}"), "folder")
+        staged.mapInArrow(_folder_mover(staging, root, run), "attempt bigint, folder string").write.format("noop").mode("overwrite").save()
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
+
+
+def _folder_maker(staging: str, run: str, by: list[str]):
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        top, name = f"{staging}/{task.taskAttemptId()}", f"part-{task.partitionId():05d}-{run}.c000.txt"
+        now, out = None, None
+        for batch in batches:
+            folders = []
+            lines, keys = batch.column("value").to_pylist(), zip(*[batch.column(c).to_pylist() for c in by], strict=True)
+            for line, key in zip(lines, keys, strict=True):
+                if key != now:
+                    if out is not None:
+                        out.close()
+                    now, folder = key, "/".join(f"{_escaped(c)}={_escaped(v)}" for c, v in zip(by, key, strict=True))
+                    folders.append(folder)
+                    os.makedirs(f"{top}/{folder}")
+                    out = _CheckedFile(f"{top}/{folder}", name)
+                out.write((line or b"") + b"\n")
+            yield pa.RecordBatch.from_arrays([pa.array([task.taskAttemptId()] * len(folders), pa.int64()), pa.array(folders, pa.string())], ["attempt", "folder"])
+        if out is not None:
+            out.close()
+
+    return make
+
+
+def _escaped(value: str | None) -> str:
+    return ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else NO_VALUE
+
+
+class _CheckedFile:
+    """A file and beside it its checksums, which Hadoop's local file system compares when it reads."""
+
+    def __init__(self, folder: str, name: str) -> None:
+        self.data, self.sums, self.rest = open(f"{folder}/{name}", "wb"), open(f"{folder}/.{name}.crc", "wb"), b""
+        self.sums.write(b"crc\0" + CRC_BYTES.to_bytes(4, "big"))
+
+    def write(self, some: bytes) -> None:
+        self.data.write(some)
+        self.rest += some
+        if len(self.rest) >= CRC_BYTES:
+            whole = len(self.rest) // CRC_BYTES * CRC_BYTES
+            for at in range(0, whole, CRC_BYTES):
+                self._sum(self.rest[at : at + CRC_BYTES])
+            self.rest = self.rest[whole:]
+
+    def _sum(self, some: bytes) -> None:
+        self.sums.write(zlib.crc32(some).to_bytes(4, "big"))
+
+    def close(self) -> None:
+        if self.rest:
+            self._sum(self.rest)
+        self.data.close()
+        self.sums.close()
+
+
+def _folder_mover(staging: str, root: str, run: str):
+    """Moves staged folders in place; a folder moved before, by an attempt that was cut off or ran beside this one, is passed over."""
+
+    def move(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parents = set()
+        for batch in batches:
+            for attempt, folder in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                source, target = f"{staging}/{attempt}/{folder}", f"{root}/{folder}"
+                if (parent := os.path.dirname(target)) not in parents:
+                    os.makedirs(parent, exist_ok=True)
+                    parents.add(parent)
+                try:
+                    os.rename(source, target)
+                except FileNotFoundError:
+                    continue
+                except OSError as there:
+                    if there.errno not in (errno.ENOTEMPTY, errno.EEXIST):
+                        raise
+                    _replace_files(source, target, run)
+            yield batch
+
+    return move
+
+
+def _replace_files(source: str, target: str, run: str) -> None:
+    """The files of this run take the place of those of others; a folder that several tasks wrote has files of each."""
+    for folder, gone in ((target, True), (source, False)):
+        for name in sorted(os.listdir(folder)):
+            try:
+                if not gone:
+                    os.replace(f"{folder}/{name}", f"{target}/{name}")
+                elif run not in name:
+                    os.remove(f"{folder}/{name}")
+            except FileNotFoundError:
+                pass
+
+
 def write_named_csv(df: DataFrame, folder: str, name: str, copy_to: str | None = None) -> str:
     """One CSV file of a given name, for dictionaries; one task writes it, row by row. Large tables belong to ``write_csv``."""
     spark = df.sparkSession

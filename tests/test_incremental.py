@@ -1,6 +1,7 @@
 """Tables kept up a day at a time: equal to the full computation, and reading no older day."""
 
 import datetime as dt
+import gzip
 import os
 import random
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.sources import incremental as inc
+from shoplens.sources import readers as rd
 from shoplens.sources import writers as wr
 
 KIND = "query string, sku bigint, clicks bigint, cost decimal(10,2)"
@@ -154,6 +156,86 @@ def test_many_small_files_are_landed_and_routed_by_many_tasks(spark, tmp_path, m
         assert len({p.name[:10] for p in (tmp_path / folder).rglob("part-*")}) > 4
 
 
+def test_folders_of_text_are_written_as_spark_does(spark, tmp_path):
+    odd = [chr(i) for i in range(1, 0x82)] + ["", None, "a+b c", "x" * 200, "ü/=%25", "PID_1.csv"]
+    rows = [(f"{i} {k}" if i % 5 else None, i % 3, f"{k}{v}" if v and k else v) for i, v in enumerate(odd) for k in (0, 1, 1)] + [("long " * 400, 7, "long")]
+    df = spark.createDataFrame([r for r in rows if not set(r[2] or "") & {"\n", "\r"}], "value string, n int, `f g:` string").repartition(4, "n")
+    ours, sparks = str(tmp_path / "ours"), str(tmp_path / "sparks")
+    wr.write_text_folders(df, ours, ["n", "f g:"])
+    df.write.partitionBy("n", "f g:").text(sparks)
+    folders = lambda top: {os.path.relpath(d, top): sorted(f.rsplit("-", 1)[-1][-3:] for f in files if "part-" in f) for d, _, files in os.walk(top) if d != top}
+    assert folders(ours) == folders(sparks)
+    lines = lambda top: sorted(map(tuple, spark.read.option("recursiveFileLookup", True).text(top).select("value", F.regexp_extract("_metadata.file_path", "(n=.*)/part-", 1)).collect()))
+    assert lines(ours) == lines(sparks)  # the reader has also compared the checksums
+    wr.write_text_folders(df.filter("n = 7").withColumn("value", F.lit("new")), f"file://{ours}", ["n", "f g:"])
+    assert [r for r in lines(ours) if "n=7" in r[1]] == [("new", "n=7/f%20g%253A=long")]
+    assert len(lines(ours)) == len(lines(sparks)) and not [n for n in os.listdir(ours) if n.startswith(".")]
+    for sums in (tmp_path / "ours" / "n=7").rglob(".*.crc"):
+        sums.write_bytes(sums.read_bytes()[:-4] + b"zzzz")
+    with pytest.raises(Exception, match="(?i)checksum"):
+        lines(ours)
+
+
+def test_a_folder_that_two_tasks_write_has_the_lines_of_both(spark, tmp_path):
+    df = spark.range(40).selectExpr("CAST(id AS STRING) AS value", "'x' AS f").repartition(4)
+    for _ in range(2):
+        wr.write_text_folders(df, str(tmp_path / "t"), ["f"])
+        assert sorted(int(r.value) for r in spark.read.text(str(tmp_path / "t")).collect()) == list(range(40))
+
+
+def test_attempts_that_run_twice_leave_one_copy(tmp_path):
+    import pyarrow as pa
+
+    for top in ("s/1/f=a", "s/2/f=a", "r/f=a"):
+        (tmp_path / top).mkdir(parents=True)
+    (tmp_path / "s/1/f=a/part-0-now").write_text("1")
+    (tmp_path / "s/2/f=a/part-1-now").write_text("2")
+    (tmp_path / "r/f=a/part-0-old").write_text("0")
+    move = wr._folder_mover(f"{tmp_path}/s", f"{tmp_path}/r", "now")
+    batch = pa.RecordBatch.from_pydict({"attempt": [1, 2], "folder": ["f=a", "f=a"]})
+    for _ in range(2):
+        list(move([batch]))
+        assert {p.name: p.read_text() for p in (tmp_path / "r/f=a").iterdir()} == {"part-0-now": "1", "part-1-now": "2"}
+
+
+def test_small_files_are_cut_into_lines_as_large_ones(spark, tmp_path, monkeypatch):
+    contents = [b"", b"\n", b"a", b"a\n\nb", b"a\r\nb\rc\n\r", b"\xef\xbb\xbf", b"\xef\xbb\xbfx\ny", b"\xef\xbb\xbf\n", "é\x0b\x0c\x85\u2028é\n".encode(), b"\xff\xfe z\n", b"q,\x00\n", b"l" * 40_000 + b"\nm"]
+    for i, c in enumerate(contents):
+        (tmp_path / f"f=+ {i}%").mkdir()
+        (tmp_path / f"f=+ {i}%" / f"{i}.csv").write_bytes(c)
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"packed\nlines\n"))
+    d = str(tmp_path)
+    spark_reads = spark.read.option("recursiveFileLookup", True).text(d)
+    want = sorted((bytes(r[0]), r[1]) for r in spark_reads.select(F.col("value").cast("binary"), "_metadata.file_path").collect())
+    assert len({u for _, u in want}) == len(contents) - 2 + 1
+    for limit in (rd.SMALL_FILE, 3, -1):
+        monkeypatch.setattr(rd, "SMALL_FILE", limit)
+        got = rd.text_lines(spark, d, rd.binary_files(spark, d))
+        assert sorted((bytes(r[0]), r[1]) for r in got.select(F.col("value").cast("binary"), "url").collect()) == want
+    assert {r[0] for r in got.filter("url LIKE '%csv'").select(rd.folder_value(F.col("url"), "f")).collect()} <= {f"+ {i}%" for i in range(len(contents))}
+    named = spark.createDataFrame([("file:/t/f=x/f=a%2520%253D%2B/p",), ("file:/t/f=__HIVE_DEFAULT_PARTITION__/p",)], "url string")
+    assert [r[0] for r in named.select(rd.folder_value(F.col("url"), "f")).collect()] == ["a =+", None]
+
+
+def test_routing_lists_many_folders_in_few_tasks(spark, tmp_path):
+    landing, target = tmp_path / "landing", str(tmp_path / "routed")
+    for i in range(200):
+        (landing / f"name=PID_{i}.csv").mkdir(parents=True)
+        (landing / f"name=PID_{i}.csv" / "part-0.txt").write_text(f"{i}\n")
+    today = spark.sql("SELECT CAST(current_date() AS STRING) AS d").first().d
+    tracker, before = spark.sparkContext.statusTracker(), spark.conf.getAll
+    spark.sparkContext.setJobGroup("routing", "routing")
+    try:
+        assert inc.route_landing_files(spark, str(landing), target, today, F.regexp_extract("path", "/name=([^/]+)/", 1)).count() == 200
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("routing") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert tasks and max(tasks) <= rd.LISTING_TASKS * spark.sparkContext.defaultParallelism  # one for each of 200 folders before
+    assert spark.conf.getAll == before
+    found = spark.read.text(f"{target}/data")
+    assert {(r.type, r.file, r.value) for r in found.collect()} == {("query_product_interactions", f"PID_{i}.csv", str(i)) for i in range(200)}
+
+
 def test_corpus_segments_join_back(spark, tmp_path):
     rows = [("hot", f"v{i:05d}") for i in range(900)] * 2 + [("hot", None), (None, "x"), ("none", None)] + [(f"k{i % 50}", f"v{i}") for i in range(400)]
     df = spark.createDataFrame(rows, "word string, value string").repartition(5)
